@@ -14,14 +14,11 @@ MAX_CENTROID_VALUES = 100_000
 
 def feature_bounds(points: DataFrame) -> tuple[list[float], list[float]]:
     """Minimum and maximum per dimension, in one pass."""
-    first = points.select("x").first()
-    if first is None:
+    values = points.select(F.posexplode("x").alias("dim", "value"))
+    rows = values.groupBy("dim").agg(F.min("value").alias("low"), F.max("value").alias("high")).orderBy("dim").collect()
+    if not rows:
         raise ValueError("no points")
-    dims = range(len(first["x"]))
-    row = points.agg(
-        *[F.min(F.col("x")[d]).alias(f"lo{d}") for d in dims], *[F.max(F.col("x")[d]).alias(f"hi{d}") for d in dims]
-    ).first()
-    return [float(row[f"lo{d}"]) for d in dims], [float(row[f"hi{d}"]) for d in dims]
+    return [row["low"] for row in rows], [row["high"] for row in rows]
 
 
 def init_centroids(bounds: tuple[list[float], list[float]], k: int, seed: int | None = None) -> list[list[float]]:
@@ -57,12 +54,11 @@ def assign(points: DataFrame, centroids: list[list[float]]) -> DataFrame:
 
 
 def update_centroids(assigned: DataFrame, centroids: list[list[float]]) -> list[list[float]]:
-    """Mean of each cluster; an empty cluster keeps its centroid. Collects at most k rows."""
-    dims = range(len(centroids[0]))
-    means = assigned.groupBy("cluster").agg(*[F.avg(F.col("x")[d]).alias(f"m{d}") for d in dims]).collect()
+    """Mean of each cluster; an empty cluster keeps its centroid. Collects k x dimensions values."""
+    values = assigned.select("cluster", F.posexplode("x").alias("dim", "value"))
     updated = [list(c) for c in centroids]
-    for row in means:
-        updated[row["cluster"]] = [row[f"m{d}"] for d in dims]
+    for row in values.groupBy("cluster", "dim").agg(F.avg("value").alias("mean")).collect():
+        updated[row["cluster"]][row["dim"]] = row["mean"]
     return updated
 
 

@@ -22,6 +22,18 @@ def stack_fields(docs: DataFrame, fields: list[str], doc_id: str = "doc_id") ->
     return chosen.unpivot(["doc_id"], fields, "field", "text")
 
 
+def stack_folders(docs: DataFrame, folder: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The same with the folder in the place of the field: each folder is a collection of its own."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(folder).alias("field"), F.col(text).alias("text"))
+
+
+def spread(texts: DataFrame) -> DataFrame:
+    """Deal out texts that come in fewer splits than there are cores; leave any larger input where it is."""
+    if texts.rdd.getNumPartitions() >= texts.sparkSession.sparkContext.defaultParallelism:
+        return texts
+    return texts.repartition(texts.sparkSession.sparkContext.defaultParallelism, "doc_id")
+
+
 def by_document(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """``docs`` partitioned by document id."""
     return docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
@@ -55,11 +67,10 @@ def term_vectors(
     return counted.select(*keys, "tf", "dl", "positions")
 
 
-def doc_lengths(stacked: DataFrame, *keep: str) -> DataFrame:
-    """``(…keep, doc_id, field, dl, n_terms)`` for every document, empty ones included. No shuffle."""
-    found = stacked.select(*keep, "doc_id", "field", tx.words("text").alias("words"))
+def doc_lengths(stacked: DataFrame) -> DataFrame:
+    """``(doc_id, field, dl, n_terms)`` for every document, empty ones included. No shuffle."""
+    found = stacked.select("doc_id", "field", tx.words("text").alias("words"))
     return found.select(
-        *keep,
         "doc_id",
         "field",
         F.size("words").cast("long").alias("dl"),
@@ -67,9 +78,9 @@ def doc_lengths(stacked: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def field_stats(doc_stats: DataFrame, *groups: str) -> DataFrame:
+def field_stats(doc_stats: DataFrame) -> DataFrame:
     """Per field: documents with a word in it, all documents, postings, words."""
-    return doc_stats.groupBy(*groups, "field").agg(
+    return doc_stats.groupBy("field").agg(
         F.count_if(F.col("dl") > 0).alias("doc_count"),
         F.count("*").alias("max_doc"),
         F.sum("n_terms").alias("sum_doc_freq"),

@@ -78,6 +78,22 @@ def matches_of(index, queries: DataFrame, field: str) -> DataFrame:
     return match(index.postings(field), materialize(terms, "query-terms"))
 
 
+def rank_models(
+    index, queries: DataFrame, contributions: dict, k: int, label: str = "run_id", field: str = "text"
+) -> DataFrame:
+    """Rankings of several models: ``(label, query_id, rank, doc_id, score)``.
+
+    Queries are matched and grouped once, with one sum per model in the same
+    aggregation. Only then does each (query, document) become a row per model.
+    """
+    sums = [F.round(F.sum(c), SCORE_DIGITS).alias(f"s{i}") for i, c in enumerate(contributions.values())]
+    scored = matches_of(index, queries, field).groupBy("query_id", "doc_id").agg(*sums)
+    per_model = F.array(
+        *[F.struct(F.lit(name).alias(label), F.col(f"s{i}").alias("score")) for i, name in enumerate(contributions)]
+    )
+    return top_k(scored.select("query_id", "doc_id", F.inline(per_model)), k, label)
+
+
 def search(index, queries: DataFrame, model: str, k: int, field: str = "text", lam: float = 0.5) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` for all queries."""
     if k < 1:

@@ -74,27 +74,28 @@ def _write_bucketed(df: DataFrame, path: str, part: str, buckets: int, *sort: st
     return df.sparkSession.table(name)
 
 
-def default_buckets(docs: DataFrame) -> int:
+def default_buckets(stacked: DataFrame) -> int:
     """As many buckets as input splits, at least one per core."""
-    splits = docs.rdd.getNumPartitions()
-    return min(max(splits, docs.sparkSession.sparkContext.defaultParallelism), MAX_BUCKETS)
+    splits = stacked.rdd.getNumPartitions()
+    return min(max(splits, stacked.sparkSession.sparkContext.defaultParallelism), MAX_BUCKETS)
 
 
-def build_index(
-    docs: DataFrame, path: str, fields: list[str], doc_id: str = "doc_id", buckets: int | None = None
-) -> TextIndex:
-    """Tokenize ``fields`` of ``docs`` once and store the term tables below ``path``."""
-    spark = docs.sparkSession
-    buckets = buckets or default_buckets(docs)
-    stacked = ops.stack_fields(docs, fields, doc_id)
+def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
+    """Tokenize the texts ``(doc_id, field, text)`` once and store the term tables below ``path``.
+
+    Statistics are kept apart by ``field``. ``stack_fields`` gives several text
+    columns of a collection; ``stack_folders`` makes each first-level folder a
+    collection of its own.
+    """
+    spark = stacked.sparkSession
+    buckets = buckets or default_buckets(stacked)
     postings = _write_bucketed(
         ops.term_vectors(stacked, partitions=buckets), path, "postings", buckets, "field", "term"
     )
 
     counted = postings.groupBy("doc_id", "field").agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
-    every = ops.stack_fields(docs.select(F.col(doc_id).alias("doc_id"), *[F.lit(None).alias(f) for f in fields]), fields)
     doc_stats = (
-        ops.by_document(every.select("doc_id", "field"), buckets)
+        ops.by_document(stacked.select("doc_id", "field"), buckets)
         .join(counted, ["doc_id", "field"], "left")
         .select("doc_id", "field", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")])
     )

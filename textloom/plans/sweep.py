@@ -20,18 +20,9 @@ def lambda_grid() -> list[float]:
 
 
 def sweep_runs(index, queries: DataFrame, k: int, grid: list[float], field: str = "text") -> DataFrame:
-    """``(lam, query_id, rank, doc_id, score)`` for the whole grid.
-
-    Queries are matched and grouped once: one sum per grid value in the same
-    aggregation. Only then does each (query, document) become a row per value.
-    """
-    matches = ranking.matches_of(index, queries, field)
-    sums = [F.round(F.sum(weights.smoothed_likelihood(lam)), SCORE_DIGITS).alias(f"s{i}") for i, lam in enumerate(grid)]
-    scored = matches.groupBy("query_id", "doc_id").agg(*sums)
-    per_value = F.array(
-        *[F.struct(F.lit(lam).alias("lam"), F.col(f"s{i}").alias("score")) for i, lam in enumerate(grid)]
-    )
-    return ranking.top_k(scored.select("query_id", "doc_id", F.inline(per_value)), k, "lam")
+    """``(lam, query_id, rank, doc_id, score)`` for the whole grid, matched once."""
+    contributions = {lam: weights.smoothed_likelihood(lam) for lam in grid}
+    return ranking.rank_models(index, queries, contributions, k, "lam", field)
 
 
 def sweep(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.joins import broadcast_if_small
-from textloom.operators.postings import stack_fields
+from textloom.operators.postings import spread, stack_fields, stack_folders
 from textloom.plans.index import TextIndex, build_index
 from textloom.session import materialize, scratch_path
 
@@ -55,13 +55,23 @@ class Workspace:
         """``(doc_id, field, text)`` of the field ``text``."""
         return stack_fields(self.documents, ["text"])
 
+    @property
+    def dealt_texts(self) -> DataFrame:
+        """The same, for operators that work on each text where it lies."""
+        return spread(self.texts)
+
     @property
     def queries(self) -> DataFrame:
         return self.table("benchmark").select(F.col("item_id").alias("query_id"), "text")
 
     @cached_property
     def index(self) -> TextIndex:
-        return build_index(self.documents, scratch_path(self.spark, "index"), ["text"])
+        return build_index(self.texts, scratch_path(self.spark, "index"))
+
+    @cached_property
+    def partial_indexes(self) -> TextIndex:
+        """Statistics by ``source``, which plays the first-level folder."""
+        return build_index(stack_folders(self.documents, "source"), scratch_path(self.spark, "partial-index"))
 
     @cached_property
     def qrels(self) -> DataFrame:
@@ -107,8 +117,7 @@ def containing_documents(docs: DataFrame, queries: DataFrame) -> DataFrame:
         "query_id", "needle", F.when(longest.isNull(), too_short.cast("string")).otherwise(longest["run"]).alias("run")
     )
     anchors = materialize(anchors, "anchors")
-    spread = docs.select("doc_id", "text").repartition("doc_id")
-    words = spread.select("doc_id", F.split(F.lower("text"), " ").alias("words"))
+    words = spread(docs.select("doc_id", "text")).select("doc_id", F.split(F.lower("text"), " ").alias("words"))
     found = words.select("doc_id", F.explode(runs(F.col("words"))).alias("run"))
     small = broadcast_if_small(anchors.select("query_id", "run"))
     candidates = materialize(found.join(small, "run").select("query_id", "doc_id").distinct(), "candidates")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from textloom.operators import comparison, evaluation, ranking
 from textloom.registry import sql
 from textloom.registry.base import query, rounded
@@ -36,10 +34,8 @@ _PAIRED = _runs_sql()
 
 def _values(ws):
     """All metrics of all runs: ``(run_id, query_id, metric, cut, value)``."""
-    runs = None
-    for name, (model, lam) in RUNS.items():
-        run = ranking.search(ws.index, ws.queries, model, CUT, lam=lam).withColumn("run_id", F.lit(name))
-        runs = run if runs is None else runs.unionByName(run)
+    models = {name: ranking.contribution_of(*model) for name, model in RUNS.items()}
+    runs = ranking.rank_models(ws.index, ws.queries, models, CUT)
     measured = evaluation.per_query_metrics(runs, ws.qrels, ws.queries, CUT, by="run_id", by_values=list(RUNS))
     return materialize(evaluation.long_form(measured, CUT, "run_id"), "run-values")
 

@@ -14,22 +14,23 @@ from textloom.sources import files, records, reports, tables
 
 @query(
     "file_scan",
-    f"""WITH f AS (SELECT doc_id, lang, text || chr(10) AS text FROM documents),
-    l AS (SELECT doc_id, lang, strlen(text) AS size_bytes, text, {_LINES} AS lines FROM f)
-    SELECT doc_id, 'lang=' || lang AS top_folder, 'regular file' AS file_type, CAST(size_bytes AS BIGINT) AS size_bytes,
+    f"""WITH f AS (SELECT page_id, 'host=' || regexp_extract(url, '://([^/]+)', 1) AS top_folder, html || chr(10) AS text
+        FROM pages),
+    l AS (SELECT *, strlen(text) AS size_bytes, {_LINES} AS lines FROM f)
+    SELECT page_id, top_folder, 'regular file' AS file_type, CAST(size_bytes AS BIGINT) AS size_bytes,
         CAST(len(lines) AS BIGINT) AS line_count, coalesce(array_to_string(lines[1:2], ' '), '') AS top_lines,
         coalesce(array_to_string(lines[greatest(len(lines) - 1, 1):], ' '), '') AS bottom_lines, md5(text) AS digest
     FROM l""",
 )
 def file_scan(ws):
-    """All documents written as a tree of text files, one each, and scanned."""
+    """All pages written as a tree of text files, a folder per host, and scanned."""
     path = scratch_path(ws.spark, "tree")
-    ws.documents.select("doc_id", "lang", "text").write.partitionBy("lang", "doc_id").text(path)
+    host = F.regexp_extract("url", "://([^/]+)", 1).alias("host")
+    ws.table("pages").select("page_id", host, "html").write.partitionBy("host", "page_id").text(path)
     found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2)
     docs = files.file_documents(found, n_top=2, n_bottom=2)
-    doc_id = F.regexp_extract("rel_path", r"doc_id=(\d+)", 1).cast("long").alias("doc_id")
     return docs.select(
-        doc_id,
+        F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
         "top_folder",
         "file_type",
         "size_bytes",

@@ -19,12 +19,12 @@ def term_vectors(ws):
 
 @query("doc_freq", f"WITH {sql.TOK}, {sql.POST}, {sql.TS} SELECT term, df FROM ts")
 def doc_freq(ws):
-    return ops.doc_freq(ws.texts).select("term", "df")
+    return ops.doc_freq(ws.dealt_texts).select("term", "df")
 
 
 @query("collection_freq", f"WITH {sql.TOK}, {sql.POST}, {sql.TS} SELECT term, cf FROM ts")
 def collection_freq(ws):
-    return ops.collection_freq(ws.texts).select("term", "cf")
+    return ops.collection_freq(ws.dealt_texts).select("term", "cf")
 
 
 @query(
@@ -34,7 +34,7 @@ def collection_freq(ws):
     FROM documents d LEFT JOIN post USING (doc_id) GROUP BY d.doc_id""",
 )
 def doc_length(ws):
-    return ops.doc_lengths(ws.texts).select("doc_id", "dl", "n_terms")
+    return ops.doc_lengths(ws.dealt_texts).select("doc_id", "dl", "n_terms")
 
 
 @query(
@@ -49,7 +49,7 @@ def doc_length(ws):
     FROM p GROUP BY field""",
 )
 def field_stats(ws):
-    stacked = ops.stack_fields(ws.documents, ["text", "lang", "source"])
+    stacked = ops.stack_fields(ops.spread(ws.documents), ["text", "lang", "source"])
     return ops.field_stats(ops.doc_lengths(stacked))
 
 
@@ -58,7 +58,7 @@ def field_stats(ws):
     f"WITH {sql.TOK}, {sql.DL}, {sql.FS} SELECT doc_count, max_doc FROM fs",
 )
 def doc_count(ws):
-    return ops.field_stats(ops.doc_lengths(ws.texts)).select("doc_count", "max_doc")
+    return ops.field_stats(ops.doc_lengths(ws.dealt_texts)).select("doc_count", "max_doc")
 
 
 @query(
@@ -72,8 +72,19 @@ def doc_count(ws):
 )
 def partition_counts(ws):
     """Statistics of each partial collection; ``source`` plays the first-level folder."""
-    docs = ws.documents.select("doc_id", F.lit("text").alias("field"), "text", F.col("source").alias("top_folder"))
-    return ops.field_stats(ops.doc_lengths(docs, "top_folder"), "top_folder").drop("field")
+    docs = ops.stack_folders(ops.spread(ws.documents.select("doc_id", "text", "source")), "source")
+    return ops.field_stats(ops.doc_lengths(docs)).withColumnRenamed("field", "top_folder")
+
+
+@query(
+    "partial_term_stats",
+    f"""WITH t AS (SELECT source AS top_folder, doc_id, unnest({sql.words('text')}) AS term FROM documents),
+    p AS (SELECT top_folder, doc_id, term, count(*) AS tf FROM t GROUP BY ALL)
+    SELECT top_folder, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM p GROUP BY ALL""",
+)
+def partial_term_stats(ws):
+    """Term statistics of each partial index."""
+    return ws.partial_indexes.term_stats().withColumnRenamed("field", "top_folder")
 
 
 @query(

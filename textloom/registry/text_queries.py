@@ -19,7 +19,7 @@ _WITH_LINES = f"WITH l AS (SELECT doc_id, {_LINES} AS lines FROM documents) "
 
 @query("tokenize", f"SELECT doc_id, unnest({sql.words('text')}) AS term FROM documents")
 def tokenize(ws):
-    return ops.tokenize(ws.texts).select("doc_id", "term")
+    return ops.tokenize(ws.dealt_texts).select("doc_id", "term")
 
 
 @query(
@@ -28,7 +28,7 @@ def tokenize(ws):
     SELECT doc_id, unnest(words) AS term, unnest(range(len(words))) AS pos FROM w""",
 )
 def token_positions(ws):
-    return ops.tokenize(ws.texts).select("doc_id", "term", F.col("pos").cast("long").alias("pos"))
+    return ops.tokenize(ws.dealt_texts).select("doc_id", "term", F.col("pos").cast("long").alias("pos"))
 
 
 @query("join_lines", _WITH_LINES + "SELECT doc_id, coalesce(array_to_string(lines, ' '), '') AS joined FROM l")
