@@ -36,8 +36,11 @@ class TextIndex:
     buckets: int
     term_stats_size: tuple[int, int]
 
+    def _table_name(self, part: str) -> str:
+        return _table_name(self.path, part)
+
     def _table(self, part: str) -> DataFrame:
-        return self.spark.table(_table_name(self.path, part))
+        return self.spark.table(self._table_name(part))
 
     def postings(self, field: str | None = None) -> DataFrame:
         return _of_field(self._table("postings"), field)

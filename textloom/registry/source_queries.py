@@ -43,7 +43,8 @@ def file_scan(ws):
 
 @query(
     "parse_marked_records",
-    f"""WITH l AS (SELECT doc_id, {_LINES} AS lines FROM documents)
+    f"""WITH d AS (SELECT doc_id, regexp_replace(text, '[\\r\\n]+\\z', '') AS text FROM documents),
+    l AS (SELECT doc_id, {_LINES} AS lines FROM d)
     SELECT doc_id AS id, coalesce(array_to_string(lines, ' '), '') AS text FROM l""",
 )
 def parse_marked_records(ws):

@@ -20,7 +20,8 @@ def read_text_tree(
     ``extensions`` (``txt`` or ``.txt``) restricts the listing itself, so other
     files are never opened. Depth counts the folders between the root and the
     file. ``min_depth`` keeps files in or below folders that deep, ``max_depth``
-    files that are not deeper. Hidden files (``.`` or ``_`` first) are skipped.
+    files that are not deeper. Spark's listing leaves out hidden files (``.`` or
+    ``_`` first) and files of zero bytes.
     """
     for depth in (min_depth, max_depth):
         if depth is not None and depth < 1:
@@ -33,7 +34,11 @@ def read_text_tree(
     rel_path = F.substring(F.col("path"), F.instr(F.col("path"), F.lit(root)) + F.lit(len(root)), F.length("path"))
     parts = F.split("rel_path", "/")
     files = reader.load(path).select(
-        "path", rel_path.alias("rel_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), "content"
+        "path",
+        rel_path.alias("rel_path"),
+        F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified"),
+        "content",
     )
     files = files.withColumn("depth", F.size(parts) - 1).withColumn(
         "top_folder", F.when(F.size(parts) > 1, F.get(parts, F.lit(0)))

@@ -13,7 +13,7 @@ TEXT_MARK = ".W"
 
 
 def read_marked_records(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, text)``; the lines of a record are joined by one blank.
+    """``(id, text)``; the lines of a record are joined by one blank, empty lines at its end dropped.
 
     The record mark is the line separator of the scan, so a large file is split
     over tasks at record borders. It counts at the start of a line only.
@@ -29,6 +29,7 @@ def parse_marked_records(records: DataFrame) -> DataFrame:
     body = F.regexp_replace(body, r"\A\.I ", "")
     record_id = F.regexp_extract(body, r"\A\s*(\d+)", 1)
     text = F.regexp_replace(body, r"\A\s*\d+[^\n]*(?:\n\.W[^\n]*)?(?:\n|\z)", "")
+    text = F.regexp_replace(text, r"[\r\n]+\z", "")
     parsed = records.select(F.nullif(record_id, F.lit("")).cast("long").alias("id"), tx.join_lines(text).alias("text"))
     return parsed.where("id IS NOT NULL")
 
