@@ -137,6 +137,24 @@ def test_sweep_equals_single_searches(index, queries, qrels):
         assert {r["query_id"]: r["average_precision"] for r in swept if r["lam"] == lam} == single
 
 
+@pytest.mark.parametrize("batch_rows", [1, 3, 500_000])
+def test_cutting_batches_early_does_not_change_a_ranking(index, queries, monkeypatch, batch_rows):
+    monkeypatch.setattr(ranking, "BATCH_ROWS", batch_rows)
+    runs = plans.sweep_runs(index, queries, 1, [0.3, 0.6])
+    for lam in (0.3, 0.6):
+        one = ranking.search(index, queries, "jm", 1, lam=lam)
+        assert sorted(runs.where(F.col("lam") == lam).drop("lam").collect()) == sorted(one.collect())
+
+
+def test_long_lists_of_askers_are_split(spark, index, monkeypatch):
+    rows = [(q, "green blue") for q in range(50)]
+    queries = spark.createDataFrame(rows, "query_id BIGINT, text STRING")
+    expected = sorted(ranking.search(index, queries, "jm", 2).collect())
+    monkeypatch.setattr(ranking, "QUERY_BLOCK", 7)
+    assert sorted(ranking.search(index, queries, "jm", 2).collect()) == expected
+    assert len(expected) == 100
+
+
 def test_equal_means_keep_the_smaller_lambda(spark):
     means = spark.createDataFrame([(0.5, 0.25), (0.3, 0.5), (0.4, 0.5)], "lam DOUBLE, mean_value DOUBLE")
     assert plans.best_lambda(means).first()["lam"] == 0.3

@@ -1,4 +1,4 @@
-"""p-values. The two UDFs see one row per comparison, never per-query rows."""
+"""p-values. The two UDFs see one row per comparison, never the values of single queries."""
 
 from __future__ import annotations
 
@@ -13,50 +13,59 @@ from pyspark.sql import types as T
 MAX_EXACT_N = 30
 
 
-def _incomplete_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
-    """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
-    swap = x > (a + 1) / (a + b + 2)
-    p, q = np.where(swap, b, a), np.where(swap, a, b)
-    y = np.where(swap, 1 - x, x)
-    tiny = 1e-300
-
-    def guarded(v):
-        return np.where(np.abs(v) < tiny, tiny, v)
-
-    c = np.ones_like(y)
-    d = 1 / guarded(1 - (p + q) * y / (p + 1))
-    fraction = d.copy()
-    for m in range(1, 300):
-        for numerator in (
-            m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)),
-            -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1)),
-        ):
-            d = 1 / guarded(1 + numerator * d)
-            c = guarded(1 + numerator / c)
-            fraction = fraction * c * d
-    lgamma = np.vectorize(math.lgamma, otypes=[float])
-    with np.errstate(divide="ignore"):
-        log_front = p * np.log(y) + q * np.log1p(-y) - (lgamma(p) + lgamma(q) - lgamma(p + q))
-    value = np.exp(log_front) * fraction / p
-    return np.where(swap, 1 - value, value)
-
-
-@F.pandas_udf(T.DoubleType())
-def student_t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided p-value of Student's t."""
-    t, df = t.to_numpy(float), df.to_numpy(float)
-    result = np.full(len(t), np.nan)
-    known = ~(np.isnan(t) | np.isnan(df))
-    if known.any():
-        tk, dk = t[known], df[known]
-        result[known] = _incomplete_beta(dk / 2, 0.5, dk / (dk + tk * tk))
-    return pd.Series(result).where(known, None)
-
-
-@F.pandas_udf(T.DoubleType())
-def normal_two_sided(z: pd.Series) -> pd.Series:
+def student_t_two_sided(t: Column | str, dof: Column | str) -> Column:
+    """Two-sided p-value of Student's t.
+
+    The functions are nested so that a task receives them whole and the
+    executors need not have this package installed.
+    """
+
+    def incomplete_beta(a, b, x):
+        """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
+        swap = x > (a + 1) / (a + b + 2)
+        p, q = np.where(swap, b, a), np.where(swap, a, b)
+        y = np.where(swap, 1 - x, x)
+
+        def guarded(v):
+            return np.where(np.abs(v) < 1e-300, 1e-300, v)
+
+        c = np.ones_like(y)
+        d = 1 / guarded(1 - (p + q) * y / (p + 1))
+        fraction = d.copy()
+        for m in range(1, 300):
+            for numerator in (
+                m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)),
+                -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1)),
+            ):
+                d = 1 / guarded(1 + numerator * d)
+                c = guarded(1 + numerator / c)
+                fraction = fraction * c * d
+        log_gamma = np.vectorize(math.lgamma, otypes=[float])
+        with np.errstate(divide="ignore"):
+            log_front = p * np.log(y) + q * np.log1p(-y) - (log_gamma(p) + log_gamma(q) - log_gamma(p + q))
+        value = np.exp(log_front) * fraction / p
+        return np.where(swap, 1 - value, value)
+
+    @F.pandas_udf(T.DoubleType())
+    def p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
+        known = t.notna() & dof.notna()
+        result = pd.Series([None] * len(t), dtype="float64")
+        tk, dk = t[known].to_numpy(float), dof[known].to_numpy(float)
+        if len(tk):
+            result[known] = incomplete_beta(dk / 2, 0.5, dk / (dk + tk * tk))
+        return result
+
+    return p_value(t, dof)
+
+
+def normal_two_sided(z: Column | str) -> Column:
     """Two-sided p-value of a standard normal deviate."""
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")
+
+    @F.pandas_udf(T.DoubleType())
+    def p_value(z: pd.Series) -> pd.Series:
+        return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")
+
+    return p_value(z)
 
 
 def exact_signed_rank_p(n: Column, w_max: Column) -> Column:

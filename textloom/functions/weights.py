@@ -34,15 +34,15 @@ def representation(name: str) -> str:
 
 
 def smoothed_likelihood(lam: float) -> Column:
-    """Jelinek-Mercer contribution of one query term to a document (Zhai & Lafferty 2001)."""
+    """Jelinek-Mercer contribution of one query word to a document (Zhai & Lafferty 2001)."""
     if not 0 < lam <= 1:
         raise ValueError("lambda must satisfy 0 < lambda <= 1")
     in_document = (1 - lam) * F.col("tf") / F.col("dl")
     in_collection = lam * (F.col("cf") + 1) / (F.col("sum_total_term_freq") + 1)
-    return F.col("qtf") * F.log1p(in_document / in_collection)
+    return F.log1p(in_document / in_collection)
 
 
 def classic_tfidf() -> Column:
-    """``sqrt(tf) * idf^2 / sqrt(dl)`` with ``idf = 1 + ln((N + 1) / (df + 1))``, per query term."""
+    """``sqrt(tf) * idf^2 / sqrt(dl)`` with ``idf = 1 + ln((N + 1) / (df + 1))``, for one query word."""
     idf = 1 + F.log((F.col("doc_count") + 1) / (F.col("df") + 1))
-    return F.col("qtf") * F.sqrt("tf") * idf * idf / F.sqrt("dl")
+    return F.sqrt("tf") * idf * idf / F.sqrt("dl")

@@ -21,7 +21,7 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
         elif isinstance(field.dataType, T.ArrayType):
-            width = width + F.coalesce(F.size(field.name), F.lit(0)) * 8 + 8
+            width = width + F.coalesce(F.size(field.name), F.lit(0)) * 24 + 8
         else:
             width = width + 8
     row = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()

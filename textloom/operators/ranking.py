@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ from textloom.session import materialize
 # Scores are compared to this many digits, so that the order of summation cannot break a tie.
 SCORE_DIGITS = 9
 
+# Query ids per list of askers of a term.
+QUERY_BLOCK = 1000
+
+# Rows that one task holds while it cuts them to the best.
+BATCH_ROWS = 500_000
+
 
 def select_queries(queries: DataFrame, spec: str = "all") -> DataFrame:
     """``all``, one id, or an inclusive range ``a-b`` (also given as ``b-a``)."""
@@ -31,23 +39,41 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def with_statistics(terms: DataFrame, term_stats: DataFrame, field_stats: DataFrame) -> DataFrame:
     """Query terms that occur in the collection, with their and the field's statistics.
 
-    ``field_stats`` has one row per field.
+    One row per term and block of ``QUERY_BLOCK`` query ids, with the list
+    ``asked`` of ``(query_id, qtf)``; a word that every query contains still has
+    lists of bounded length. ``field_stats`` has one row per field.
     """
-    return term_stats.join(terms, "term").join(F.broadcast(field_stats), "field")
+    known = term_stats.join(terms, "term")
+    block = F.floor(F.col("query_id") / QUERY_BLOCK)
+    listed = known.groupBy(*term_stats.columns, block.alias("block")).agg(
+        F.collect_list(F.struct("query_id", "qtf")).alias("asked")
+    )
+    return listed.drop("block").join(F.broadcast(field_stats), "field")
 
 
-def match(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Every posting of a query term; any one term retrieves a document."""
-    return join_on_term(postings, terms)
+def matches_of(index, queries: DataFrame, field: str) -> DataFrame:
+    """Postings of ``field`` that match a query, with ``asked`` and all statistics a model needs.
+
+    Any one term retrieves a document. The query side is written first: it is
+    measured before it is broadcast, and neither the measuring nor the join has
+    to compute it again.
+    """
+    terms = with_statistics(query_terms(queries), index.term_stats(field), index.field_stats(field))
+    return join_on_term(index.postings(field), materialize(terms, "query-terms"))
 
 
-def score(matches: DataFrame, contribution: Column, *keys: str) -> DataFrame:
-    """Sum of the contributions per query and document.
+def score(matches: DataFrame, contributions: list[Column]) -> DataFrame:
+    """``(query_id, doc_id, s0, s1, …)``: one sum per contribution.
 
-    On postings bucketed by document this needs no shuffle.
+    A contribution does not depend on the query, so it is computed once per
+    posting and then handed to all queries that ask for the term. On postings
+    bucketed by document the sums need no shuffle.
     """
-    total = F.round(F.sum(contribution), SCORE_DIGITS).alias("score")
-    return matches.groupBy(*keys, "query_id", "doc_id").agg(total)
+    names = [f"c{i}" for i in range(len(contributions))]
+    weighted = matches.select("doc_id", "asked", *[c.alias(n) for n, c in zip(names, contributions)])
+    unfolded = weighted.select("doc_id", *names, F.inline("asked"))
+    sums = [F.round(F.sum(F.col("qtf") * F.col(n)), SCORE_DIGITS).alias(f"s{i}") for i, n in enumerate(names)]
+    return unfolded.groupBy("query_id", "doc_id").agg(*sums)
 
 
 def top_k(scores: DataFrame, k: int, *keys: str) -> DataFrame:
@@ -68,37 +94,58 @@ def contribution_of(model: str, lam: float = 0.5) -> Column:
     raise ValueError(f"unknown model {model!r}; use 'jm' or 'classic'")
 
 
-def matches_of(index, queries: DataFrame, field: str) -> DataFrame:
-    """Postings of ``field`` that match a query, with all statistics a model needs.
-
-    The query side is written first: it is measured before it is broadcast, and
-    neither the measuring nor the join has to compute it again.
-    """
-    terms = with_statistics(query_terms(queries), index.term_stats(field), index.field_stats(field))
-    return match(index.postings(field), materialize(terms, "query-terms"))
-
-
 def rank_models(
     index, queries: DataFrame, contributions: dict, k: int, label: str = "run_id", field: str = "text"
 ) -> DataFrame:
     """Rankings of several models: ``(label, query_id, rank, doc_id, score)``.
 
-    Queries are matched and grouped once, with one sum per model in the same
-    aggregation. Only then does each (query, document) become a row per model.
+    Queries are matched and grouped once, with one sum per model. A window alone
+    would then sort one row per query, document and model, only to drop nearly
+    all of them; so batches of rows are first cut to their own best ``k``, which
+    contain the best ``k`` of all.
     """
-    sums = [F.round(F.sum(c), SCORE_DIGITS).alias(f"s{i}") for i, c in enumerate(contributions.values())]
-    scored = matches_of(index, queries, field).groupBy("query_id", "doc_id").agg(*sums)
-    per_model = F.array(
-        *[F.struct(F.lit(name).alias(label), F.col(f"s{i}").alias("score")) for i, name in enumerate(contributions)]
-    )
-    return top_k(scored.select("query_id", "doc_id", F.inline(per_model)), k, label)
+    scored = score(matches_of(index, queries, field), list(contributions.values()))
+    schema = "model INT, query_id BIGINT, doc_id BIGINT, score DOUBLE"
+    kept = scored.mapInArrow(_best_of_batches(k, len(contributions)), schema)
+    names = F.array(*[F.lit(name) for name in contributions])
+    return top_k(kept.withColumn(label, F.get(names, F.col("model"))), k, label)
+
+
+def _best_of_batches(k: int, models: int):
+    """Cuts every ``BATCH_ROWS`` rows to the best ``k`` per query and model."""
+
+    def best(table: pa.Table):
+        query, doc = table["query_id"].to_numpy(), table["doc_id"].to_numpy()
+        for model in range(models):
+            score = table[f"s{model}"].to_numpy()
+            order = np.lexsort((doc, -score, query))
+            ordered = query[order]
+            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+            place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+            chosen = order[place < k]
+            columns = [np.full(len(chosen), model, np.int32), query[chosen], doc[chosen], score[chosen]]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["model", "query_id", "doc_id", "score"])
+
+    def cut(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BATCH_ROWS:
+                yield from best(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from best(pa.Table.from_batches(held))
+
+    return cut
 
 
 def search(index, queries: DataFrame, model: str, k: int, field: str = "text", lam: float = 0.5) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` for all queries."""
     if k < 1:
         raise ValueError("k must be positive")
-    return top_k(score(matches_of(index, queries, field), contribution_of(model, lam)), k)
+    scored = score(matches_of(index, queries, field), [contribution_of(model, lam)])
+    return top_k(scored.withColumnRenamed("s0", "score"), k)
 
 
 def with_document(run: DataFrame, docs: DataFrame, *columns: str) -> DataFrame:
