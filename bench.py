@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the cores.
 ``index_build`` and ``judgements`` are timed on their own, as later queries read
-their stored tables. Arguments restrict the queries.
+their stored tables. Every query runs twice and the second run counts. Arguments
+restrict the queries.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ import os
 import sys
 import time
 
+from textloom.plans.index import build_index
 from textloom.registry import QUERIES
-from textloom.registry.base import workspace
-from textloom.session import local_session
+from textloom.registry.base import containing_documents, workspace
+from textloom.session import local_session, scratch_path
 
 HEADLINE = [
     "tokenize",
@@ -61,14 +63,16 @@ def main() -> None:
     times: dict[str, float] = {}
 
     def timed(name, action):
-        start = time.perf_counter()
-        action()
-        times[name] = round(time.perf_counter() - start, 3)
+        # The first run compiles the plan; the second is what is reported.
+        for _ in range(2):
+            start = time.perf_counter()
+            action()
+            times[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
 
     shared = workspace(spark, folder)
-    timed("index_build", lambda: shared.index)
-    timed("judgements", lambda: shared.qrels)
+    timed("index_build", lambda: build_index(shared.texts, scratch_path(spark, "bench-index")))
+    timed("judgements", lambda: run(containing_documents(shared.documents, shared.queries)))
     for name in wanted:
         timed(name, lambda: run(QUERIES[name](spark, folder)))
     result = {

@@ -1,9 +1,8 @@
 """From texts to the flat term tables.
 
-Texts are moved once, by document id; then all that concerns one document
-(term counts, length) is computed without another shuffle, because a
-partitioning by ``doc_id`` also serves grouping by ``(doc_id, …)``. Moving a
-text is several times cheaper than moving its words as rows.
+A text is one row, so all that concerns one document (its terms, their counts
+and positions, its length) is computed where the text lies. Only statistics
+across documents are shuffled, after they are counted within each partition.
 """
 
 from __future__ import annotations
@@ -34,9 +33,9 @@ def spread(texts: DataFrame) -> DataFrame:
     return texts.repartition(texts.sparkSession.sparkContext.defaultParallelism, "doc_id")
 
 
-def by_document(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+def by_document(docs: DataFrame, partitions: int) -> DataFrame:
     """``docs`` partitioned by document id."""
-    return docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
+    return docs.repartition(partitions, "doc_id")
 
 
 def tokenize(stacked: DataFrame, pattern: str = tx.WORD_PATTERN) -> DataFrame:
@@ -44,27 +43,42 @@ def tokenize(stacked: DataFrame, pattern: str = tx.WORD_PATTERN) -> DataFrame:
     return stacked.select("doc_id", "field", F.posexplode(tx.words("text", pattern)).alias("pos", "term"))
 
 
-def term_vectors(
-    stacked: DataFrame, positions: bool = False, partitions: int | None = None, pattern: str = tx.WORD_PATTERN
-) -> DataFrame:
-    """Postings: ``(doc_id, field, term, tf, dl[, positions])``.
+def _held(expression: Column, name: str) -> Column:
+    """A column that later expressions refer to without computing it again per element."""
+    return F.inline(F.array(F.struct(expression.alias(name))))
 
-    ``dl``, the number of words of the document in the field, is carried along,
-    so that ranking needs no join with a document table. Positions belong to one
-    text, so their list is bounded by it.
+
+def term_vectors(stacked: DataFrame, positions: bool = False, pattern: str = tx.WORD_PATTERN) -> DataFrame:
+    """Postings: ``(doc_id, field, term, tf, dl[, positions])``. No shuffle and no hash table.
+
+    The words of a text are sorted within its row, so that each run of equal
+    words is one posting. ``dl``, the number of words of the document in the
+    field, is carried along, so that ranking needs no join with a document
+    table. Positions belong to one text, so their list is bounded by it.
     """
-    texts = by_document(stacked, partitions).select("doc_id", "field", tx.words("text", pattern).alias("words"))
-    length = F.size("words").cast("long").alias("dl")
-    keys = ["doc_id", "field", "term"]
-    if not positions:
-        tokens = texts.select("doc_id", "field", length, F.explode("words").alias("term"))
-        counted = tokens.groupBy(*keys).agg(F.count("*").alias("tf"), F.min("dl").alias("dl"))
-        return counted.select(*keys, "tf", "dl")
-    tokens = texts.select("doc_id", "field", length, F.posexplode("words").alias("pos", "term"))
-    counted = tokens.groupBy(*keys).agg(
-        F.count("*").alias("tf"), F.min("dl").alias("dl"), F.sort_array(F.collect_list("pos")).alias("positions")
+    words = tx.words("text", pattern)
+    if positions:
+        words = F.transform(words, lambda word, pos: F.struct(word.alias("term"), pos.alias("pos")))
+
+    def term_at(i: Column) -> Column:
+        entry = F.get(F.col("sorted"), i)
+        return entry["term"] if positions else entry
+
+    texts = stacked.select("doc_id", "field", _held(F.sort_array(words), "sorted")).where(F.size("sorted") > 0)
+    first = F.filter(
+        F.sequence(F.lit(0), F.size("sorted") - 1), lambda i: (i == 0) | (term_at(i) != term_at(i - 1))
     )
-    return counted.select(*keys, "tf", "dl", "positions")
+    runs = texts.select("doc_id", "field", "sorted", _held(first, "starts"))
+
+    def posting(start: Column, number: Column) -> Column:
+        tf = F.coalesce(F.get("starts", number + 1), F.size("sorted")) - start
+        columns = [term_at(start).alias("term"), tf.cast("long").alias("tf"), F.size("sorted").cast("long").alias("dl")]
+        if positions:
+            run = F.slice("sorted", start + 1, tf)
+            columns.append(F.transform(run, lambda entry: entry["pos"]).alias("positions"))
+        return F.struct(*columns)
+
+    return runs.select("doc_id", "field", F.inline(F.transform("starts", posting)))
 
 
 def doc_lengths(stacked: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ _IDF = "1 + log10((1 + doc_count) / (1 + df))"
 
 @query("term_vectors", f"WITH {sql.TOK}, {sql.POST} SELECT doc_id, term, tf FROM post")
 def term_vectors(ws):
-    return ops.term_vectors(ws.texts).select("doc_id", "term", "tf")
+    return ops.term_vectors(ws.dealt_texts).select("doc_id", "term", "tf")
 
 
 @query("doc_freq", f"WITH {sql.TOK}, {sql.POST}, {sql.TS} SELECT term, df FROM ts")
@@ -97,7 +97,7 @@ def partial_term_stats(ws):
     FROM p GROUP BY ALL""",
 )
 def invert_index(ws):
-    return ops.invert_index(ops.term_vectors(ws.texts, positions=True)).drop("field")
+    return ops.invert_index(ops.term_vectors(ws.dealt_texts, positions=True)).drop("field")
 
 
 @query("idf_log10", f"WITH {sql.TERMS} SELECT term, df, round({_IDF}, 6) AS idf FROM ts CROSS JOIN fs")
