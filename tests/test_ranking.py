@@ -146,6 +146,13 @@ def test_cutting_batches_early_does_not_change_a_ranking(index, queries, monkeyp
         assert sorted(runs.where(F.col("lam") == lam).drop("lam").collect()) == sorted(one.collect())
 
 
+def test_ranking_in_shares_is_the_same(index, queries, monkeypatch):
+    expected = sorted(ranking.search(index, queries, "jm", 1).collect())
+    monkeypatch.setattr(ranking, "RANK_ROWS", 2)
+    assert ranking.parts_for(index, 1) > 1
+    assert sorted(ranking.search(index, queries, "jm", 1).collect()) == expected
+
+
 def test_long_lists_of_askers_are_split(spark, index, monkeypatch):
     rows = [(q, "green blue") for q in range(50)]
     queries = spark.createDataFrame(rows, "query_id BIGINT, text STRING")

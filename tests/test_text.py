@@ -74,3 +74,13 @@ def test_positions_and_inverted_blocks(spark, docs):
         (0, 1, "1:1:1"),
         (1, 1, "2:3:0,1,2"),
     ]
+
+
+def test_offsets_point_at_the_words(spark):
+    rows = [(0, "  Été -- don't stop."), (1, "x"), (2, ""), (3, "..."), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = ops.token_offsets(ops.stack_fields(docs, ["text"])).collect()
+    texts = {d: (t or "").lower() for d, t in rows}
+    assert len(found) == 4
+    for r in found:
+        assert texts[r["doc_id"]][r["start_offset"] : r["end_offset"]] == r["term"]

@@ -7,7 +7,7 @@ across documents are shuffled, after they are counted within each partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
@@ -81,6 +81,30 @@ def term_vectors(stacked: DataFrame, positions: bool = False, pattern: str = tx.
     return runs.select("doc_id", "field", F.inline(F.transform("starts", posting)))
 
 
+def token_offsets(stacked: DataFrame, pattern: str = tx.WORD_PATTERN) -> DataFrame:
+    """``(doc_id, field, pos, term, start_offset, end_offset)``: where each word stands in the lower-cased text.
+
+    The text before a word is what splitting at the words leaves there, so the
+    running length of both is its offset. The words of a text become rows in one
+    task and are summed there: texts are partitioned by document before.
+    """
+    lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    texts = stacked.repartition("doc_id").select(
+        "doc_id", "field", tx.words("text", pattern).alias("words"), F.split(lowered, pattern).alias("gaps")
+    )
+    rows = texts.select("doc_id", "field", F.posexplode(F.arrays_zip("words", "gaps")).alias("pos", "entry"))
+    lengths = rows.select(
+        "doc_id", "field", "pos", F.col("entry.words").alias("term"), F.length("entry.gaps").alias("gap")
+    )
+    before = Window.partitionBy("doc_id", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.length("term")).over(before)
+    return (
+        lengths.withColumn("end_offset", end)
+        .where(F.col("term").isNotNull())
+        .select("doc_id", "field", "pos", "term", (F.col("end_offset") - F.length("term")).alias("start_offset"), "end_offset")
+    )
+
+
 def doc_lengths(stacked: DataFrame) -> DataFrame:
     """``(doc_id, field, dl, n_terms)`` for every document, empty ones included. No shuffle."""
     found = stacked.select("doc_id", "field", tx.words("text").alias("words"))

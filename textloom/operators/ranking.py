@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +23,9 @@ QUERY_BLOCK = 1000
 # Rows that one task holds while it cuts them to the best.
 BATCH_ROWS = 500_000
 
+# Rows of one query that one task may rank.
+RANK_ROWS = 1_000_000
+
 
 def select_queries(queries: DataFrame, spec: str = "all") -> DataFrame:
     """``all``, one id, or an inclusive range ``a-b`` (also given as ``b-a``)."""
@@ -76,14 +81,28 @@ def score(matches: DataFrame, contributions: list[Column]) -> DataFrame:
     return unfolded.groupBy("query_id", "doc_id").agg(*sums)
 
 
-def top_k(scores: DataFrame, k: int, *keys: str) -> DataFrame:
+def top_k(scores: DataFrame, k: int, *keys: str, parts: int = 1) -> DataFrame:
     """At most ``k`` documents per query, best score first, ties by document id.
 
-    Spark keeps only the best ``k`` of each partition before it shuffles.
+    Spark keeps only the best ``k`` of each partition before it shuffles, so one
+    task sees ``k`` rows per partition of the input. ``parts`` > 1 ranks that
+    many shares of the documents first, each in its own task.
     """
-    order = Window.partitionBy(*keys, "query_id").orderBy(F.desc("score"), "doc_id")
-    ranked = scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(*keys, "query_id", "rank", "doc_id", "score")
+
+    def ranked(rows: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.desc("score"), "doc_id")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    group = [*keys, "query_id"]
+    if parts > 1:
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+        scores = ranked(scores.withColumn("part", share), *group, "part").drop("part", "rank")
+    return ranked(scores, *group).select(*group, "rank", "doc_id", "score")
+
+
+def parts_for(index, k: int) -> int:
+    """Shares needed so that no task ranks more than ``RANK_ROWS`` rows of a query."""
+    return max(1, math.ceil(index.buckets * k / RANK_ROWS))
 
 
 def contribution_of(model: str, lam: float = 0.5) -> Column:
@@ -108,7 +127,7 @@ def rank_models(
     schema = "model INT, query_id BIGINT, doc_id BIGINT, score DOUBLE"
     kept = scored.mapInArrow(_best_of_batches(k, len(contributions)), schema)
     names = F.array(*[F.lit(name) for name in contributions])
-    return top_k(kept.withColumn(label, F.get(names, F.col("model"))), k, label)
+    return top_k(kept.withColumn(label, F.get(names, F.col("model"))), k, label, parts=parts_for(index, k))
 
 
 def _best_of_batches(k: int, models: int):
@@ -145,7 +164,7 @@ def search(index, queries: DataFrame, model: str, k: int, field: str = "text", l
     if k < 1:
         raise ValueError("k must be positive")
     scored = score(matches_of(index, queries, field), [contribution_of(model, lam)])
-    return top_k(scored.withColumnRenamed("s0", "score"), k)
+    return top_k(scored.withColumnRenamed("s0", "score"), k, parts=parts_for(index, k))
 
 
 def with_document(run: DataFrame, docs: DataFrame, *columns: str) -> DataFrame:

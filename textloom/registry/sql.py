@@ -2,11 +2,11 @@
 
 from textloom.functions.text import WORD_PATTERN
 
-_PATTERN = WORD_PATTERN.replace("'", "''")
+PATTERN = WORD_PATTERN.replace("'", "''")
 
 
 def words(text: str) -> str:
-    return f"regexp_extract_all(lower({text}), '{_PATTERN}')"
+    return f"regexp_extract_all(lower({text}), '{PATTERN}')"
 
 
 TOK = f"tok AS (SELECT doc_id, unnest({words('text')}) AS term FROM documents)"

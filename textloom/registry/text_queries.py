@@ -31,6 +31,21 @@ def token_positions(ws):
     return ops.tokenize(ws.dealt_texts).select("doc_id", "term", F.col("pos").cast("long").alias("pos"))
 
 
+@query(
+    "token_offsets",
+    f"""WITH w AS (SELECT doc_id, {sql.words('text')} AS words, string_split_regex(lower(text), '{sql.PATTERN}') AS gaps
+        FROM documents),
+    t AS (SELECT doc_id, unnest(range(len(words))) AS pos, unnest(words) AS term, unnest(gaps[:len(words)]) AS gap FROM w),
+    e AS (SELECT doc_id, pos, term, CAST(sum(length(gap) + length(term))
+        OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS end_offset
+        FROM t)
+    SELECT doc_id, pos, term, end_offset - length(term) AS start_offset, end_offset FROM e""",
+)
+def token_offsets(ws):
+    found = ops.token_offsets(ws.texts)
+    return found.select("doc_id", F.col("pos").cast("long").alias("pos"), "term", "start_offset", "end_offset")
+
+
 @query("join_lines", _WITH_LINES + "SELECT doc_id, coalesce(array_to_string(lines, ' '), '') AS joined FROM l")
 def join_lines(ws):
     return ws.documents.select("doc_id", tx.join_lines(F.col("text")).alias("joined"))
