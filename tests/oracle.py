@@ -46,7 +46,7 @@ def compare(spark, con, folder: str, name: str) -> str | None:
     want = _sorted([d[0] for d in result.description], result.fetchall())
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     for column, kind in df.dtypes:
         if kinds.get(kind) != types[column]:
             return f"type of {column}: {kind} != {types[column]}"

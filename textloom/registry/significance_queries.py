@@ -74,9 +74,29 @@ def welch_statistics(ws):
     return rounded(comparison.welch_statistics(_paired(ws)), "mean_a", "mean_b", "t", "dof")
 
 
-@query("welch_p_value")
+def _area(density: str, bound: str, keys: str, source: str) -> str:
+    """CTE ``p(keys, p_value)``: two-sided tail area beyond ``bound``, by Simpson's rule on 2000 intervals."""
+    return f"""p AS (SELECT {keys}, 1 - 2 * abs({bound}) / 6000 * sum(w * {density}) AS p_value FROM (
+    SELECT *, abs({bound}) * i / 2000 AS x, CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+    FROM {source} CROSS JOIN (SELECT unnest(range(2001)) AS i)) GROUP BY {keys}, {bound})"""
+
+
+_T_DENSITY = """exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) * pow(1 + x * x / dof, -(dof + 1) / 2)"""
+_ALPHA = 0.05
+
+
+@query(
+    "welch_p_value",
+    f"""{_PAIRED}, s AS (SELECT run_a, run_b, metric, count(*) AS n, avg(a) - avg(b) AS diff,
+        var_samp(a) / count(*) AS sa, var_samp(b) / count(*) AS sb FROM paired GROUP BY ALL),
+    w AS (SELECT run_a, run_b, metric, CASE WHEN sa + sb > 0 THEN diff / sqrt(sa + sb) END AS t,
+        pow(sa + sb, 2) / (sa * sa / (n - 1) + sb * sb / (n - 1)) AS dof FROM s),
+    {_area(_T_DENSITY, "t", "run_a, run_b, metric", "w")}
+    SELECT run_a, run_b, metric, round(p_value, 6) AS p_value, p_value < {_ALPHA} AS reject FROM p""",
+)
 def welch_p_value(ws):
-    return comparison.welch_t_test(_paired(ws), alpha=0.05)
+    tested = comparison.welch_t_test(_paired(ws), alpha=_ALPHA)
+    return rounded(tested.select("run_a", "run_b", "metric", "p_value", "reject"), "p_value")
 
 
 _SIGNED = f"""{_PAIRED}, d AS (SELECT run_a, run_b, metric, cut, round(b - a, 9) AS d FROM paired),
@@ -96,8 +116,42 @@ def wilcoxon_statistics(ws):
     return rounded(comparison.wilcoxon_statistics(_paired(ws)), "w_plus", "w_minus", "w")
 
 
-@query("wilcoxon_p_value")
+def _wilcoxon_p_sql(signed: str) -> str:
+    """Exact up to 30 queries, by counting the subsets of ranks of each sum; else the normal approximation."""
+    return f"""WITH RECURSIVE {signed.removeprefix("WITH ")},
+counts(r, c) AS (SELECT 0, list_transform(range(466), lambda s: CASE WHEN s = 0 THEN 1.0::DOUBLE ELSE 0 END)
+    UNION ALL SELECT r + 1, list_transform(range(466), lambda s: c[s + 1] + CASE WHEN s > r THEN c[s - r] ELSE 0 END)
+    FROM counts WHERE r < 30),
+z AS (SELECT *, (least(w_plus, w_minus) - n * (n + 1) / 4 - 0.5::DOUBLE) / sqrt(n * (n + 1) * (2 * n + 1) / 24) AS z FROM signed),
+{_area("exp(-x * x / 2) / sqrt(2 * pi())", "z", "run_a, run_b, metric", "z")},
+e AS (SELECT p.run_a, p.run_b, p.metric, CASE WHEN n <= 30
+        THEN least(1, 2 * list_sum(c[CAST(ceil(greatest(w_plus, w_minus)) AS BIGINT) + 1:]) / pow(2, n))
+        ELSE least(1, p_value) END AS p_value
+    FROM p JOIN signed g USING (run_a, run_b, metric) LEFT JOIN counts ON r = n)
+SELECT run_a, run_b, metric, round(p_value, 6) AS p_value, p_value < {_ALPHA} AS reject FROM e"""
+
+
+def _wilcoxon(ws, values):
+    pairs = ws.spark.createDataFrame(PAIRS, "run_a STRING, run_b STRING")
+    tested = comparison.compare_runs(values, pairs, "wilcoxon", _ALPHA)
+    return rounded(tested.select("run_a", "run_b", "metric", "p_value", "reject"), "p_value")
+
+
+@query("wilcoxon_p_value", _wilcoxon_p_sql(_SIGNED))
 def wilcoxon_p_value(ws):
-    return comparison.compare_runs(
-        _values(ws), ws.spark.createDataFrame(PAIRS, "run_a STRING, run_b STRING"), "wilcoxon"
-    )
+    return _wilcoxon(ws, _values(ws))
+
+
+@query(
+    "wilcoxon_test_half",
+    _wilcoxon_p_sql(
+        _SIGNED.replace(
+            "AS d FROM paired",
+            "AS d FROM paired WHERE query_id > (SELECT (min(item_id) + max(item_id)) // 2 FROM benchmark)",
+        )
+    ),
+)
+def wilcoxon_test_half(ws):
+    """The same on the test part of the queries, as after a sweep on the training part."""
+    test = ranking.select_queries(ws.queries, ws.query_halves[1]).select("query_id")
+    return _wilcoxon(ws, _values(ws).join(test, "query_id", "left_semi"))
