@@ -67,6 +67,20 @@ def test_grouping_by_document_needs_no_shuffle(index, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
+def test_large_vocabulary_gives_the_same_index(spark, docs, index, new_path, monkeypatch):
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 0)
+    other = build_index(ops.stack_fields(docs, ["text"]), new_path("large"), buckets=2)
+    assert rows(other.postings()) == rows(index.postings())
+    assert rows(other.doc_stats()) == rows(index.doc_stats())
+
+
+def test_weights_need_no_shuffle(index, capsys):
+    weighting.vector_norms(weighting.vectorize(index, "text", "tfidf")).explain()
+    top_terms.best_terms_in_docs(index, 3, "tfidf").explain()
+    plans = capsys.readouterr().out
+    assert "Exchange" not in plans.replace("BroadcastExchange", "") and "term_stats" not in plans
+
+
 def test_salted_join_equals_broadcast_join(spark, capsys):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     postings = ops.term_vectors(ops.stack_fields(docs, ["text"]))

@@ -14,7 +14,7 @@ from textloom.functions import text as tx
 
 
 def stack_fields(docs: DataFrame, fields: list[str], doc_id: str = "doc_id") -> DataFrame:
-    """One row per document and text field: ``(doc_id, field, text)``."""
+    """One row per document and text field: ``(doc_id, field, text)``; ``doc_id`` identifies a row of ``docs``."""
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *[F.col(f).cast("string") for f in fields])
     if len(fields) == 1:
         return chosen.select("doc_id", F.lit(fields[0]).alias("field"), F.col(fields[0]).alias("text"))

@@ -64,7 +64,8 @@ def matches_of(index, queries: DataFrame, field: str) -> DataFrame:
     to compute it again.
     """
     terms = with_statistics(query_terms(queries), index.term_stats(field), index.field_stats(field))
-    return join_on_term(index.postings(field), materialize(terms, "query-terms"))
+    postings = index.postings(field).select("doc_id", "field", "term", "tf", "dl")
+    return join_on_term(postings, materialize(terms, "query-terms"))
 
 
 def score(matches: DataFrame, contributions: list[Column]) -> DataFrame:

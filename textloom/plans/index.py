@@ -5,6 +5,11 @@ joining them by document needs no shuffle, at any size. For that the texts are
 moved once, before they are tokenized: moving a text is several times cheaper
 than moving its words as rows. Within a bucket the postings are sorted by field
 and term, so a filter on a term skips row groups.
+
+Each posting carries the document and collection frequency of its term. Sorted
+by term these columns are runs of one value and take next to no room; in return
+the one large join, postings with term statistics, is made once at build time
+and no weighting ever repeats it.
 """
 
 from __future__ import annotations
@@ -16,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
-from textloom.operators.joins import measured_size
+from textloom.operators.joins import is_small, join_on_term, measured_size
 
 MAX_BUCKETS = 100_000
 
-POSTINGS_SCHEMA = "doc_id BIGINT, field STRING, term STRING, tf BIGINT, dl BIGINT"
+POSTINGS_SCHEMA = "doc_id BIGINT, field STRING, term STRING, tf BIGINT, dl BIGINT, df BIGINT, cf BIGINT"
 DOC_STATS_SCHEMA = "doc_id BIGINT, field STRING, dl BIGINT, n_terms BIGINT"
 TERM_STATS_SCHEMA = "field STRING, term STRING, df BIGINT, cf BIGINT"
 FIELD_STATS_SCHEMA = (
@@ -86,7 +91,10 @@ def default_buckets(stacked: DataFrame) -> int:
 
 
 def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
-    """Tokenize the texts ``(doc_id, field, text)`` once and store the term tables below ``path``.
+    """Tokenize the texts ``(doc_id, field, text)`` and store the term tables below ``path``.
+
+    A first pass counts the terms, a second one writes the postings with these
+    counts.
 
     Statistics are kept apart by ``field``. ``stack_fields`` gives several text
     columns of a collection; ``stack_folders`` makes each first-level folder a
@@ -94,8 +102,16 @@ def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> Te
     """
     spark = stacked.sparkSession
     buckets = buckets or default_buckets(stacked)
-    vectors = ops.term_vectors(ops.by_document(stacked, buckets))
-    postings = _write_bucketed(vectors, path, "postings", buckets, "field", "term")
+    ops.term_stats(ops.term_vectors(ops.spread(stacked))).write.mode("overwrite").parquet(f"{path}/term_stats")
+    term_stats = spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats")
+    terms, term_bytes = size = measured_size(term_stats)
+    if is_small(term_stats, size):
+        vectors = ops.term_vectors(ops.by_document(stacked, buckets))
+        postings = join_on_term(vectors, term_stats, size)
+    else:
+        postings = ops.by_document(join_on_term(ops.term_vectors(stacked), term_stats, size), buckets)
+    columns = ["doc_id", "field", "term", "tf", "dl", "df", "cf"]
+    postings = _write_bucketed(postings.select(*columns), path, "postings", buckets, "field", "term")
 
     counted = postings.groupBy("doc_id", "field").agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
     doc_stats = (
@@ -105,13 +121,10 @@ def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> Te
     )
     doc_stats = _write_bucketed(doc_stats, path, "doc_stats", buckets, "doc_id")
 
-    ops.term_stats(postings).write.mode("overwrite").parquet(f"{path}/term_stats")
     ops.field_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/field_stats")
-
-    terms, term_bytes = measured_size(spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"))
     layout = spark.createDataFrame([(buckets, terms, term_bytes)], LAYOUT_SCHEMA)
     layout.write.mode("overwrite").json(f"{path}/layout")
-    return TextIndex(spark, path, buckets, (terms, term_bytes))
+    return TextIndex(spark, path, buckets, size)
 
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:
