@@ -177,14 +177,30 @@ def test_reports_of_the_other_layout_are_read(spark, tmp_path):
 
 
 def test_report_names(spark):
-    jm, classic = reports.report_name("1-20", "21-30", "MAP", 10), reports.report_name(None, "21-30", "MAP", 10)
+    jm = reports.report_name("docs.jm", "1-20", "21-30", "MAP", 10)
+    classic = reports.report_name("docs.classic", None, "21-30", "MAP", 10)
     row = spark.createDataFrame([(jm,)], "name STRING").select(*reports.parse_run_name(F.col("name"))).first()
-    assert tuple(row) == (21, 30, "MAP", 10)
+    assert tuple(row) == ("docs.jm", 21, 30, "MAP", 10)
     assert reports.comparable(jm, classic)
-    assert not reports.comparable(jm, reports.report_name(None, "21-30", "P", 10))
+    assert not reports.comparable(jm, reports.report_name("docs.jm", None, "21-30", "P", 10))
     assert not reports.comparable("a.csv", "a.csv")
 
 
+def test_all_reports_of_a_folder_are_read_in_one_scan(spark, new_path):
+    folder = new_path("reports")
+    for run, value in (("docs.jm", 0.5), ("docs.classic", 0.25)):
+        values = spark.createDataFrame([(21, value), (22, value / 2)], "query_id BIGINT, value DOUBLE")
+        name = reports.report_name(run, None, "21-22", "MAP", 10)
+        reports.write_report(reports.run_table(values, run), f"{folder}/{name}", "MAP", 10)
+    found = sorted(map(tuple, reports.read_named_results(spark, folder).collect()))
+    assert found == [
+        ("docs.classic", 21, 22, "MAP", 10, 21, 0.25),
+        ("docs.classic", 21, 22, "MAP", 10, 22, 0.125),
+        ("docs.jm", 21, 22, "MAP", 10, 21, 0.5),
+        ("docs.jm", 21, 22, "MAP", 10, 22, 0.25),
+    ]
+
+
 def test_ranking_report_has_a_folder_per_run(spark, new_path):
     run = spark.createDataFrame([("a", 1, 1, 5, 0.5), ("b", 1, 1, 6, 0.4)], "run_id STRING, query_id BIGINT, rank INT, doc_id BIGINT, score DOUBLE")
     path = new_path("ranking")

@@ -8,7 +8,7 @@ from textloom.operators import evaluation, ranking
 from textloom.registry import sql
 from textloom.registry.base import query, rounded
 from textloom.registry.text_queries import _LINES
-from textloom.session import scratch_path
+from textloom.session import materialize, scratch_path
 from textloom.sources import files, records, reports, tables
 
 
@@ -123,3 +123,28 @@ def report_round_trip(ws):
     table = reports.run_table(values.select("query_id", F.col("average_precision").alias("value")), "classic")
     reports.write_report(table, path, "MAP", 10)
     return rounded(reports.read_run_results(ws.spark, path, "classic"), "value")
+
+
+@query(
+    "named_reports",
+    f"""WITH {sql.MATCHES}, {sql.QRELS}, {sql.ranked(sql.CLASSIC, name="c")}, {sql.ranked(sql.jm("0.1::DOUBLE"), name="j")},
+    {sql.measured(run="c", name="cq")}, {sql.measured(run="j", name="jq")},
+    b AS (SELECT min(item_id) AS test_from, max(item_id) AS test_to FROM benchmark),
+    v AS (SELECT 'documents.classic' AS run_id, * FROM cq UNION ALL SELECT 'documents.jm', * FROM jq)
+    SELECT run_id, test_from, test_to, 'MAP' AS metric, CAST(10 AS INTEGER) AS cut, query_id,
+        round(average_precision, 6) AS value FROM v CROSS JOIN b""",
+)
+def named_reports(ws):
+    """Reports of two runs, told apart by their names alone when read back."""
+    models = {"documents.classic": ranking.contribution_of("classic"), "documents.jm": ranking.contribution_of("jm", 0.1)}
+    runs = ranking.rank_models(ws.index, ws.queries, models, 10)
+    measured = materialize(
+        evaluation.per_query_metrics(runs, ws.qrels, ws.queries, 10, by="run_id", by_values=list(models)), "measured"
+    )
+    bounds = ws.queries.agg(F.min("query_id").alias("low"), F.max("query_id").alias("high")).first()
+    folder = scratch_path(ws.spark, "reports")
+    for run in models:
+        values = measured.where(F.col("run_id") == run).select("query_id", F.col("average_precision").alias("value"))
+        name = reports.report_name(run, None, f"{bounds['low']}-{bounds['high']}", "MAP", 10)
+        reports.write_report(reports.run_table(values, run), f"{folder}/{name}", "MAP", 10)
+    return rounded(reports.read_named_results(ws.spark, folder), "value")

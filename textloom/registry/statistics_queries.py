@@ -125,12 +125,14 @@ def tfidf_ratio(ws):
 
 @query(
     "vector_norms",
-    f"""WITH {sql.TERMS} SELECT doc_id, round(sum(tf * (max_doc / df)), 6) AS l1,
-        round(sqrt(sum(pow(tf * (max_doc / df), 2))), 6) AS l2
+    f"""WITH {sql.TERMS} SELECT doc_id, round(sum(tf * (max_doc / df)), 3) AS l1,
+        round(sqrt(sum(pow(tf * (max_doc / df), 2))), 3) AS l2
     FROM post JOIN ts USING (term) CROSS JOIN fs GROUP BY doc_id""",
 )
 def vector_norms(ws):
-    return rounded(weighting.vector_norms(weighting.vectorize(ws.index, "text", "tfidf")), "l1", "l2")
+    """Sums of up to a million: three decimals are left of any order of summation."""
+    norms = weighting.vector_norms(weighting.vectorize(ws.index, "text", "tfidf"))
+    return norms.withColumns({c: F.round(c, 3) for c in ("l1", "l2")})
 
 
 @query(

@@ -72,6 +72,19 @@ def line_count(ws):
     return ws.documents.select("doc_id", tx.line_count(F.col("text")).cast("long").alias("n_lines"))
 
 
+@query(
+    "time_keys",
+    """SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') AS millis_key, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso
+    FROM events""",
+)
+def time_keys(ws):
+    """Both text forms of all event times, which the table gives as UTC without a zone."""
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    return ws.table("events").select(
+        "event_id", tx.to_millis_key(instant).alias("millis_key"), tx.iso_time(instant).alias("iso")
+    )
+
+
 @query("clean_query", f"SELECT item_id AS query_id, {sql.QUERY_TEXT} AS cleaned FROM benchmark")
 def clean_query(ws):
     return select_queries(ws.queries, "all").select("query_id", tx.clean_query(F.col("text")).alias("cleaned"))

@@ -59,15 +59,32 @@ def read_run_results(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     ).where("query_id IS NOT NULL")
 
 
-def report_name(train: str | None, test: str, metric: str, cut: int) -> str:
+def report_name(run: str, train: str | None, test: str, metric: str, cut: int) -> str:
     """The dotted name of a test report; ``train`` is the training range, or none for the classic model."""
-    return f"run.training.{train or 'null'}.test.{test}.{metric.lower()}{cut}.test.csv"
+    return f"{run}.training.{train or 'null'}.test.{test}.{metric.lower()}{cut}.test.csv"
+
+
+def read_named_results(spark: SparkSession, path: str) -> DataFrame:
+    """All reports below ``path`` in one scan, with what their names tell.
+
+    ``(run_id, test_from, test_to, metric, cut, query_id, value)``; lines of
+    heading and means are skipped.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", "_metadata.file_path")
+    name = F.regexp_extract("file_path", r"([^/]+\.test\.csv)(?:/[^/]*)?$", 1)
+    row = rf"^{QUERY_WORD} ?(\d+){SEPARATOR}([^{SEPARATOR}]+)"
+    return lines.where(F.col("value").rlike(row)).select(
+        *parse_run_name(name),
+        F.regexp_extract("value", row, 1).cast("long").alias("query_id"),
+        F.regexp_extract("value", row, 2).cast("double").alias("value"),
+    )
 
 
 def parse_run_name(name: Column) -> list[Column]:
-    """Test range, metric and cut of a dotted report name, as ``test_from, test_to, metric, cut``."""
+    """Run, test range, metric and cut of a dotted report name, as ``run_id, test_from, test_to, metric, cut``."""
     pattern = r"\.test\.(\d+)-(\d+)\.([a-z]+)(\d+)\.test\.csv"
     return [
+        F.regexp_extract(name, r"^(.*?)\.training\.", 1).alias("run_id"),
         F.regexp_extract(name, pattern, 1).cast("long").alias("test_from"),
         F.regexp_extract(name, pattern, 2).cast("long").alias("test_to"),
         F.upper(F.regexp_extract(name, pattern, 3)).alias("metric"),
