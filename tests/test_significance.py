@@ -1,7 +1,6 @@
 import itertools
 
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.functions.significance import normal_two_sided, student_t_two_sided
 from textloom.operators import comparison

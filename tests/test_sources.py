@@ -45,6 +45,11 @@ def test_tree_is_scanned_with_its_folders(spark, tree):
     }
 
 
+def test_root_may_be_given_with_a_scheme(spark, tree):
+    plain = names(files.read_text_tree(spark, tree))
+    assert names(files.read_text_tree(spark, f"file://{tree}/")) == names(files.read_text_tree(spark, f"file:{tree}")) == plain
+
+
 def test_extensions_and_depth(spark, tree):
     assert names(files.read_text_tree(spark, tree, extensions=[".txt"])) == [
         "a/deep/lower.txt",

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 MAX_CENTROID_VALUES = 100_000
 
 
+def points_of(df: DataFrame, id_column: str, features: list[str]) -> DataFrame:
+    """Rows as points ``(id, x)``, with the chosen columns as coordinates."""
+    return df.select(F.col(id_column).alias("id"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+
+
 def feature_bounds(points: DataFrame) -> tuple[list[float], list[float]]:
     """Minimum and maximum per dimension, in one pass."""
     values = points.select(F.posexplode("x").alias("dim", "value"))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
 
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def read_text_tree(
     spark: SparkSession,
     path: str,
@@ -29,9 +34,10 @@ def read_text_tree(
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if extensions:
         reader = reader.option("pathGlobFilter", "*.{%s}" % ",".join(e.lstrip(".") for e in extensions))
-    root = path.rstrip("/") + "/"
-    # The listing may add a scheme ("file:/…"), so the root is found inside the path.
-    rel_path = F.substring(F.col("path"), F.instr(F.col("path"), F.lit(root)) + F.lit(len(root)), F.length("path"))
+    # Given and listed paths may write the scheme in different ways, so both are compared without it.
+    root = re.sub(SCHEME, "", path).rstrip("/") + "/"
+    listed = F.regexp_replace("path", SCHEME, "")
+    rel_path = F.substring(listed, F.instr(listed, F.lit(root)) + F.lit(len(root)), F.length(listed))
     parts = F.split("rel_path", "/")
     files = reader.load(path).select(
         "path",
