@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from textloom.operators import postings as ops
 from textloom.operators import top_terms, weighting
 from textloom.operators.joins import join_on_term
-from textloom.plans.index import build_index, open_index
+from textloom.plans.index import build_index, open_index, update_index
+from textloom.sources.tables import upsert_documents
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,6 +68,22 @@ def test_grouping_by_document_needs_no_shuffle(index, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
+def test_updated_index_equals_a_new_one(spark, docs, index, new_path):
+    incoming = spark.createDataFrame([(1, "red"), (3, ""), (7, "new blue")], "doc_id BIGINT, text STRING")
+    updated = update_index(index, ops.stack_fields(incoming, ["text"]), new_path("updated"))
+    whole = upsert_documents(docs, incoming)
+    rebuilt = build_index(ops.stack_fields(whole, ["text"]), new_path("rebuilt"))
+    for table in ("postings", "doc_stats", "term_stats", "field_stats"):
+        assert rows(getattr(updated, table)()) == rows(getattr(rebuilt, table)())
+    assert updated.field_stats("text").first()["max_doc"] == 5
+    # Both kinds of files of a bucket are read together: grouping by document still needs no shuffle.
+    assert rows(weighting.vector_norms(weighting.vectorize(updated, "text", "tf"))) == rows(
+        weighting.vector_norms(weighting.vectorize(rebuilt, "text", "tf"))
+    )
+    with pytest.raises(ValueError):
+        update_index(index, ops.stack_fields(incoming, ["text"]), index.path)
+
+
 def test_large_vocabulary_gives_the_same_index(spark, docs, index, new_path, monkeypatch):
     monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 0)
     other = build_index(ops.stack_fields(docs, ["text"]), new_path("large"), buckets=2)

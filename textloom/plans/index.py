@@ -31,6 +31,7 @@ TERM_STATS_SCHEMA = "field STRING, term STRING, df BIGINT, cf BIGINT"
 FIELD_STATS_SCHEMA = (
     "field STRING, doc_count BIGINT, max_doc BIGINT, sum_doc_freq BIGINT, sum_total_term_freq BIGINT"
 )
+VECTOR_COLUMNS = ["doc_id", "field", "term", "tf", "dl"]
 LAYOUT_SCHEMA = "buckets INT, terms BIGINT, term_bytes BIGINT"
 
 
@@ -94,35 +95,63 @@ def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> Te
     """Tokenize the texts ``(doc_id, field, text)`` and store the term tables below ``path``.
 
     A first pass counts the terms, a second one writes the postings with these
-    counts.
-
-    Statistics are kept apart by ``field``. ``stack_fields`` gives several text
-    columns of a collection; ``stack_folders`` makes each first-level folder a
-    collection of its own.
+    counts. Statistics are kept apart by ``field``. ``stack_fields`` gives several
+    text columns of a collection; ``stack_folders`` makes each first-level folder
+    a collection of its own.
     """
-    spark = stacked.sparkSession
     buckets = buckets or default_buckets(stacked)
-    ops.term_stats(ops.term_vectors(ops.spread(stacked))).write.mode("overwrite").parquet(f"{path}/term_stats")
-    term_stats = spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats")
-    terms, term_bytes = size = measured_size(term_stats)
-    if is_small(term_stats, size):
-        vectors = ops.term_vectors(ops.by_document(stacked, buckets))
-        postings = join_on_term(vectors, term_stats, size)
-    else:
-        postings = ops.by_document(join_on_term(ops.term_vectors(stacked), term_stats, size), buckets)
-    columns = ["doc_id", "field", "term", "tf", "dl", "df", "cf"]
+    placed = ops.by_document(stacked, buckets)
+    term_stats, size = _write_term_stats(ops.term_vectors(ops.spread(stacked)), path)
+    # A vocabulary too large to broadcast moves the postings anyway, so there the texts stay where they are.
+    vectors = ops.term_vectors(placed if is_small(term_stats, size) else stacked)
+    return _store(vectors, placed.select("doc_id", "field"), term_stats, size, path, buckets)
+
+
+def update_index(index: TextIndex, incoming: DataFrame, path: str) -> TextIndex:
+    """A new index below ``path``: ``incoming`` replaces documents of the same id, others are added.
+
+    Only the incoming texts are tokenized. The postings that stay are read from
+    ``index`` bucket by bucket and not shuffled; only the frequencies of terms
+    are counted anew.
+    """
+    if path.rstrip("/") == index.path.rstrip("/"):
+        raise ValueError("the updated index needs a new path")
+    placed = ops.by_document(incoming, index.buckets)
+    replaced = placed.select("doc_id").distinct()
+    kept = index.postings().select(*VECTOR_COLUMNS).join(replaced, "doc_id", "left_anti")
+    vectors = kept.unionByName(ops.term_vectors(placed).select(*VECTOR_COLUMNS))
+    stay = index.doc_stats().select("doc_id", "field").join(replaced, "doc_id", "left_anti")
+    documents = stay.unionByName(placed.select("doc_id", "field"))
+    term_stats, size = _write_term_stats(vectors, path)
+    return _store(vectors, documents, term_stats, size, path, index.buckets)
+
+
+def _write_term_stats(vectors: DataFrame, path: str) -> tuple[DataFrame, tuple[int, int]]:
+    ops.term_stats(vectors).write.mode("overwrite").parquet(f"{path}/term_stats")
+    written = vectors.sparkSession.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats")
+    return written, measured_size(written)
+
+
+def _store(
+    vectors: DataFrame, documents: DataFrame, term_stats: DataFrame, size: tuple[int, int], path: str, buckets: int
+) -> TextIndex:
+    """Write the tables that need the frequencies of terms."""
+    spark = vectors.sparkSession
+    postings = join_on_term(vectors, term_stats, size)
+    if not is_small(term_stats, size):
+        # The join was a shuffle by term, so the rows go back to their documents' buckets.
+        postings = ops.by_document(postings, buckets)
+    columns = [*VECTOR_COLUMNS, "df", "cf"]
     postings = _write_bucketed(postings.select(*columns), path, "postings", buckets, "field", "term")
 
     counted = postings.groupBy("doc_id", "field").agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
-    doc_stats = (
-        ops.by_document(stacked.select("doc_id", "field"), buckets)
-        .join(counted, ["doc_id", "field"], "left")
-        .select("doc_id", "field", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")])
+    doc_stats = documents.join(counted, ["doc_id", "field"], "left").select(
+        "doc_id", "field", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")]
     )
     doc_stats = _write_bucketed(doc_stats, path, "doc_stats", buckets, "doc_id")
 
     ops.field_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/field_stats")
-    layout = spark.createDataFrame([(buckets, terms, term_bytes)], LAYOUT_SCHEMA)
+    layout = spark.createDataFrame([(buckets, *size)], LAYOUT_SCHEMA)
     layout.write.mode("overwrite").json(f"{path}/layout")
     return TextIndex(spark, path, buckets, size)
 

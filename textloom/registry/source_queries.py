@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.operators import evaluation, ranking
+from textloom.operators.postings import stack_fields
+from textloom.plans import index as index_plans
 from textloom.registry import sql
 from textloom.registry.base import query, rounded
 from textloom.registry.text_queries import _LINES
@@ -88,6 +90,20 @@ def update_collection(ws):
     return ws.spark.read.parquet(updated)
 
 
+@query(
+    "update_index",
+    f"""WITH c AS (SELECT doc_id, text FROM documents ANTI JOIN (SELECT page_id AS doc_id FROM pages) USING (doc_id)
+        UNION ALL SELECT page_id AS doc_id, html AS text FROM pages),
+    tok AS (SELECT doc_id, unnest({sql.words("text")}) AS term FROM c), {sql.POST}, {sql.TS}
+    SELECT term, df, cf FROM ts""",
+)
+def update_index(ws):
+    """Term statistics after all pages were put into the index of the documents."""
+    pages = ws.table("pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))
+    updated = index_plans.update_index(ws.index, stack_fields(pages, ["text"]), scratch_path(ws.spark, "updated-index"))
+    return updated.term_stats("text").select("term", "df", "cf")
+
+
 @query(
     "partitioned_collection",
     "SELECT doc_id, source, lang, n_chars FROM documents",
