@@ -26,11 +26,10 @@ def stack_folders(docs: DataFrame, folder: str, text: str = "text", doc_id: str
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(folder).alias("field"), F.col(text).alias("text"))
 
 
-def spread(texts: DataFrame) -> DataFrame:
-    """Deal out texts that come in fewer splits than there are cores; leave any larger input where it is."""
-    if texts.rdd.getNumPartitions() >= texts.sparkSession.sparkContext.defaultParallelism:
-        return texts
-    return texts.repartition(texts.sparkSession.sparkContext.defaultParallelism, "doc_id")
+def spread(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Deal out rows that come in fewer splits than there are cores; leave any larger input where it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
 
 def by_document(docs: DataFrame, partitions: int) -> DataFrame:
