@@ -35,8 +35,8 @@ def count_blocks(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
 
 
 def by_hash(texts: DataFrame, blocks: int) -> DataFrame:
-    """``(block, doc_id, text)``, dealt out by the id."""
-    return texts.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text")
+    """``texts`` with a ``block``, dealt out by the id."""
+    return texts.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), *texts.columns)
 
 
 def by_order(texts: DataFrame, blocks: int) -> DataFrame:

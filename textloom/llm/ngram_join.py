@@ -279,3 +279,15 @@ def ngram_components(
     merged = groups.groupBy("member").agg(F.min("component_id").alias("component"))
     result = sets.join(merged, F.col("doc_id") == F.col("member"), "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, that of the smallest doc_id; all columns stay as they are.
+
+    Rows without doc_id are left out; of rows of one doc_id one stays.
+    """
+    groups = ngram_components(docs, **parameters)
+    stay = groups.where("component_id = doc_id").select(F.col("doc_id").alias("stays")).distinct()
+    kept = docs.join(stay, docs["doc_id"] == stay["stays"], "left_semi")
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])

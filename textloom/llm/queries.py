@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.llm import language_id, nearest, toxicity
+from textloom.llm.decontaminate import contained_items
+from textloom.llm.license_scan import scan_licenses
+from textloom.llm.lm_score import lm_scores
+from textloom.llm.mixing import mixture
 from textloom.llm.ngram_join import ngram_components
 from textloom.llm.substring_dedup import remove_repeated
+from textloom.llm.token_output import read_ids, write_ids
+from textloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +100,100 @@ FROM docs d JOIN reach r USING (doc_id) LEFT JOIN sizes s ON d.doc_id = s.doc_id
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents of similar word shingles."""
     return ngram_components(table(spark, folder, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def crc_of_id(modulus: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query()
+def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts as token ids in files, read back."""
+    path = scratch_path(spark, "token-ids")
+    write_ids(table(spark, folder, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+_ALNUM_WORDS = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_OP4_SQL = f"""
+WITH docs AS (SELECT doc_id, {_ALNUM_WORDS.format(_LOWER.format("text"))} AS words FROM documents WHERE text IS NOT NULL),
+items AS (SELECT item_id, {_ALNUM_WORDS.format(_LOWER.format("text"))} AS words FROM benchmark WHERE text IS NOT NULL),
+doc_shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5)
+),
+item_shingles AS (
+    SELECT DISTINCT item_id, array_to_string(words[i:i + 4], ' ') AS s
+    FROM (SELECT item_id, words, unnest(range(1, len(words) - 3)) AS i FROM items WHERE len(words) >= 5)
+),
+sizes AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared
+FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_item)
+"""
+
+
+@query(_OP4_SQL)
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that contain benchmark items, with these."""
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def language_model(docs: DataFrame) -> language_id.Model:
+    """Fitted on the rows that are not held out."""
+    return language_id.train(docs.where(crc_of_id(4) != 2))
+
+
+@query()
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, folder, "documents")
+    found = language_id.languages_of(docs, language_model(docs))
+    return found.select("doc_id", (crc_of_id(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    mix = mixture(table(spark, folder, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence marks of every document."""
+    found = scan_licenses(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.train(docs, labels.where(crc_of_id(3) != 1))
+    scored = toxicity.toxicity(docs, model)
+    return scored.select("doc_id", (crc_of_id(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    found = nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query()
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of every document."""
+    docs = table(spark, folder, "documents")
+    scored = lm_scores(docs, crc_of_id(10) == 0, tokenizer_file("piece_bpe_32k.model"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

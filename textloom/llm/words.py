@@ -58,6 +58,10 @@ class Words(NamedTuple):
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), np.diff(self.first))
 
+    def prefixes(self, n: int) -> Words:
+        """The first ``n`` elements of each word."""
+        return self._replace(end=np.minimum(self.end, self.start + n))
+
     def bytes_of(self, i: int) -> bytes:
         return self.buf[self.start[i] : self.end[i]].tobytes()
 
@@ -79,6 +83,11 @@ def find_words(column, kind: np.ndarray = NOT_BLANK, lower: bool = False) -> Wor
     buf, at = text_bytes(column)
     if lower:
         buf = LOWER[buf]
+    return words_in(buf, at, kind)
+
+
+def words_in(buf: np.ndarray, at: np.ndarray, kind: np.ndarray) -> Words:
+    """The words of texts laid out in a row, with the offset of each text."""
     if not len(buf):
         none = np.empty(0, np.int32)
         return Words(buf, none, none, np.zeros(len(at), np.int64))
@@ -97,8 +106,8 @@ def find_words(column, kind: np.ndarray = NOT_BLANK, lower: bool = False) -> Wor
     return Words(buf, start.astype(small), end.astype(small), np.searchsorted(start, at))
 
 
-def hash_words(words: Words) -> np.ndarray:
-    """A 64-bit polynomial hash per word."""
+def hash_words(words: Words, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
+    """A 64-bit polynomial hash per word; ``values`` has the value of each element of the buffer."""
     length = words.end - words.start
     order = np.argsort(-np.minimum(length, LONG_WORD + 1).astype(np.int16), kind="stable")
     start, sizes = words.start[order], length[order]
@@ -110,7 +119,7 @@ def hash_words(words: Words) -> np.ndarray:
             break
         part = h[n_long:n]
         part *= WORD_BASE
-        part += BYTE_VALUES[words.buf[start[n_long:n] + k]]
+        part += values[words.buf[start[n_long:n] + k]]
     for i in range(n_long):
         at = order[i]
         h[i] = int.from_bytes(hashlib.blake2b(words.bytes_of(at), digest_size=8).digest(), "little")
