@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from textloom.llm import blocks as bl
 from textloom.llm.components import components
 from textloom.llm.packing import pack, pack_sorted, unpack, unpack_sorted
-from textloom.llm.prefix_tree import links_between, similar_groups
+from textloom.llm.prefix_tree import Groups, links_between, similar_groups
 from textloom.llm.words import BASES, find_words, hash_words, inner_windows, rolling
 from textloom.session import materialize
 
@@ -177,14 +177,18 @@ def _prefixes(batches):
 
 
 def _unpacked(table: pa.Table):
-    """Ids, sets and sizes; of rows of one doc_id with the same set one is taken."""
+    """Ids, sets and sizes."""
     raw = table.column("tokens").to_pylist()
     return bl.column(table, "doc_id"), [np.frombuffer(t, np.uint64) for t in raw], bl.column(table, "n_shingles")
 
 
-def _links(ids: np.ndarray, pairs: list[tuple[int, int]]) -> pa.Table:
-    at = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-    return pa.table({"a": pa.array(ids[at[:, 0]]), "b": pa.array(ids[at[:, 1]])})
+def _links(ids: np.ndarray, groups: Groups) -> pa.Table:
+    """Each member of a group beside the smallest id of it."""
+    root = np.array([groups.find(i) for i in range(len(ids))])
+    low = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(low, root, ids)
+    linked = ids != low[root]
+    return pa.table({"a": pa.array(ids[linked]), "b": pa.array(low[root][linked])})
 
 
 def _tree_join(table: pa.Table, percent: int) -> pa.Table:
@@ -218,22 +222,26 @@ def similar_components(sets: DataFrame, percent: int = PERCENT, tree_sets: int =
     blocks. So every two sets of one tree are compared or known to be connected.
     """
     linked = sets.where("tokens IS NOT NULL")
-    reps = linked.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copies = materialize(linked.select("doc_id", "digest").join(reps, "digest").select("doc_id", "rep").distinct(), "copies")
-    of_reps = linked.join(copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
-    tokens = of_reps.select("doc_id", "tokens", "n_prefix").mapInArrow(_prefixes, "token long, doc_id long")
+    # Documents of one digest have the same set.
+    whole = [F.first(c).alias(c) for c in ("n_shingles", "tokens", "n_prefix")]
+    reps = materialize(linked.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *whole), "distinct-sets")
+    ids = reps.select("digest", F.col("doc_id").alias("rep"))
+    same = linked.select("doc_id", "digest").join(ids, "digest").where("doc_id != rep")
+    same = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    tokens = reps.select("doc_id", "tokens", "n_prefix").mapInArrow(_prefixes, "token long, doc_id long")
     owners = tokens.groupBy("token").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
     owners = owners.where("owner < other").select("token", "owner")
     placed = materialize(tokens.join(owners, "token").select("owner", "doc_id").distinct(), "tree-members")
 
     counted = placed.groupBy("owner").agg(_shares(F.count("*"), tree_sets).alias("shares"))
     dealt = placed.join(counted, "owner").withColumn("share", F.pmod(F.xxhash64("doc_id"), "shares").cast("int"))
-    contents = of_reps.select("doc_id", "n_shingles", "tokens")
+    contents = reps.select("doc_id", "n_shingles", "tokens")
     found = dealt.select("owner", "share", "doc_id").join(contents, "doc_id").groupBy("owner", "share")
     first = materialize(found.applyInArrow(bl.of_group(_tree_join, percent=percent), "a long, b long"), "tree-links")
-    same = copies.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = components(first)
+    if counted.where("shares > 1").isEmpty():
+        return components(first.unionByName(same))
 
+    labels = components(first)
     large = dealt.where("shares > 1").join(labels, "doc_id", "left")
     large = large.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     sizes = large.groupBy("owner", "component_id").count()

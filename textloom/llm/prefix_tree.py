@@ -22,11 +22,9 @@ class Groups:
             i = up[i]
         return i
 
-    def union(self, i: int, j: int) -> bool:
+    def union(self, i: int, j: int) -> None:
         i, j = self.find(i), self.find(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-        return i != j
+        self.up[max(i, j)] = min(i, j)
 
 
 class Node:
@@ -50,7 +48,6 @@ class PrefixTree:
         self.groups = Groups(len(sets))
         self.root = Node(np.empty(0, np.int64), -1, 1 << 60, 0)
         self.mark = np.zeros(vocabulary, dtype=bool)
-        self.links: list[tuple[int, int]] = []
 
     def insert(self, i: int) -> None:
         rest, size, node = self.sets[i], int(self.sizes[i]), self.root
@@ -104,24 +101,24 @@ class PrefixTree:
             if (100 + percent) * (shared + min(rest, node.deepest)) < percent * (size + other):
                 continue
             for j in node.sets:
-                if (100 + percent) * shared >= percent * (size + int(self.sizes[j])) and groups.union(i, j):
-                    self.links.append((i, j))
+                if (100 + percent) * shared >= percent * (size + int(self.sizes[j])):
+                    groups.union(i, j)
             stack.extend((child, shared) for child in node.children.values())
         self.mark[own] = False
 
 
-def similar_groups(tokens: list[np.ndarray], sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect all sets of a Jaccard similarity of at least ``percent``: a spanning forest, not all pairs."""
+def similar_groups(tokens: list[np.ndarray], sizes: np.ndarray, percent: int) -> Groups:
+    """Groups of sets that links of a Jaccard similarity of at least ``percent`` connect."""
     tree = _tree(tokens, sizes, percent)
     for i in np.argsort(sizes, kind="stable").tolist():
         tree.search(i)
         tree.insert(i)
-    return tree.links
+    return tree.groups
 
 
 def links_between(
     tokens: list[np.ndarray], sizes: np.ndarray, percent: int, labels: np.ndarray, strays: np.ndarray
-) -> list[tuple[int, int]]:
+) -> Groups:
     """The same, where sets of one label are known to be connected and only those marked in ``strays`` search."""
     tree = _tree(tokens, sizes, percent)
     first: dict[int, int] = {}
@@ -132,7 +129,7 @@ def links_between(
     for i in np.flatnonzero(strays).tolist():
         tree.search(i)
         tree.insert(i)
-    return tree.links
+    return tree.groups
 
 
 def _tree(tokens: list[np.ndarray], sizes: np.ndarray, percent: int) -> PrefixTree:
