@@ -106,3 +106,15 @@ def test_cost_and_report(points):
     report = clustering.cluster_report(assigned, centroids).collect()
     assert [(r["cluster"], r["id"]) for r in report] == [(0, 0), (0, 1), (1, 2), (1, 3), (1, 4)]
     assert report[-1]["centroid"] == centroids[1] == [pytest.approx((10 + 11 + 5.5) / 3), 0.0]
+
+
+def test_many_rounds_run_to_the_end_or_raise(spark):
+    # A chain of points that the centroids cross one by one.
+    points = spark.createDataFrame([(i, [float(1.3**i)]) for i in range(40)], "id BIGINT, x ARRAY<DOUBLE>")
+    start = [[0.0], [1.0], [2.0]]
+    assigned, centroids = clustering.kmeans(points, start)
+    again = clustering.update_centroids(points, centroids)
+    assert [c[0] for c in again] == pytest.approx([c[0] for c in centroids], abs=1e-9)
+    with pytest.raises(RuntimeError, match="still move"):
+        clustering.kmeans(points, start, max_rounds=1)
+    assert len(clustering.init_centroids(([0.0] * 60_000, [1.0] * 60_000), 2)) == 2

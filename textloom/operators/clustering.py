@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import json
 import random
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Centroids are literals of the plan of each round, so their total size is bounded here.
-MAX_CENTROID_VALUES = 100_000
+from textloom.operators.joins import broadcast_if_small
 
 
 def points_of(df: DataFrame, id_column: str, features: list[str]) -> DataFrame:
@@ -29,59 +29,94 @@ def feature_bounds(points: DataFrame) -> tuple[list[float], list[float]]:
 def init_centroids(bounds: tuple[list[float], list[float]], k: int, seed: int | None = None) -> list[list[float]]:
     """``k`` points in the bounding box: uniform for a ``seed``, else evenly spaced along its diagonal."""
     low, high = bounds
-    if k < 1 or k * len(low) > MAX_CENTROID_VALUES:
-        raise ValueError(f"k must be positive and k x dimensions at most {MAX_CENTROID_VALUES}")
+    if k < 1:
+        raise ValueError("k must be positive")
     if seed is None:
         return [[lo + (hi - lo) * (i + 0.5) / k for lo, hi in zip(low, high)] for i in range(k)]
     rng = random.Random(seed)
     return [[lo + (hi - lo) * rng.random() for lo, hi in zip(low, high)] for _ in range(k)]
 
 
-def _constant(centroids: list[list[float]]) -> Column:
-    """The centroids as one constant of the plan."""
-    return F.from_json(F.lit(json.dumps(centroids)), "array<array<double>>")
+def _nearest_in(centroids: list[list[float]]):
+    """Coordinates, nearest centroid and distance of the points of an Arrow batch."""
+    table = np.array(centroids, dtype=np.float64)
 
+    def nearest(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, table.shape[1])
+        best, cluster = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
+        for i, centroid in enumerate(table):
+            distance = np.sqrt(((x - centroid) ** 2).sum(axis=1))
+            closer = distance < best
+            best[closer], cluster[closer] = distance[closer], i
+        return x, cluster, best
 
-def _distance(x: Column, centroid: Column) -> Column:
-    squares = F.zip_with(x, centroid, lambda a, b: (a - b) * (a - b))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
+    return nearest
 
 
 def assign(points: DataFrame, centroids: list[list[float]]) -> DataFrame:
-    """Nearest centroid of each point; the first of equally near ones. Within the row, no join."""
-    table = _constant(centroids)
-    nearest = F.array_min(
-        F.transform(table, lambda c, i: F.struct(_distance(F.col("x"), c).alias("distance"), i.alias("cluster")))
-    )
-    return points.select("id", "x", nearest.alias("n")).select(
-        "id", "x", F.col("n.cluster").cast("long").alias("cluster"), F.col("n.distance").alias("distance")
-    )
-
-
-def update_centroids(assigned: DataFrame, centroids: list[list[float]]) -> list[list[float]]:
-    """Mean of each cluster; an empty cluster keeps its centroid. Collects k x dimensions values."""
-    values = assigned.select("cluster", F.posexplode("x").alias("dim", "value"))
+    """Nearest centroid of each point ``(id, x)``; the first of equally near ones. No join."""
+    nearest = _nearest_in(centroids)
+
+    def assigned(batches):
+        for batch in batches:
+            _, cluster, distance = nearest(batch)
+            columns = [batch.column("id"), batch.column("x"), pa.array(cluster), pa.array(distance)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "x", "cluster", "distance"])
+
+    id_type = points.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, x array<double>, cluster long, distance double"
+    return points.select("id", F.col("x").cast("array<double>").alias("x")).mapInArrow(assigned, schema)
+
+
+def update_centroids(points: DataFrame, centroids: list[list[float]]) -> list[list[float]]:
+    """Mean of the points nearest to each centroid; one without points stays where it is.
+
+    A task returns one sum per cluster and dimension; k x dimensions values are collected.
+    """
+    nearest = _nearest_in(centroids)
+    shape = (len(centroids), len(centroids[0]))
+
+    def sums(batches):
+        total, count = np.zeros(shape), np.zeros(shape[0], dtype=np.int64)
+        for batch in batches:
+            x, cluster, _ = nearest(batch)
+            np.add.at(total, cluster, x)
+            count += np.bincount(cluster, minlength=shape[0])
+        used = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(count[used]), pa.array(total[used].tolist(), pa.list_(pa.float64()))],
+            ["cluster", "n", "total"],
+        )
+
+    chosen = points.select(F.col("x").cast("array<double>").alias("x"))
+    partial = chosen.mapInArrow(sums, "cluster long, n long, total array<double>")
+    values = partial.select("cluster", "n", F.posexplode("total").alias("dim", "value"))
+    means = values.groupBy("cluster", "dim").agg((F.sum("value") / F.sum("n")).alias("mean"))
     updated = [list(c) for c in centroids]
-    for row in values.groupBy("cluster", "dim").agg(F.avg("value").alias("mean")).collect():
+    for row in means.collect():
         updated[row["cluster"]][row["dim"]] = row["mean"]
     return updated
 
 
 def kmeans(
-    points: DataFrame, centroids: list[list[float]], max_rounds: int = 100, tolerance: float = 0.0
+    points: DataFrame, centroids: list[list[float]], max_rounds: int | None = None, tolerance: float = 1e-9
 ) -> tuple[DataFrame, list[list[float]]]:
-    """Assign and update until no centroid moves by more than ``tolerance``.
+    """Assign and update until no centroid moves by more than ``tolerance``, which is there for rounding only.
 
     Returns the points assigned to the final centroids, and these. ``points``
-    should be a stored table, as every round reads it.
+    should be a stored table, as every round reads it. There is no bound on the
+    rounds unless ``max_rounds`` sets one; a run that reaches it raises an error.
     """
-    for _ in range(max_rounds):
-        updated = update_centroids(assign(points, centroids), centroids)
+    rounds = 0
+    while True:
+        updated = update_centroids(points, centroids)
         moved = max(abs(a - b) for old, new in zip(centroids, updated) for a, b in zip(old, new))
         centroids = updated
         if moved <= tolerance:
-            break
-    return assign(points, centroids), centroids
+            return assign(points, centroids), centroids
+        rounds += 1
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError(f"centroids still move by {moved} after {rounds} rounds")
 
 
 def clustering_cost(assigned: DataFrame) -> DataFrame:
@@ -91,5 +126,7 @@ def clustering_cost(assigned: DataFrame) -> DataFrame:
 
 def cluster_report(assigned: DataFrame, centroids: list[list[float]]) -> DataFrame:
     """Members of each cluster with its centroid, in order."""
-    table = _constant(centroids)
-    return assigned.withColumn("centroid", F.get(table, F.col("cluster").cast("int"))).orderBy("cluster", "id")
+    rows = [(i, [float(v) for v in c]) for i, c in enumerate(centroids)]
+    table = assigned.sparkSession.createDataFrame(rows, "cluster long, centroid array<double>")
+    joined = assigned.join(broadcast_if_small(table), "cluster")
+    return joined.select(*assigned.columns, "centroid").orderBy("cluster", "id")
