@@ -192,6 +192,34 @@ def test_judgements_equal_search_in_every_text(spark):
     )
     queries = spark.createDataFrame([(7, needle)], "query_id BIGINT, text STRING")
     assert sorted(map(tuple, containing_documents(docs, queries).collect())) == [(7, 0), (7, 2)]
-    short = spark.createDataFrame([(8, "two words")], "query_id BIGINT, text STRING")
-    with pytest.raises(Exception, match="at least 5 words"):
-        containing_documents(docs, short).collect()
+
+
+def test_judgements_of_short_queries(spark):
+    from textloom.registry.base import containing_documents
+
+    docs = spark.createDataFrame(
+        [(0, "a Three word query here"), (1, "three word"), (2, "athree word queryb"), (3, ""), (4, None)], "doc_id BIGINT, text STRING"
+    )
+    rows = [(1, "three word query"), (2, "Three word"), (3, "word"), (4, "a three word query here"), (5, ""), (6, None)]
+    queries = spark.createDataFrame(rows, "query_id BIGINT, text STRING")
+    got = sorted(map(tuple, containing_documents(docs, queries).collect()))
+    texts = {r["doc_id"]: (r["text"] or "").lower() for r in docs.collect()}
+    assert got == sorted((q, d) for q, n in rows if n for d, t in texts.items() if n.lower() in t)
+    assert containing_documents(docs, queries.where("query_id > 4")).collect() == []
+
+
+def test_query_selection_is_strict(queries):
+    from textloom.operators.ranking import select_queries
+
+    assert [r["query_id"] for r in select_queries(queries, "2").collect()] == [2]
+    assert sorted(r["query_id"] for r in select_queries(queries, "3-2").collect()) == [2, 3]
+    for spec in ("1-2-9", "-5", "", "a"):
+        with pytest.raises(ValueError, match="query selection"):
+            select_queries(queries, spec)
+
+
+def test_words_keep_combining_marks(spark):
+    from textloom.functions import text as tx
+
+    rows = spark.createDataFrame([("हिन्दी में",), ("cafe\u0301 x",)], "text STRING")
+    assert [r["w"] for r in rows.select(tx.words("text").alias("w")).collect()] == [["हिन्दी", "में"], ["cafe\u0301", "x"]]

@@ -77,14 +77,22 @@ def test_signed_ranks_and_exact_p(spark, a, b):
     assert row["p_value"] == pytest.approx(min(1.0, 2 * upper / 2**n))
 
 
-def test_more_than_thirty_queries_use_the_normal_approximation(spark):
+def test_method_does_not_depend_on_the_number_of_queries(spark):
+    import math
+
     a, b = [i / 100 for i in range(40)], [i / 100 + (0.011 * (i % 7) - 0.02) for i in range(40)]
-    row = comparison.compare_runs(values(spark, a, b), pairs(spark), "wilcoxon").first()
     plus, minus = signed_rank(a, b)
     z = (min(plus, minus) - 40 * 41 / 4 - 0.5) / (40 * 41 * 81 / 24) ** 0.5
-    import math
-
-    assert row["p_value"] == pytest.approx(min(1.0, math.erfc(abs(z) / math.sqrt(2))))
+    normal = comparison.compare_runs(values(spark, a, b), pairs(spark), "wilcoxon", method="normal").first()
+    assert normal["p_value"] == pytest.approx(min(1.0, math.erfc(abs(z) / math.sqrt(2))))
+    counts = [1]  # subsets of ranks by their sum
+    for r in range(1, 41):
+        counts = [x + y for x, y in zip(counts + [0] * r, [0] * r + counts)]
+    exact = comparison.compare_runs(values(spark, a, b), pairs(spark), "wilcoxon").first()
+    tail = sum(counts[math.ceil(max(plus, minus)) :])
+    assert exact["p_value"] == pytest.approx(min(1.0, 2 * tail / 2**40))
+    with pytest.raises(ValueError, match="method"):
+        comparison.compare_runs(values(spark, a, b), pairs(spark), "wilcoxon", method="auto")
 
 
 def test_runs_are_paired_by_query_metric_and_cut(spark):

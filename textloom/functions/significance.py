@@ -10,8 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_EXACT_N = 30
-
 
 def student_t_two_sided(t: Column | str, dof: Column | str) -> Column:
     """Two-sided p-value of Student's t.
@@ -63,7 +61,8 @@ def normal_two_sided(z: Column | str) -> Column:
 
     @F.pandas_udf(T.DoubleType())
     def p_value(z: pd.Series) -> pd.Series:
-        return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore")
+        tail = np.frompyfunc(lambda v: math.erfc(abs(v) / math.sqrt(2)), 1, 1)
+        return pd.Series(np.where(z.isna(), np.nan, tail(z.fillna(0.0).to_numpy(float)).astype(float)))
 
     return p_value(z)
 
@@ -71,17 +70,17 @@ def normal_two_sided(z: Column | str) -> Column:
 def exact_signed_rank_p(n: Column, w_max: Column) -> Column:
     """Two-sided p of the signed-rank statistic, counting all sign patterns of ranks 1..n.
 
-    ``counts[s]`` is the number of subsets of the first r ranks with sum s; one
-    fold over r builds it. Only meant for n up to ``MAX_EXACT_N``.
+    ``shares[s]`` is the share of subsets of the first r ranks with sum s; one
+    fold over r builds it, in steps that grow with the cube of n.
     """
     top = (n * (n + 1) / 2).cast("int")
     start = F.transform(F.sequence(F.lit(0), top), lambda s: F.when(s == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    counts = F.aggregate(
+    shares = F.aggregate(
         F.sequence(F.lit(1), n.cast("int")),
         start,
-        lambda acc, r: F.transform(acc, lambda c, s: c + F.coalesce(F.when(s >= r, F.get(acc, s - r)), F.lit(0.0))),
+        lambda acc, r: F.transform(acc, lambda c, s: (c + F.coalesce(F.when(s >= r, F.get(acc, s - r)), F.lit(0.0))) / 2),
     )
     upper = F.aggregate(
-        F.transform(counts, lambda c, s: F.when(s >= w_max, c).otherwise(F.lit(0.0))), F.lit(0.0), lambda acc, c: acc + c
+        F.transform(shares, lambda c, s: F.when(s >= w_max, c).otherwise(F.lit(0.0))), F.lit(0.0), lambda acc, c: acc + c
     )
-    return F.least(F.lit(1.0), 2 * upper / F.pow(F.lit(2.0), n))
+    return F.least(F.lit(1.0), 2 * upper)

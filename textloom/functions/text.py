@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Word pattern and time formats.
-WORD_PATTERN = r"[\p{L}\p{N}_]+(?:['’][\p{L}\p{N}_]+)*"
+WORD_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{M}\p{N}_]*(?:['’][\p{L}\p{N}_][\p{L}\p{M}\p{N}_]*)*"
 MILLIS_FORMAT = "yyyyMMddHHmmssSSS"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.significance import MAX_EXACT_N, exact_signed_rank_p, normal_two_sided, student_t_two_sided
+from textloom.functions.significance import exact_signed_rank_p, normal_two_sided, student_t_two_sided
 
 PAIR = ["run_a", "run_b", "metric", "cut"]
 
@@ -76,22 +76,24 @@ def wilcoxon_statistics(paired: DataFrame) -> DataFrame:
     return minus.withColumn("w", F.greatest("w_plus", "w_minus"))
 
 
-def wilcoxon_signed_rank(paired: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """``wilcoxon_statistics`` with ``p_value``: exact up to 30 queries, else the normal approximation."""
+def wilcoxon_signed_rank(paired: DataFrame, alpha: float = 0.05, method: str = "exact") -> DataFrame:
+    """``wilcoxon_statistics`` with ``p_value``: ``exact`` at any number of queries, or by the ``normal`` approximation."""
+    if method not in ("exact", "normal"):
+        raise ValueError("method must be 'exact' or 'normal'")
     n = F.col("n")
-    expected = n * (n + 1) / 4
-    deviation = F.sqrt(n * (n + 1) * (2 * n + 1) / 24)
-    z = (F.least("w_plus", "w_minus") - expected - 0.5) / deviation
-    counted = F.when(n <= MAX_EXACT_N, exact_signed_rank_p(F.least(n, F.lit(MAX_EXACT_N)), F.col("w")))
-    tested = wilcoxon_statistics(paired).withColumn(
-        "p_value", F.coalesce(counted, F.least(F.lit(1.0), normal_two_sided(z)))
-    )
+    if method == "exact":
+        p_value = exact_signed_rank_p(n, F.col("w"))
+    else:
+        deviation = F.sqrt(n * (n + 1) * (2 * n + 1) / 24)
+        z = (F.least("w_plus", "w_minus") - n * (n + 1) / 4 - 0.5) / deviation
+        p_value = F.least(F.lit(1.0), normal_two_sided(z))
+    tested = wilcoxon_statistics(paired).withColumn("p_value", p_value)
     return tested.withColumn("reject", F.col("p_value") < alpha)
 
 
-def compare_runs(values: DataFrame, pairs: DataFrame, test: str, alpha: float = 0.05) -> DataFrame:
-    """All ``pairs`` for every metric and cut they share, by ``t`` or ``wilcoxon``."""
+def compare_runs(values: DataFrame, pairs: DataFrame, test: str, alpha: float = 0.05, method: str = "exact") -> DataFrame:
+    """All ``pairs`` for every metric and cut they share, by ``t`` or ``wilcoxon`` (its ``method``)."""
     if test not in ("t", "wilcoxon"):
         raise ValueError("test must be 't' or 'wilcoxon'")
     paired = pair_runs(values, pairs)
-    return welch_t_test(paired, alpha) if test == "t" else wilcoxon_signed_rank(paired, alpha)
+    return welch_t_test(paired, alpha) if test == "t" else wilcoxon_signed_rank(paired, alpha, method)

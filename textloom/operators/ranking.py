@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,10 @@ def select_queries(queries: DataFrame, spec: str = "all") -> DataFrame:
     """``all``, one id, or an inclusive range ``a-b`` (also given as ``b-a``)."""
     if spec == "all":
         return queries
-    bounds = sorted(int(part) for part in spec.split("-"))
+    found = re.fullmatch(r"(\d+)(?:-(\d+))?", spec)
+    if not found:
+        raise ValueError(f"no query selection: {spec!r}; use 'all', 'a' or 'a-b'")
+    bounds = sorted(int(part) for part in found.groups() if part is not None)
     return queries.where(F.col("query_id").between(bounds[0], bounds[-1]))
 
 
@@ -48,12 +52,10 @@ def with_statistics(terms: DataFrame, term_stats: DataFrame, field_stats: DataFr
     ``asked`` of ``(query_id, qtf)``; a word that every query contains still has
     lists of bounded length. ``field_stats`` has one row per field.
     """
-    known = term_stats.join(terms, "term")
     block = F.floor(F.col("query_id") / QUERY_BLOCK)
-    listed = known.groupBy(*term_stats.columns, block.alias("block")).agg(
-        F.collect_list(F.struct("query_id", "qtf")).alias("asked")
-    )
-    return listed.drop("block").join(F.broadcast(field_stats), "field")
+    listed = terms.groupBy("term", block.alias("block")).agg(F.collect_list(F.struct("query_id", "qtf")).alias("asked"))
+    known = term_stats.join(listed, "term").select(*term_stats.columns, "asked")
+    return known.join(F.broadcast(field_stats), "field")
 
 
 def matches_of(index, queries: DataFrame, field: str) -> DataFrame:

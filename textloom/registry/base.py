@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators.joins import broadcast_if_small
+from textloom.operators.joins import broadcast_if_small, is_small
 from textloom.operators.postings import spread, stack_fields, stack_folders
 from textloom.plans.index import TextIndex, build_index
 from textloom.session import materialize, scratch_path
@@ -42,6 +42,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.kept: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -94,33 +95,55 @@ class Workspace:
 ANCHOR_WORDS = 3
 
 
+def _runs(words, n):
+    """All runs of ``n`` words of a list."""
+    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
+    found = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+    return F.when(F.size(words) >= n, found).otherwise(F.array().cast("array<string>"))
+
+
 def containing_documents(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Pairs where the document's whole text contains the query's whole text, ignoring case.
 
     Not by comparing every pair: words with a blank on both sides inside the
     query text appear as the same words in a text that contains it. So the
-    longest run of three such words is an equi-join key, and only documents with
-    that run are then searched for the whole text.
+    longest run of three such words (of two, or one, in a shorter query) is an
+    equi-join key, and only documents with that run are then searched for the
+    whole text. Queries without such a word are looked for in every text; their
+    number is checked.
     """
-
-    def runs(words):
-        starts = F.sequence(F.lit(1), F.size(words) - ANCHOR_WORDS + 1)
-        shingles = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(ANCHOR_WORDS)), " "))
-        return F.when(F.size(words) >= ANCHOR_WORDS, shingles).otherwise(F.array().cast("array<string>"))
-
-    needles = queries.select("query_id", F.lower("text").alias("needle"))
+    needles = queries.select("query_id", F.lower("text").alias("needle")).where(F.length("needle") > 0)
     parts = needles.select("query_id", "needle", F.split("needle", " ").alias("parts"))
     inner = parts.select("query_id", "needle", F.slice("parts", 2, F.greatest(F.size("parts") - 2, F.lit(0))).alias("inner"))
-    longest = F.array_max(F.transform(runs(F.col("inner")), lambda s: F.struct(F.length(s).alias("n"), s.alias("run"))))
-    too_short = F.raise_error(F.lit(f"a query needs at least {ANCHOR_WORDS + 2} words to be located by its words"))
-    anchors = inner.select(
-        "query_id", "needle", F.when(longest.isNull(), too_short.cast("string")).otherwise(longest["run"]).alias("run")
+    longest = F.coalesce(
+        *[
+            F.array_max(F.transform(_runs(F.col("inner"), n), lambda s: F.struct(F.length(s).alias("n"), s.alias("run"))))
+            for n in range(ANCHOR_WORDS, 0, -1)
+        ]
     )
-    anchors = materialize(anchors, "anchors")
+    width = F.least(F.size("inner"), F.lit(ANCHOR_WORDS))
+    anchors = materialize(inner.select("query_id", "needle", longest["run"].alias("run"), width.alias("width")), "anchors")
     words = spread(docs.select("doc_id", "text")).select("doc_id", F.split(F.lower("text"), " ").alias("words"))
-    found = words.select("doc_id", F.explode(runs(F.col("words"))).alias("run"))
-    small = broadcast_if_small(anchors.select("query_id", "run"))
-    candidates = materialize(found.join(small, "run").select("query_id", "doc_id").distinct(), "candidates")
+    widths = [r["width"] for r in anchors.where("width > 0").select("width").distinct().orderBy("width").collect()]
+    candidates = None
+    for n in widths:
+        found = words.select("doc_id", F.explode(_runs(F.col("words"), n)).alias("run"))
+        small = broadcast_if_small(anchors.where(F.col("width") == n).select("query_id", "run"))
+        pairs = found.join(small, "run").select("query_id", "doc_id").distinct()
+        candidates = pairs if candidates is None else candidates.unionByName(pairs)
+    short = anchors.where("width = 0").select("query_id", "needle")
+    if not short.isEmpty():
+        if not is_small(short):
+            raise ValueError("too many queries of fewer than three words")
+        rows = short.orderBy("query_id").collect()
+        array = F.array(*[F.struct(F.lit(r["query_id"]).alias("query_id"), F.lit(r["needle"]).alias("needle")) for r in rows])
+        lowered = docs.select("doc_id", F.lower("text").alias("text"))
+        hits = F.filter(array, lambda s: F.contains(F.col("text"), s["needle"]))
+        pairs = lowered.select("doc_id", F.explode(hits).alias("hit")).select(F.col("hit.query_id").alias("query_id"), "doc_id")
+        candidates = pairs if candidates is None else candidates.unionByName(pairs)
+    if candidates is None:
+        return docs.select("doc_id").limit(0).select(F.lit(0).cast("long").alias("query_id"), "doc_id")
+    candidates = materialize(candidates, "candidates")
     checked = docs.select("doc_id", "text").join(broadcast_if_small(candidates), "doc_id")
     checked = checked.join(broadcast_if_small(anchors.select("query_id", "needle")), "query_id")
     return checked.where(F.contains(F.lower("text"), F.col("needle"))).select("query_id", "doc_id")

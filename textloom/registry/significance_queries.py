@@ -33,11 +33,13 @@ _PAIRED = _runs_sql()
 
 
 def _values(ws):
-    """All metrics of all runs: ``(run_id, query_id, metric, cut, value)``."""
-    models = {name: ranking.contribution_of(*model) for name, model in RUNS.items()}
-    runs = ranking.rank_models(ws.index, ws.queries, models, CUT)
-    measured = evaluation.per_query_metrics(runs, ws.qrels, ws.queries, CUT, by="run_id", by_values=list(RUNS))
-    return materialize(evaluation.long_form(measured, CUT, "run_id"), "run-values")
+    """All metrics of all runs: ``(run_id, query_id, metric, cut, value)``; computed once per workspace."""
+    if "run-values" not in ws.kept:
+        models = {name: ranking.contribution_of(*model) for name, model in RUNS.items()}
+        runs = ranking.rank_models(ws.index, ws.queries, models, CUT)
+        measured = evaluation.per_query_metrics(runs, ws.qrels, ws.queries, CUT, by="run_id", by_values=list(RUNS))
+        ws.kept["run-values"] = materialize(evaluation.long_form(measured, CUT, "run_id"), "run-values")
+    return ws.kept["run-values"]
 
 
 def _paired(ws):
@@ -117,23 +119,27 @@ def wilcoxon_statistics(ws):
 
 
 def _wilcoxon_p_sql(signed: str) -> str:
-    """Exact up to 30 queries, by counting the subsets of ranks of each sum; else the normal approximation."""
+    """Exact, by the share of subsets of ranks of each sum."""
     return f"""WITH RECURSIVE {signed.removeprefix("WITH ")},
-counts(r, c) AS (SELECT 0, list_transform(range(466), lambda s: CASE WHEN s = 0 THEN 1.0::DOUBLE ELSE 0 END)
-    UNION ALL SELECT r + 1, list_transform(range(466), lambda s: c[s + 1] + CASE WHEN s > r THEN c[s - r] ELSE 0 END)
-    FROM counts WHERE r < 30),
-z AS (SELECT *, (least(w_plus, w_minus) - n * (n + 1) / 4 - 0.5::DOUBLE) / sqrt(n * (n + 1) * (2 * n + 1) / 24) AS z FROM signed),
-{_area("exp(-x * x / 2) / sqrt(2 * pi())", "z", "run_a, run_b, metric", "z")},
-e AS (SELECT p.run_a, p.run_b, p.metric, CASE WHEN n <= 30
-        THEN least(1, 2 * list_sum(c[CAST(ceil(greatest(w_plus, w_minus)) AS BIGINT) + 1:]) / pow(2, n))
-        ELSE least(1, p_value) END AS p_value
-    FROM p JOIN signed g USING (run_a, run_b, metric) LEFT JOIN counts ON r = n)
+most AS (SELECT max(n) AS n FROM signed),
+shares(r, c) AS (
+    SELECT 0, list_transform(range((SELECT n * (n + 1) // 2 + 1 FROM most)), lambda s: CASE WHEN s = 0 THEN 1.0::DOUBLE ELSE 0 END)
+    UNION ALL SELECT r + 1, list_transform(range(len(c)), lambda s: (c[s + 1] + CASE WHEN s > r THEN c[s - r] ELSE 0 END) / 2)
+    FROM shares WHERE r < (SELECT n FROM most)),
+e AS (SELECT g.run_a, g.run_b, g.metric, least(1, 2 * list_sum(c[CAST(ceil(greatest(w_plus, w_minus)) AS BIGINT) + 1:])) AS p_value
+    FROM signed g JOIN shares ON r = n)
 SELECT run_a, run_b, metric, round(p_value, 6) AS p_value, p_value < {_ALPHA} AS reject FROM e"""
 
 
-def _wilcoxon(ws, values):
+_NORMAL_P_SQL = f"""{_SIGNED},
+z AS (SELECT *, (least(w_plus, w_minus) - n * (n + 1) / 4 - 0.5::DOUBLE) / sqrt(n * (n + 1) * (2 * n + 1) / 24) AS z FROM signed),
+{_area("exp(-x * x / 2) / sqrt(2 * pi())", "z", "run_a, run_b, metric", "z")}
+SELECT run_a, run_b, metric, round(least(1, p_value), 6) AS p_value, p_value < {_ALPHA} AS reject FROM p"""
+
+
+def _wilcoxon(ws, values, method="exact"):
     pairs = ws.spark.createDataFrame(PAIRS, "run_a STRING, run_b STRING")
-    tested = comparison.compare_runs(values, pairs, "wilcoxon", _ALPHA)
+    tested = comparison.compare_runs(values, pairs, "wilcoxon", _ALPHA, method)
     return rounded(tested.select("run_a", "run_b", "metric", "p_value", "reject"), "p_value")
 
 
@@ -142,6 +148,11 @@ def wilcoxon_p_value(ws):
     return _wilcoxon(ws, _values(ws))
 
 
+@query("wilcoxon_normal_p_value", _NORMAL_P_SQL)
+def wilcoxon_normal_p_value(ws):
+    return _wilcoxon(ws, _values(ws), "normal")
+
+
 @query(
     "wilcoxon_test_half",
     _wilcoxon_p_sql(
