@@ -150,3 +150,20 @@ def test_terms_grouped_by_value(index):
     assert (grouped["value"], grouped["terms"]) == (1, ["blue", "green"])
     flat = weighting.group_collection_terms_by_value(index.term_stats("text"), "df")
     assert rows(flat) == [(1, 1, "red"), (2, 2, "blue"), (2, 2, "green")]
+
+
+def test_reopened_index_does_not_trust_an_old_catalog_entry(spark, new_path):
+    from textloom.operators.postings import stack_fields
+    from textloom.plans.index import build_index, open_index
+
+    docs = spark.createDataFrame([(i, f"word{i} shared") for i in range(200)], "doc_id BIGINT, text STRING")
+    path = new_path("rebuilt")
+    build_index(stack_fields(docs, ["text"]), path, buckets=6)
+    part = f"{path}/postings"
+    name = open_index(spark, path)._table_name("postings")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.table(name).schema)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (doc_id) INTO 4 BUCKETS LOCATION '{part}'")
+    index = open_index(spark, path)
+    assert index.buckets == 6
+    assert index.postings().groupBy("doc_id").count().count() == 200

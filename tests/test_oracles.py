@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__
 from tests.oracle import compare, connect
+from textloom.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, FOLDER, name) is None
 

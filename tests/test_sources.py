@@ -222,3 +222,24 @@ def test_top_terms_keep_their_order(spark, new_path):
 def test_scratch_folder_is_the_named_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (named.rstrip("/") if named else scratch_root(spark))
+
+
+def test_record_without_a_number_is_an_error(spark):
+    from textloom.sources.records import parse_marked_records
+
+    good = spark.createDataFrame([(".I 1\n.W\none",), ("2\n.W\ntwo\n",), ("",)], "value STRING")
+    assert [(r["id"], r["text"]) for r in parse_marked_records(good).collect()] == [(1, "one"), (2, "two")]
+    bad = spark.createDataFrame([("x2\n.W\ntext",)], "value STRING")
+    with pytest.raises(Exception, match="without a numeric id"):
+        parse_marked_records(bad).collect()
+
+
+def test_upsert_with_a_repeated_key(spark):
+    from textloom.sources.tables import upsert_documents
+
+    existing = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id BIGINT, text STRING")
+    incoming = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (3, "c", 1)], "doc_id BIGINT, text STRING, at INT")
+    got = upsert_documents(existing, incoming, order="at")
+    assert sorted(map(tuple, got.collect())) == [(1, "new"), (2, "b"), (3, "c")]
+    with pytest.raises(Exception, match="more than once"):
+        upsert_documents(existing, incoming.drop("at")).collect()

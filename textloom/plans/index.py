@@ -163,8 +163,10 @@ def open_index(spark: SparkSession, path: str) -> TextIndex:
         ("postings", POSTINGS_SCHEMA, "field, term"),
         ("doc_stats", DOC_STATS_SCHEMA, "doc_id"),
     ):
+        # An entry of an earlier build at this path may have another number of buckets; the files stay.
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(path, part)}")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {_table_name(path, part)} ({schema}) USING parquet "
+            f"CREATE TABLE {_table_name(path, part)} ({schema}) USING parquet "
             f"CLUSTERED BY (doc_id) SORTED BY ({sort}) INTO {layout['buckets']} BUCKETS "
             f"LOCATION '{path}/{part}'"
         )

@@ -64,16 +64,26 @@ def qrels_parse(ws):
 
 @query(
     "upsert_documents",
-    """WITH existing AS (SELECT doc_id, text FROM documents SEMI JOIN labels USING (doc_id)),
-    incoming AS (SELECT page_id AS doc_id, html AS text FROM pages)
-    SELECT doc_id, text FROM existing ANTI JOIN incoming USING (doc_id)
+    """WITH incoming AS (SELECT page_id AS doc_id, html AS text FROM pages)
+    SELECT doc_id, text FROM documents ANTI JOIN incoming USING (doc_id)
     UNION ALL SELECT doc_id, text FROM incoming""",
 )
 def upsert_documents(ws):
-    """The labelled documents, updated with all pages: some replace a document, some are new."""
-    labelled = ws.documents.select("doc_id", "text").join(ws.table("labels").select("doc_id"), "doc_id", "left_semi")
+    """All documents, updated with all pages: some replace a document, some are new."""
     pages = ws.table("pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))
-    return tables.upsert_documents(labelled, pages)
+    return tables.upsert_documents(ws.documents.select("doc_id", "text"), pages)
+
+
+@query(
+    "upsert_repeated_key",
+    """WITH incoming AS (SELECT conv_id AS doc_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id)
+    SELECT doc_id, text FROM documents ANTI JOIN incoming USING (doc_id)
+    UNION ALL SELECT doc_id, text FROM incoming""",
+)
+def upsert_repeated_key(ws):
+    """All turns of the conversations, of which the last one counts."""
+    turns = ws.table("conversations").select(F.col("conv_id").alias("doc_id"), "text", "turn")
+    return tables.upsert_documents(ws.documents.select("doc_id", "text"), turns, order="turn")
 
 
 @query(

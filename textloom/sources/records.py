@@ -23,15 +23,16 @@ def read_marked_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_marked_records(records: DataFrame) -> DataFrame:
-    """Split each record (column ``value``) into id and text."""
+    """Split each record (column ``value``) into id and text; a record without a numeric id raises an error."""
     body = F.regexp_replace("value", r"\r\n", "\n")
     # Only the first record of a file still has its mark.
     body = F.regexp_replace(body, r"\A\.I ", "")
     record_id = F.regexp_extract(body, r"\A\s*(\d+)", 1)
     text = F.regexp_replace(body, r"\A\s*\d+[^\n]*(?:\n\.W[^\n]*)?(?:\n|\z)", "")
     text = F.regexp_replace(text, r"[\r\n]+\z", "")
-    parsed = records.select(F.nullif(record_id, F.lit("")).cast("long").alias("id"), tx.join_lines(text).alias("text"))
-    return parsed.where("id IS NOT NULL")
+    bad = F.raise_error(F.concat(F.lit("record without a numeric id: "), F.substring(body, 1, 40))).cast("string")
+    number = F.when(record_id == "", bad).otherwise(record_id).cast("long")
+    return records.where(F.trim(body) != "").select(number.alias("id"), tx.join_lines(text).alias("text"))
 
 
 def write_marked_records(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -18,8 +18,20 @@ def write_collection(df: DataFrame, path: str, partition_by: str | None = None)
     writer.mode("overwrite").parquet(path)
 
 
-def upsert_documents(existing: DataFrame, incoming: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``existing`` with the documents of ``incoming`` in place of those of the same key, and the new ones added."""
+def upsert_documents(existing: DataFrame, incoming: DataFrame, key: str = "doc_id", order: str | None = None) -> DataFrame:
+    """``existing`` with the documents of ``incoming`` in place of those of the same key, and the new ones added.
+
+    Of several incoming rows of one key the last by the column ``order`` counts,
+    which the result does not keep; without ``order`` they are an error.
+    """
+    if order:
+        last = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last()))
+        incoming = incoming.withColumn("_place", last).where("_place = 1").drop("_place", order)
+    else:
+        repeated = F.raise_error(F.concat(F.lit(f"{key} comes more than once: "), F.col(key).cast("string")))
+        rows = F.count("*").over(Window.partitionBy(key))
+        incoming = incoming.withColumn("_rows", rows).where(F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(True))
+        incoming = incoming.drop("_rows")
     kept = existing.join(incoming.select(key), key, "left_anti")
     return kept.unionByName(incoming)
 
