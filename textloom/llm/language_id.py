@@ -16,7 +16,7 @@ from textloom.llm.blocks import runs
 from textloom.llm.words import BASES, Words, hash_words, mix, rolling, words_in
 
 #: The model is fitted on about so many labelled documents per language, chosen by a hash of their id.
-TRAIN_DOCS = 1500
+TRAIN_DOCS = 1000
 #: Words kept per language, and n-grams per language and length.
 MODEL_WORDS = 30_000
 MODEL_GRAMS = 20_000
@@ -26,7 +26,7 @@ LONGEST_GRAM = 4
 SMOOTHING = 0.5
 
 UNKNOWN = "und"
-STEP_CHARS = 1 << 21
+STEP_CHARS = 1 << 20
 
 
 @cache
@@ -85,12 +85,27 @@ class Model(NamedTuple):
     grams: list[Table]  # of length 1, 2, ...
 
 
-def _table(h: np.ndarray, lang: np.ndarray, n_lang: int, most: int, least: int) -> Table:
+def _counted(h: np.ndarray, lang: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of hash and language, with their counts added up."""
     order = np.lexsort((lang, h))
     h, lang = h[order], lang[order]
-    start = np.flatnonzero(runs(h, lang))
-    count = np.diff(start, append=len(h))
-    h, lang = h[start], lang[start]
+    start = np.flatnonzero(runs(h, lang)) if len(h) else np.empty(0, np.int64)
+    return h[start], lang[start], np.add.reduceat(count[order], start) if len(start) else count[:0]
+
+
+class Counts:
+    """Counts by hash and language, added step by step."""
+
+    def __init__(self):
+        self.held = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def add(self, h: np.ndarray, lang: np.ndarray) -> None:
+        new = _counted(h, lang, np.ones(len(h), np.int64))
+        self.held = _counted(*[np.concatenate(pair) for pair in zip(self.held, new)])
+
+
+def _table(counts: Counts, n_lang: int, most: int, least: int) -> Table:
+    h, lang, count = counts.held
     total = np.bincount(lang, weights=count, minlength=n_lang)
     keep = np.zeros(len(h), dtype=bool)
     for k in range(n_lang):  # the most frequent of each language, ties to the smaller hash
@@ -109,23 +124,16 @@ def fit(texts: list[str], langs: list[str], words: int = MODEL_WORDS, grams: int
     """The model of labelled texts."""
     names = sorted(set(langs))
     code = np.array([names.index(x) for x in langs], dtype=np.int64)
-    word_hash, word_lang = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    gram_hash: list[list] = [[np.empty(0, np.uint64)] for _ in range(LONGEST_GRAM)]
-    gram_lang: list[list] = [[np.empty(0, np.int64)] for _ in range(LONGEST_GRAM)]
+    of_words, of_grams = Counts(), [Counts() for _ in range(LONGEST_GRAM)]
     for lo, hi in _steps(texts):
         w = letter_words(texts[lo:hi])
         lang = code[lo:hi][w.doc]
-        word_hash.append(hash_words(w, _letters()[2]))
-        word_lang.append(lang)
+        of_words.add(hash_words(w, _letters()[2]), lang)
         for n in range(1, LONGEST_GRAM + 1):
             h, word = _grams(w, n)
-            gram_hash[n - 1].append(h)
-            gram_lang[n - 1].append(lang[word])
+            of_grams[n - 1].add(h, lang[word])
     n = len(names)
-    tables = [
-        _table(np.concatenate(h), np.concatenate(g), n, grams, 1) for h, g in zip(gram_hash, gram_lang)
-    ]
-    return Model(names, _table(np.concatenate(word_hash), np.concatenate(word_lang), n, words, LEAST_COUNT), tables)
+    return Model(names, _table(of_words, n, words, LEAST_COUNT), [_table(c, n, grams, 1) for c in of_grams])
 
 
 def _steps(texts):

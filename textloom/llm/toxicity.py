@@ -13,7 +13,7 @@ from textloom.llm.blocks import runs
 from textloom.llm.words import ALNUM, Words, find_words, hash_words, mix
 
 #: The model is fitted on about so many documents of each label, chosen by a hash of their id.
-TRAIN_DOCS = 2500
+TRAIN_DOCS = 1200
 #: Lengths (in bytes) of word beginnings that are features, besides whole words.
 PREFIXES = (4, 5, 6, 7)
 #: A sign of toxic text stands in at least so many toxic documents that lack other signs, and so few clean ones.
@@ -158,13 +158,14 @@ def _signs(hashes: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray) -> np.n
     by ``SIGNS`` others; so what only copies of one document share is no sign
     once that document is explained. Longer beginnings win ties.
     """
-    h = np.concatenate(hashes)
-    kind = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
-    d = np.concatenate([doc] * len(hashes))
-    order = np.lexsort((d, h))
+    parts = []
+    for number, own in enumerate(hashes):
+        order = np.lexsort((doc, own))
+        order = order[runs(own[order], doc[order]) & (own[order] != 0)] if len(own) else order
+        parts.append((own[order], doc[order], np.full(len(order), number, np.int8)))
+    h, d, kind = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(h, kind="stable")
     h, d, kind = h[order], d[order], kind[order]
-    new = runs(h, d) & (h != 0)
-    h, d, kind = h[new], d[new], kind[new]
     start = np.flatnonzero(runs(h)) if len(h) else np.empty(0, np.int64)
     if not len(start):
         return np.empty(0, np.uint64)
