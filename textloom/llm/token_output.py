@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,11 @@ END_ID = 0
 #: Words that a worker keeps encoded, and the longest of these.
 CACHE_WORDS = 400_000
 CACHE_LENGTH = 40
+#: Unknown words that are encoded as one text.
+JOINED_WORDS = 64
+STEP_DOCS = 500
+#: How the vocabulary writes a blank (fixed by its format).
+BLANK = "Ġ"
 
 SEGMENT = pa.schema(
     [
@@ -55,6 +61,8 @@ SEGMENT_DDL = (
 
 #: No token reaches across a blank that a visible character follows, so what such blanks divide is encoded on its own.
 _CUT = re.compile(r" (?=\S)")
+#: Nor does one reach from a letter into signs other than apostrophes.
+_TAIL = re.compile(r"(.*[A-Za-z])([.,;:!?#$%&*]+)", re.DOTALL)
 
 
 class Encoder:
@@ -65,29 +73,64 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(BLANK) for i in range(size)])
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
-    def _learn(self, pieces: list[list[str]]) -> tuple[dict[str, bytes], dict[str, bytes]]:
-        """Ids of pieces at the start of a text, and after a blank."""
-        wanted = ({p[0] for p in pieces}, {w for p in pieces for w in p[1:]})
-        found = []
-        for known, words, blank in zip(self.known, wanted, ("", " ")):
-            new = [w for w in words if w not in known]
-            ids = self.tokenizer.encode_batch_fast([blank + w for w in new], add_special_tokens=False)
-            fresh = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(new, ids)}
-            if len(known) + len(fresh) > CACHE_WORDS:
-                fresh |= {w: known[w] for w in words if w in known}
-                known.clear()
-                found.append(fresh)
+    def _learn(self, words: set[str], blank: str) -> list[str]:
+        """Add the ids of words that stand at the start of a text, or after a blank; returns those not to be kept."""
+        known, plain = self.known[bool(blank)], self.known[0]
+        new = {w for w in words if w not in known}
+        tails = {w: t for w in new if (t := _TAIL.fullmatch(w))}
+        stems = {t[1] for t in tails.values()}
+        pieces = [w for w in new if w not in tails]
+        pieces += [w for w in stems if w not in known and (w not in new or w in tails)]
+        known.update(self._after_blank(pieces) if blank else zip(pieces, self._ids(pieces)))
+        ends = [e for e in {t[2] for t in tails.values()} if e not in plain]
+        plain.update(zip(ends, self._ids(ends)))
+        for w, t in tails.items():
+            known[w] = known[t[1]] + plain[t[2]]
+        return [w for w in new | stems if len(w) > CACHE_LENGTH]
+
+    def _after_blank(self, words: list[str]):
+        """Ids of words that follow a blank: many in one text, cut where a token begins with a blank."""
+        plain = [w for w in words if " " not in w]
+        alone = [w for w in words if " " in w]
+        lots = [plain[lo : lo + JOINED_WORDS] for lo in range(0, len(plain), JOINED_WORDS)]
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(lot) for lot in lots], add_special_tokens=False)
+        for lot, encoded in zip(lots, found):
+            ids = np.array(encoded.ids, "<u4")
+            at = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(at) == len(lot):
+                raw = ids.tobytes()
+                yield from zip(lot, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])])
             else:
-                known.update((w, i) for w, i in fresh.items() if len(w) <= CACHE_LENGTH)
-                found.append(known if len(known) and all(len(w) <= CACHE_LENGTH for w in new) else known | fresh)
-        return found[0], found[1]
+                alone += lot
+        yield from zip(alone, self._ids([" " + w for w in alone]))
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        return [_pack(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [_CUT.split(t) for t in texts]
-        first, later = self._learn(pieces)
-        return [first[p[0]] + b"".join([later[w] for w in p[1:]]) for p in pieces]
+        for known in self.known:
+            if len(known) > CACHE_WORDS:
+                known.clear()
+        heads = [p.pop(0) for p in pieces]
+        wanted: set[str] = set()
+        for p in pieces:
+            wanted.update(p)
+        drop = self._learn(set(heads), ""), self._learn(wanted, " ")
+        first, later = self.known
+        ids = [first[head] + b"".join(map(later.__getitem__, p)) for head, p in zip(heads, pieces)]
+        for known, words in zip(self.known, drop):
+            for w in words:
+                known.pop(w, None)
+        return ids
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -148,9 +191,9 @@ def _encode_part(batches, path: str, end_id: int, block_ids: int, segment_ids: i
     docs: list[tuple[int, bytes]] = []
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        for lo in range(0, len(ids), 200):
-            texts = [t or "" for t in batch.column("text").slice(lo, 200).to_pylist()]
-            for doc_id, raw in zip(ids[lo : lo + 200], encoder(path).encode(texts)):
+        for lo in range(0, len(ids), STEP_DOCS):
+            texts = [t or "" for t in batch.column("text").slice(lo, STEP_DOCS).to_pylist()]
+            for doc_id, raw in zip(ids[lo : lo + STEP_DOCS], encoder(path).encode(texts)):
                 docs.append((doc_id, raw + end))
                 held += len(raw) // 4 + 1
                 if held >= segment_ids:
