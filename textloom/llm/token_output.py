@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 
 import numpy as np
@@ -62,7 +63,8 @@ SEGMENT_DDL = (
 #: No token reaches across a blank that a visible character follows, so what such blanks divide is encoded on its own.
 _CUT = re.compile(r" (?=\S)")
 #: Nor does one reach from a letter into signs other than apostrophes.
-_TAIL = re.compile(r"(.*[A-Za-z])([.,;:!?#$%&*]+)", re.DOTALL)
+_LETTERS = frozenset(string.ascii_letters)
+_SIGNS = ".,;:!?#$%&*"
 
 
 class Encoder:
@@ -77,20 +79,28 @@ class Encoder:
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(BLANK) for i in range(size)])
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
-    def _learn(self, words: set[str], blank: str) -> list[str]:
+    def _learn(self, new: set[str], blank: str) -> list[str]:
         """Add the ids of words that stand at the start of a text, or after a blank; returns those not to be kept."""
         known, plain = self.known[bool(blank)], self.known[0]
-        new = {w for w in words if w not in known}
-        tails = {w: t for w in new if (t := _TAIL.fullmatch(w))}
-        stems = {t[1] for t in tails.values()}
-        pieces = [w for w in new if w not in tails]
-        pieces += [w for w in stems if w not in known and (w not in new or w in tails)]
+        pieces, tails = [], []
+        stems, ends = set(), set()
+        for w in new:
+            stem = w.rstrip(_SIGNS)
+            if len(stem) < len(w) and stem[-1:] in _LETTERS:
+                end = w[len(stem) :]
+                tails.append((w, stem, end))
+                stems.add(stem)
+                ends.add(end)
+            else:
+                pieces.append(w)
+        stems = stems.difference(known, pieces)
+        pieces += stems
         known.update(self._after_blank(pieces) if blank else zip(pieces, self._ids(pieces)))
-        ends = [e for e in {t[2] for t in tails.values()} if e not in plain]
-        plain.update(zip(ends, self._ids(ends)))
-        for w, t in tails.items():
-            known[w] = known[t[1]] + plain[t[2]]
-        return [w for w in new | stems if len(w) > CACHE_LENGTH]
+        unseen = list(ends.difference(plain))
+        plain.update(zip(unseen, self._ids(unseen)))
+        for w, stem, end in tails:
+            known[w] = known[stem] + plain[end]
+        return [w for words in (new, stems) for w in words if len(w) > CACHE_LENGTH]
 
     def _after_blank(self, words: list[str]):
         """Ids of words that follow a blank: many in one text, cut where a token begins with a blank."""
@@ -112,16 +122,24 @@ class Encoder:
         return [_pack(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [_CUT.split(t) for t in texts]
+        pieces = [t.split(" ") for t in texts]
         for known in self.known:
             if len(known) > CACHE_WORDS:
                 known.clear()
+        first, later = self.known
         heads = [p.pop(0) for p in pieces]
         wanted: set[str] = set()
-        for p in pieces:
-            wanted.update(p)
-        drop = self._learn(set(heads), ""), self._learn(wanted, " ")
-        first, later = self.known
+        wanted.update(*pieces)
+        wanted = wanted.difference(later)
+        odd = {w for w in wanted if not w or w[0].isspace()}
+        if odd:  # blanks in texts that hold more blank characters in a row don't all divide
+            for i, p in enumerate(pieces):
+                if not odd.isdisjoint(p):
+                    pieces[i] = _CUT.split(texts[i])
+                    heads[i] = pieces[i].pop(0)
+                    wanted.update(pieces[i])
+            wanted = wanted.difference(odd, later)
+        drop = self._learn(set(heads).difference(first), ""), self._learn(wanted, " ")
         ids = [first[head] + b"".join(map(later.__getitem__, p)) for head, p in zip(heads, pieces)]
         for known, words in zip(self.known, drop):
             for w in words:
