@@ -16,7 +16,7 @@ from textloom.llm.license_scan import scan_licenses
 from textloom.llm.lm_score import lm_scores
 from textloom.llm.mixing import mixed, mixture
 from textloom.llm.queries import tokenizer_file
-from textloom.llm.token_output import read_ids, write_ids
+from textloom.llm.token_output import Encoder, read_ids, write_ids
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -37,6 +37,16 @@ def test_ids_round_trip(spark, make, odd_rows, new_path, bits):
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], bytes(r["ids"])) for r in read_ids(spark, path).collect()) == want
 
 
+def test_encoder_beside_library():
+    pieces = ["a", "B", "foo", "é", " ", "  ", "\n", "\t", "\x1c", "\x85", ".", ",", "'s", "'", "!?", "12", "日", "\u3000", "x.", "-", "<|endoftext|>"]
+    rng = random.Random(1)
+    own = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    for _ in range(20):
+        texts = ["".join(rng.choices(pieces, k=rng.randrange(30))) for _ in range(200)]
+        want = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert own.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
+
+
 def test_no_ids(spark, make, new_path):
     path = new_path("ids")
     write_ids(make([]), path, tokenizer_file("byte_bpe_50k.json"))
