@@ -212,6 +212,26 @@ def test_nearest_recall(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("dim", [8, 48])
+def test_nearest_raises_its_budget(spark, dim):
+    """A budget of a small part of the table: 500 of 20,000 vectors."""
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(20_000, dim))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = nearest.nearest(table, table.where("vec_id % 100 = 0"), k=20, trees=8, sample=5000, candidates=500).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(found) == list(range(0, 20_000, 100))
+    recall = []
+    for q, near in found.items():
+        score = v @ v[q]
+        score[q] = -9.0
+        recall.append(len(near & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.9
+
+
 def test_lm_scores(make, odd_rows):
     rows = [r for r in odd_rows if r[0] is not None]
     held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 == 0}

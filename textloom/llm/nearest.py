@@ -19,8 +19,11 @@ TREES = 24
 SAMPLE = 50_000
 #: Sample vectors of a leaf.
 LEAF = 256
-#: Candidates per query, counted with repetitions in several trees.
+#: Least candidates per query, counted with repetitions in several trees.
 CANDIDATES = 60_000
+#: The budget is raised until so many queries, on average, find this share of their true neighbours.
+JUDGED = 64
+LEAST_RECALL = 0.95
 #: Vectors, and queries, of one task's share of a leaf.
 SHARE_VECTORS = 4096
 SHARE_QUERIES = 1024
@@ -75,8 +78,8 @@ def leaf_of(tree: Tree, points: np.ndarray) -> np.ndarray:
     return -at - 1
 
 
-def probe(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, wanted: int) -> list[tuple[int, int]]:
-    """Leaves to search, nearest first over all trees, until they hold ``wanted`` vectors.
+def probe_order(trees: list[Tree], query: np.ndarray):
+    """All leaves as ``(tree, leaf)``, nearest first over all trees.
 
     The queue is ordered by the smallest margin by which a subtree lies on the
     query's side of the planes above it.
@@ -84,17 +87,25 @@ def probe(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, wanted:
     margins = [t.planes @ query - t.offsets for t in trees]
     queue = [(-math.inf, k, 0 if len(t.planes) else -1) for k, t in enumerate(trees)]
     heapq.heapify(queue)
-    found, held = [], 0
-    while queue and held < wanted:
+    while queue:
         far, k, node = heapq.heappop(queue)
         if node < 0:
-            found.append((k, -node - 1))
-            held += int(sizes[k][-node - 1])
+            yield k, -node - 1
             continue
         margin = margins[k][node]
         left, right = trees[k].children[node].tolist()
         heapq.heappush(queue, (max(far, margin), k, left))
         heapq.heappush(queue, (max(far, -margin), k, right))
+
+
+def probe(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, wanted: int) -> list[tuple[int, int]]:
+    """Leaves to search, nearest first over all trees, until they hold ``wanted`` vectors."""
+    found, held = [], 0
+    for k, leaf in probe_order(trees, query):
+        if held >= wanted:
+            break
+        found.append((k, leaf))
+        held += int(sizes[k][leaf])
     return found
 
 
@@ -140,6 +151,63 @@ def _best(table: pa.Table, k: int, dim: int) -> pa.Table:
     )
 
 
+def _draw(share: float, seed: int):
+    """Whether a ``key`` is drawn into a sample of this share."""
+    return F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < min(1.0, share)
+
+
+def true_neighbours(points: DataFrame, keys: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
+    """``(query, key)``: the ``k`` points of the largest inner product with each of these few points, by brute force."""
+    shared = points.sparkSession.sparkContext.broadcast((keys, x))
+    dim = x.shape[1]
+
+    def best(batches):
+        keys, x = shared.value
+        for batch in batches:
+            own = batch.column("key").to_numpy()
+            scores = x @ _matrix(batch.column("x"), dim).T
+            scores[keys[:, None] == own[None, :]] = -np.inf
+            n = min(k, len(own))
+            top = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n else np.empty((len(keys), 0), np.int64)
+            score = np.take_along_axis(scores, top, axis=1).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(keys, n)), pa.array(own[top.ravel()]), pa.array(score)], ["query", "key", "score"]
+            )
+
+    found = points.select("key", "x").mapInArrow(best, "query long, key long, score double").where(F.col("query") != F.col("key"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "key")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("query", "key")
+
+
+def budget(trees: list[Tree], sizes: list[np.ndarray], queries: dict[int, np.ndarray], places: dict[int, list], recall: float) -> int:
+    """The fewest candidates per query with which ``queries`` find this share of their true neighbours, on average.
+
+    ``places`` has, for each query, the ``(tree, leaf)`` pairs of each neighbour. A
+    neighbour is found as soon as the first of its leaves is taken.
+    """
+    need, weight = [], []
+    for query, x in queries.items():
+        neighbours = places.get(query, [])
+        waiting = {}
+        for number, leaves in enumerate(neighbours):
+            for place in leaves:
+                waiting.setdefault(place, []).append(number)
+        held, missing = 0, set(range(len(neighbours)))
+        for tree, leaf in probe_order(trees, x):
+            if not missing:
+                break
+            for number in missing.intersection(waiting.get((tree, leaf), ())):
+                missing.remove(number)
+                need.append(held + 1)
+                weight.append(1 / len(neighbours))
+            held += int(sizes[tree][leaf])
+    if not need:
+        return 0
+    order = np.argsort(need, kind="stable")
+    reached = np.cumsum(np.array(weight)[order])
+    return int(need[order[np.searchsorted(reached, recall * reached[-1] - 1e-9)]])
+
+
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """``(vec_id, x)``: vectors in double precision that have a direction, all of one dimension.
 
@@ -166,6 +234,8 @@ def nearest(
     leaf: int = LEAF,
     candidates: int = CANDIDATES,
     seed: int = SEED,
+    least_recall: float = LEAST_RECALL,
+    judged: int = JUDGED,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each id of ``queries (vec_id)`` the ``k`` vectors of the largest inner
     product found in ``vectors (vec_id, embedding)``, without itself; ties to the smaller id.
@@ -174,9 +244,13 @@ def nearest(
     ids: no others can be among the first ``k``. The hyperplanes are fitted on a
     bounded sample of points; all points are dealt out to their leaf of each tree.
     Each query takes leaves from one priority queue over all trees until they hold
-    ``candidates`` vectors, and is ranked by exact products there. Large leaves
-    are dealt out in shares, so no task holds more than a bounded number of
-    vectors and queries.
+    enough vectors, and is ranked by exact products there. Enough are at least
+    ``candidates``, and as many as about ``judged`` of the queries need, on
+    average, to find ``least_recall`` of their neighbours, which brute force over
+    all points names. If that is as many as there are points, with repetitions,
+    one tree is searched whole instead, and the result is exact. Large leaves are
+    dealt out in shares, so no task holds more than a bounded number of vectors
+    and queries.
 
     See ``valid_vectors`` for what takes no part, as vector or as query. Rows of
     one vec_id and equal vectors are one; of unequal ones the result may hold
@@ -202,8 +276,7 @@ def nearest(
 
     stats = points.agg(F.count("*").alias("n"), F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)).alias("longest")).first()
     longest = math.sqrt(stats["longest"])
-    draw = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = points.where(draw < min(1.0, sample / stats["n"])).orderBy("key").select("x").toArrow()
+    drawn = points.where(_draw(sample / stats["n"], seed)).orderBy("key").select("x").toArrow()
     fitted = _lifted(_matrix(drawn.column("x"), dim), longest)
     rng = np.random.default_rng(seed)
     forest = [grow_tree(fitted, leaf, rng) for _ in range(trees)]
@@ -228,14 +301,35 @@ def nearest(
 
     asked = queries.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
     wanted = materialize(sound.join(asked, "vec_id").join(points.select("x", "key"), "x").select("vec_id", "key"), "queries")
+    asked_points = wanted.select("key").distinct().count()
     query_points = points.join(wanted.select("key").distinct(), "key", "left_semi").select("key", "x")
+    few = query_points.where(_draw(judged / max(1, asked_points), seed + 1)).orderBy("key").limit(4 * judged).toArrow()
+    if not few.num_rows:  # of few queries the draw may take none
+        few = query_points.orderBy("key").limit(judged).toArrow()
+    if few.num_rows:
+        keys, x = few.column("key").to_numpy(), _matrix(few.column("x"), dim)
+        near = materialize(true_neighbours(points, keys, x, k), "true-neighbours")
+        leaves_of: dict[tuple[int, int], list] = {}
+        # Rows: judged queries x k x trees.
+        for row in index.join(F.broadcast(near), "key").collect():
+            leaves_of.setdefault((row["query"], row["key"]), []).append((row["tree"], row["leaf"]))
+        places: dict[int, list] = {}
+        for (query, _), leaves in sorted(leaves_of.items()):
+            places.setdefault(query, []).append(leaves)
+        flat = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
+        needed = budget(forest, sizes, dict(zip(keys.tolist(), flat)), places, least_recall)
+    else:
+        needed = 0
+    whole = needed > candidates and needed >= stats["n"]
+    candidates = max(candidates, needed)
 
     def probe_leaves(batches):
         for batch in batches:
             x = _matrix(batch.column("x"), dim)
             flat = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
             for key, q in zip(batch.column("key").to_pylist(), flat):
-                hits = np.array(probe(shared.value, shared_sizes.value, q, candidates), np.int32).reshape(-1, 2)
+                found = [(0, leaf) for leaf in range(shared.value[0].leaves)] if whole else probe(shared.value, shared_sizes.value, q, candidates)
+                hits = np.array(found, np.int32).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hits[:, 0]), pa.array(hits[:, 1]), pa.array(np.full(len(hits), key))], ["tree", "leaf", "key"]
                 )
