@@ -130,6 +130,37 @@ def test_licences(make, odd_rows):
     assert scan_licenses(make([])).collect() == []
 
 
+def test_licences_that_resemble_others(make):
+    gnu = "you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation"
+    want = {
+        "Licensed under the Apache License, Version 2.0": "apache",
+        "Licensed under the Mozilla Public License, Version 2.0": "mpl",
+        "Licensed under the Eclipse Public License, Version 2.0": "epl",
+        "Licensed under the GNU General Public License, Version 2.0": "gpl",
+        "Licensed under the Foo Public License, Version 2.0": "",
+        gnu.format("General Public License"): "gpl",
+        gnu.format("Lesser General Public License"): "lgpl",
+        gnu.format("Affero General Public License"): "agpl",
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-ND 4.0": "cc-by-nd",
+        "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa",
+        "Licensed under CC BY-NC-ND 3.0": "cc-by-nc-nd",
+        "Licensed under CC BY-SA 4.0": "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "Licensed under CC0 1.0": "cc0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.": "isc",
+        "Licensed under the BSD 3-Clause License": "bsd",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "you may not use, sell or lend this file here except in very strict compliance with all of the license": "",
+    }
+    got = {r["doc_id"]: r for r in scan_licenses(make(list(enumerate(want)))).collect()}
+    assert {t: ",".join(sorted({s["label"] for s in got[i]["spans"]})) for i, t in enumerate(want)} == want
+    # The phrase of the GPL is in the others of its family as well, and keeps its label.
+    assert got[6]["labels"] == "gpl,lgpl" and got[1]["labels"] == "mpl" and got[4]["score"] == 0.0
+
+
 def test_marginals_beside_all_paths():
     rng = np.random.default_rng(1)
     model = toxicity.Model(np.empty(0, np.uint64), np.empty(0), 0.0, rng.normal(size=(2, 2)), 0.3, np.zeros(3))
