@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from textloom.llm.lm_score import lm_scores
 from textloom.llm.mixing import mixed, mixture
 from textloom.llm.queries import tokenizer_file
 from textloom.llm.token_output import Encoder, read_ids, write_ids
+from textloom.llm.words import ALNUM, find_words, hash_words
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -204,6 +206,20 @@ def test_toxicity(spark, make, odd_rows):
     assert all(0 <= r["score"] < 0.7 for r in toxicity.toxicity(make(odd_rows), none).collect())
 
 
+def test_samples_hold_rare_words(make, spark):
+    """Words in one of 400 toxic documents, or in two documents of a language, are learned from the usual samples."""
+    rng = random.Random(8)
+    plain = [f"word{i}" for i in range(200)]
+    rare = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}rare" for i in range(400)]
+    rows = [(i, " ".join(rng.choices(plain, k=8) + ([rare[i % 400]] if i < 2400 else []))) for i in range(4800)]
+    labels = spark.createDataFrame([(i, int(i < 2400)) for i, _ in rows], "doc_id LONG, toxic INT")
+    model = toxicity.train(make(rows), labels)
+    assert np.isin(hash_words(find_words(pa.array(rare), ALNUM, lower=True)), model.feature).all()
+    model = language_id.train(make([(i, f"alpha beta {rare[i % 700 % 400]}") for i in range(1400)]))
+    known = hash_words(language_id.letter_words(rare), language_id._letters()[2])
+    assert (model.words.rows(known) >= 0).all()
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(600, 8)) * rng.uniform(0.5, 2, size=(600, 1))

@@ -16,7 +16,7 @@ from textloom.llm.blocks import runs
 from textloom.llm.words import BASES, Words, hash_words, mix, rolling, words_in
 
 #: The model is fitted on about so many labelled documents per language, chosen by a hash of their id.
-TRAIN_DOCS = 1000
+TRAIN_DOCS = 1500
 #: Words kept per language, and n-grams per language and length.
 MODEL_WORDS = 30_000
 MODEL_GRAMS = 20_000

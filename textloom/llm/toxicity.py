@@ -13,7 +13,7 @@ from textloom.llm.blocks import runs
 from textloom.llm.words import ALNUM, Words, find_words, hash_words, mix
 
 #: The model is fitted on about so many documents of each label, chosen by a hash of their id.
-TRAIN_DOCS = 1200
+TRAIN_DOCS = 2500
 #: Lengths (in bytes) of word beginnings that are features, besides whole words.
 PREFIXES = (4, 5, 6, 7)
 #: A sign of toxic text stands in at least so many toxic documents that lack other signs, and so few clean ones.
