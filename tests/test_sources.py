@@ -67,6 +67,20 @@ def test_extensions_and_depth(spark, tree):
         files.read_text_tree(spark, tree, max_depth=0)
 
 
+def test_every_file_is_a_document(spark, tmp_path):
+    texts = {"a.txt": "a", "empty.txt": "", "_h.txt": "h\n", ".dot.txt": "dot", "_b/c/x y{1}.txt": "ünder", ".b/_empty.txt": "", "_h.md": "no", "h=1/d.txt": "d"}
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        docs = files.file_documents(files.read_text_tree(spark, root, extensions=["txt"], every_file=True))
+        found = {r["rel_path"]: (r["text"], r["size_bytes"], r["top_folder"]) for r in docs.collect()}
+        want = {n: (t, len(t.encode()), n.split("/")[0] if "/" in n else None) for n, t in texts.items() if n != "_h.md"}
+        assert found == want and docs.count() == len(want)
+    assert names(files.read_text_tree(spark, str(tmp_path), every_file=True)) == sorted(texts)
+    assert names(files.read_text_tree(spark, str(tmp_path), ["txt"], min_depth=1, every_file=True)) == [".b/_empty.txt", "_b/c/x y{1}.txt", "h=1/d.txt"]
+
+
 def test_file_documents(spark, tree):
     docs = files.file_documents(files.read_text_tree(spark, tree), n_top=2, n_bottom=2)
     found = {r["rel_path"]: r for r in docs.collect()}

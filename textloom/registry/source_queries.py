@@ -29,7 +29,7 @@ def file_scan(ws):
     path = scratch_path(ws.spark, "tree")
     host = F.regexp_extract("url", "://([^/]+)", 1).alias("host")
     ws.table("pages").select("page_id", host, "html").write.partitionBy("host", "page_id").text(path)
-    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2)
+    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2, every_file=True)
     docs = files.file_documents(found, n_top=2, n_bottom=2)
     return docs.select(
         F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),

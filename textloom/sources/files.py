@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
-
+from textloom.session import scratch_path
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+#: Files of one part of a listing.
+LISTED = 10_000
 
 
 def read_text_tree(
@@ -19,14 +21,18 @@ def read_text_tree(
     extensions: list[str] | None = None,
     min_depth: int | None = None,
     max_depth: int | None = None,
+    every_file: bool = False,
 ) -> DataFrame:
     """``(path, rel_path, depth, top_folder, size_bytes, modified, content)``, lazily.
 
     ``extensions`` (``txt`` or ``.txt``) restricts the listing itself, so other
     files are never opened. Depth counts the folders between the root and the
     file. ``min_depth`` keeps files in or below folders that deep, ``max_depth``
-    files that are not deeper. Spark's listing leaves out hidden files (``.`` or
-    ``_`` first) and files of zero bytes.
+    files that are not deeper.
+
+    Spark's listing leaves out files of zero bytes and those that are hidden or in
+    a hidden folder (``.`` or ``_`` first). With ``every_file`` these are documents
+    as well, with the paths they have: the driver walks the tree at the call.
     """
     for depth in (min_depth, max_depth):
         if depth is not None and depth < 1:
@@ -34,12 +40,15 @@ def read_text_tree(
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if extensions:
         reader = reader.option("pathGlobFilter", "*.{%s}" % ",".join(e.lstrip(".") for e in extensions))
+    listed_files = reader.load(path)
+    if every_file:
+        listed_files = listed_files.where("length > 0").unionByName(_skipped_files(spark, path, extensions))
     # Given and listed paths may write the scheme in different ways, so both are compared without it.
     root = re.sub(SCHEME, "", path).rstrip("/") + "/"
     listed = F.regexp_replace("path", SCHEME, "")
     rel_path = F.substring(listed, F.instr(listed, F.lit(root)) + F.lit(len(root)), F.length(listed))
     parts = F.split("rel_path", "/")
-    files = reader.load(path).select(
+    files = listed_files.select(
         "path",
         rel_path.alias("rel_path"),
         F.col("length").alias("size_bytes"),
@@ -56,6 +65,63 @@ def read_text_tree(
     return files
 
 
+def _is_skipped(name: str) -> bool:
+    """Whether Spark's listing leaves out a file or folder of this name, as ``HadoopFSUtils.shouldFilterOutPathName`` does."""
+    hidden = (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+    return hidden and not name.startswith(("_common_metadata", "_metadata"))
+
+
+def _skipped_files(spark: SparkSession, path: str, extensions: list[str] | None) -> DataFrame:
+    """``(path, modificationTime, length, content)`` of the regular files below ``path`` that Spark's listing leaves out.
+
+    The walk keeps no more than ``LISTED`` rows on the driver. Only Spark's reader
+    reaches the store from a task, and it refuses hidden names, so hidden files
+    are copied, as streams, to names without them in the shared folder.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(conf)
+    base = store.makeQualified(root).toString().rstrip("/") + "/"
+    copies, listing = scratch_path(spark, "hidden-files"), scratch_path(spark, "skipped-files")
+    scratch = jvm.org.apache.hadoop.fs.Path(copies)
+    scratch_store = scratch.getFileSystem(conf)
+    scratch_store.mkdirs(scratch)
+    schema = "copy string, path string, millis long, length long"
+    spark.createDataFrame([], schema).write.parquet(listing)
+    rows: list[tuple] = []
+    n_copies = 0
+    endings = tuple("." + e.lstrip(".") for e in extensions or ())
+    walk = store.listFiles(root, True)
+    while walk.hasNext():
+        status = walk.next()
+        own, length = status.getPath(), status.getLen()
+        full = own.toString()
+        hidden = any(_is_skipped(name) for name in full.removeprefix(base).split("/"))
+        if endings and not full.endswith(endings) or length > 0 and not hidden:
+            continue
+        copy = None
+        if length > 0:
+            # Folders of bounded size.
+            copy = f"{n_copies // LISTED}/{n_copies}"
+            n_copies += 1
+            jvm.org.apache.hadoop.fs.FileUtil.copy(store, own, scratch_store, jvm.org.apache.hadoop.fs.Path(f"{copies}/{copy}"), False, conf)
+        rows.append((copy, full, status.getModificationTime(), length))
+        if len(rows) >= LISTED:
+            spark.createDataFrame(rows, schema).write.mode("append").parquet(listing)
+            rows = []
+    if rows:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(listing)
+    found = spark.read.schema(schema).parquet(listing).select(
+        "copy", "path", F.timestamp_millis("millis").alias("modificationTime"), "length"
+    )
+    empty = found.where("length = 0").select("path", "modificationTime", "length", F.lit(b"").alias("content"))
+    if not n_copies:
+        return empty
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(copies)
+    contents = contents.select(F.regexp_extract("path", "([0-9]+/[0-9]+)$", 1).alias("copy"), "content")
+    return empty.unionByName(found.join(contents, "copy").select("path", "modificationTime", "length", "content"))
+
+
 def file_documents(files: DataFrame, n_top: int | None = None, n_bottom: int | None = None) -> DataFrame:
     """One record per file: path, type, text, size, times, optionally first and last lines."""
     text = F.decode("content", "UTF-8")
