@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import language_id, nearest, toxicity
+from textloom.llm.centroids import CENTROIDS, ROUNDS, centroid_clusters
 from textloom.llm.decontaminate import contained_items
 from textloom.llm.license_scan import scan_licenses
 from textloom.llm.lm_score import lm_scores
@@ -197,3 +198,44 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = lm_scores(docs, crc_of_id(10) == 0, tokenizer_file("piece_bpe_32k.model"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _op11_sql(k: int, rounds: int) -> str:
+    """The rounds one after the other; all numbers are integers that doubles hold exactly."""
+    assign = """a{n} AS MATERIALIZED (
+    SELECT vec_id, x, arg_min(cluster, [d, cluster]) AS cluster, min(d) AS distance FROM (
+        SELECT v.vec_id, v.x, c.cluster, list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x) AS d
+        FROM vectors v CROSS JOIN c{n} c
+    ) GROUP BY vec_id, x
+)"""
+    update = """c{next} AS MATERIALIZED (
+    SELECT o.cluster, coalesce(n.x, o.x) AS x FROM c{n} o LEFT JOIN (
+        SELECT cluster, list(mean ORDER BY i) AS x FROM (
+            SELECT cluster, i, floor(sum(v) / count(*)) AS mean
+            FROM (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{n}) GROUP BY cluster, i
+        ) GROUP BY cluster
+    ) n USING (cluster)
+)"""
+    steps = [assign.format(n=0)]
+    for n in range(rounds):
+        steps += [update.format(n=n, next=n + 1), assign.format(n=n + 1)]
+    return f"""
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64
+),
+c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS INTEGER) AS cluster, x FROM vectors QUALIFY cluster < {k}
+),
+{", ".join(steps)}
+SELECT vec_id, a.cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c.x, lambda v: CAST(v AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+"""
+
+
+@query(_op11_sql(CENTROIDS, ROUNDS))
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """The cluster of every vector."""
+    return centroid_clusters(table(spark, folder, "embeddings"))
