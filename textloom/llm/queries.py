@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm import language_id, nearest, toxicity
 from textloom.llm.centroids import CENTROIDS, ROUNDS, centroid_clusters
+from textloom.llm.conversation_trie import prefix_trie
 from textloom.llm.decontaminate import contained_items
 from textloom.llm.license_scan import scan_licenses
 from textloom.llm.lm_score import lm_scores
@@ -239,3 +240,57 @@ FROM a{rounds} a JOIN c{rounds} c USING (cluster)
 def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     """The cluster of every vector."""
     return centroid_clusters(table(spark, folder, "embeddings"))
+
+
+_OP13_SQL = r"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t
+),
+named AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+taken AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+        list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT)),
+        lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) + 1 AS BIGINT)]), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+    FROM named, crc_table
+),
+turns AS (
+    SELECT conv_id, [coalesce(role, ''), coalesce(text, '')] AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+joined AS (
+    SELECT k.conv_id, t.said, 0 AS part, t.n FROM taken k JOIN turns t ON t.conv_id = k.base AND t.n <= k.h
+    UNION ALL SELECT k.conv_id, t.said, 1, t.n FROM taken k JOIN turns t ON t.conv_id = k.conv_id AND t.n > k.h
+),
+whole AS (
+    SELECT conv_id, coalesce(list(said ORDER BY part, n) FILTER (said IS NOT NULL), []) AS path
+    FROM taken LEFT JOIN joined USING (conv_id) GROUP BY conv_id
+),
+steps AS (SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM whole),
+keyed AS (SELECT conv_id, depth, sha256(CAST(path[1:depth] AS VARCHAR)) AS node, path[depth][2] AS said, depth = len(path) AS is_end,
+                 sha256(CAST(path[1:depth - 1] AS VARCHAR)) AS above FROM steps),
+nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(above) AS above, any_value(said) AS said,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+    FROM keyed GROUP BY node, depth
+),
+children AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above, depth),
+valued AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * len(regexp_extract_all(coalesce(said, ''), '[^ 	-]+')) AS saved
+    FROM nodes n LEFT JOIN children c USING (node, depth)
+),
+sums AS (
+    SELECT k.node, k.depth, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(v.saved) AS saved_tokens
+    FROM valued v JOIN keyed k ON k.conv_id = v.conv_id AND k.depth <= v.depth GROUP BY k.node, k.depth
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, CAST(v.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN sums s USING (node, depth) LEFT JOIN nodes p ON p.node = v.above AND p.depth = v.depth - 1
+"""
+
+
+@query(_OP13_SQL)
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Which conversations begin alike, and what keeping shared turns once saves."""
+    return prefix_trie(table(spark, folder, "conversations"))
