@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import language_id, nearest, toxicity
+from textloom.llm import html_text, language_id, nearest, toxicity
 from textloom.llm.centroids import CENTROIDS, ROUNDS, centroid_clusters
 from textloom.llm.conversation_trie import prefix_trie
 from textloom.llm.decontaminate import contained_items
@@ -242,6 +242,13 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return centroid_clusters(table(spark, folder, "embeddings"))
 
 
+@query()
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The article of every page."""
+    pages = table(spark, folder, "pages")
+    return html_text.main_texts(pages, html_text.train(pages))
+
+
 _OP13_SQL = r"""
 WITH crc_table AS (
     SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t
@@ -277,7 +284,8 @@ nodes AS (
 ),
 children AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above, depth),
 valued AS (
-    SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * len(regexp_extract_all(coalesce(said, ''), '[^ 	-]+')) AS saved
+    SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * len(regexp_extract_all(coalesce(said, ''), '[^ 	-
+]+')) AS saved
     FROM nodes n LEFT JOIN children c USING (node, depth)
 ),
 sums AS (
