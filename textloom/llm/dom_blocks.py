@@ -29,8 +29,9 @@ CLOSES = {
     "tfoot": (("thead", "tbody", "tfoot", "tr"), ("table",)),
     "body": (("head",), ()),
 }
-#: An end tag looks for its element no further up than these.
+#: An end tag looks for its element no further up than these; one of a table's part no further than its table.
 BARRIERS = frozenset("table td th caption html".split())
+TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 #: Elements of which a page has one: a second start tag is ignored.
 ONCE = frozenset("html head body".split())
 
@@ -183,7 +184,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         flush()
         if closing:
-            end_nearest((tag,), BARRIERS)
+            end_nearest((tag,), ("table",) if tag in TABLE_PARTS else BARRIERS)
             continue
         if tag in ONCE and opened[tag]:
             continue

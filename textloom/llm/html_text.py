@@ -23,12 +23,12 @@ from textloom.llm.labelled_pages import MARK, labelled_pages
 TRAIN_PAGES = 400
 TRAIN_CHARS = 20_000
 #: Pages of usual layouts to learn from.
-LAYOUT_PAGES = 600
+LAYOUT_PAGES = 1200
 LAYOUT_SEED = 12
 #: A feature of fewer training blocks is not learned.
 LEAST_BLOCKS = 3
-ROUNDS = 120
-PENALTY = 0.5
+ROUNDS = 150
+PENALTY = 0.1
 
 #: Elements whose blocks are no article text even within an article.
 ASIDE_TAGS = frozenset("nav aside footer form button noscript dialog menu".split())
@@ -87,8 +87,6 @@ def text_features(block: Block, number: int, blocks: int, headed: bool) -> list[
         out.append("first")
     if number == blocks - 1:
         out.append("last")
-    if n <= 12:  # what short blocks of a kind usually say
-        out += [f"x:{w}" for w in dict.fromkeys(re.findall(r"[^\W\d_]+", text.lower()))]
     out += [f"s:{sign}" for sign in SIGNS if sign in text]
     return out
 

@@ -105,7 +105,7 @@ class _Page:
         entries = []
         for _ in range(rng.randint(1, 6)):
             body = f'<span class="author">{self.words(1, 2)}</span> <p>{self.sentences(4)}</p>'
-            entries.append(self.within([rng.choice(['div class="comment"', "li", "article", 'article class="comment"', "div"])], body))
+            entries.append(self.within([rng.choice(['div class="comment"', "li", 'article class="comment"', "div"])], body))
         return self.within([rng.choice(COMMENTS)], f"<h3>{rng.choice(COMMENT_WORDS)}</h3>" + "".join(entries) + rng.choice(["", "<form><label>Reply</label><button>Send</button></form>"]))
 
     def page(self) -> str:
@@ -128,7 +128,7 @@ class _Page:
         body = [rng.choice([f"<h1>{MARK}{title}</h1>", f"<h1>{MARK}{title}</h1>", f"<header><h1>{MARK}{title}</h1></header>", ""])]
         for _ in range(rng.choice([1, 2, 4, 8, 12])):
             body.append(self.paragraph())
-            body.append(maybe(0.05, advert) + maybe(0.03, notice) + maybe(0.03, lambda: self.place(SIDES, SIDE_WORDS, 0.7)) + maybe(0.02, form))
+            body.append(maybe(0.1, advert) + maybe(0.05, notice) + maybe(0.03, lambda: self.place(SIDES, SIDE_WORDS, 0.7)) + maybe(0.02, form))
         body.append(maybe(0.25, lambda: self.place(SHARES, SHARE_WORDS, 0.3)))
         inside = rng.random() < 0.3
         article = self.within(rng.choice(HOLDERS), "".join(body) + (self.comments() if inside else ""))
@@ -144,6 +144,8 @@ class _Page:
             maybe(0.8, lambda: self.place(FOOTERS, FOOTER_WORDS, 0.4)),
             maybe(0.15, notice),
         ]
+        if rng.random() < 0.2:  # nothing around the article
+            parts = [article]
         head = f"<!DOCTYPE html><html><head><title>{title}</title><script>var a = '<p>';</script></head>"
         return f"{head}<body>{''.join(parts)}</body></html>"
 
