@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from textloom.operators import postings as ops
 from textloom.operators import top_terms, weighting
 from textloom.operators.joins import join_on_term
-from textloom.plans.index import build_index, open_index, update_index
+from textloom.plans.index import build_index, compact_index, open_index, update_index
 from textloom.sources.tables import upsert_documents
 
 FOLDER = "/root/testdata/sf0.001"
@@ -95,7 +95,8 @@ def test_weights_need_no_shuffle(index, capsys):
     weighting.vector_norms(weighting.vectorize(index, "text", "tfidf")).explain()
     top_terms.best_terms_in_docs(index, 3, "tfidf").explain()
     plans = capsys.readouterr().out
-    assert "Exchange" not in plans.replace("BroadcastExchange", "") and "term_stats" not in plans
+    # Postings hold no statistics of their terms; while these are small they are broadcast and nothing is moved.
+    assert "Exchange" not in plans.replace("BroadcastExchange", "") and "term_stats" in plans
 
 
 def test_salted_join_equals_broadcast_join(spark, capsys):
@@ -167,3 +168,108 @@ def test_reopened_index_does_not_trust_an_old_catalog_entry(spark, new_path):
     index = open_index(spark, path)
     assert index.buckets == 6
     assert index.postings().groupBy("doc_id").count().count() == 200
+
+
+def files_read(df):
+    """Files that the scans of a plan without shuffle read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def stored_files(spark, path):
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return [r["path"].rsplit("/", 1)[1] for r in listed.select("path").collect()]
+
+
+def test_a_query_reads_the_files_of_its_words_alone(spark, new_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    index = build_index(ops.stack_fields(docs, ["text"]), new_path("classes"), buckets=16)
+    stored = stored_files(spark, f"{index.path}/term_postings")
+    classes = [r[0] for r in spark.createDataFrame([("the",), ("of",)], "term STRING").select(index.term_class()).collect()]
+    found = index.term_postings(classes, "text").where("term IN ('the', 'of')")
+    assert 0 < files_read(found) < len(stored) / 4
+    assert rows(found) == rows(index.postings("text").where("term IN ('the', 'of')"))
+    assert rows(index.term_postings(list(range(16)))) == rows(index.postings())
+
+
+def test_one_document_reads_one_bucket(spark, new_path, capsys):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    index = build_index(ops.stack_fields(docs, ["text"]), new_path("one"), buckets=16)
+    index.postings("text").where("doc_id = 7").groupBy("doc_id").count().explain()
+    assert "SelectedBucketsCount: 1 out of 16" in capsys.readouterr().out
+    for order in ("tf", "tfidf"):
+        every = top_terms.best_terms_in_docs(index, 5, order).where("doc_id = 7")
+        assert rows(top_terms.best_terms_in_doc(index, 7, 5, order)) == rows(every.select(top_terms.best_terms_in_doc(index, 7, 5, order).columns))
+    assert top_terms.best_terms_in_doc(index, -1, 5).collect() == []
+    with pytest.raises(ValueError):
+        top_terms.best_terms_in_doc(index, 7, 5, "length")
+
+
+def test_hot_terms_are_dealt_out_by_term_too(spark, new_path):
+    docs = spark.createDataFrame([(i, f"hot w{i}") for i in range(2000)], "doc_id BIGINT, text STRING")
+    index = build_index(ops.stack_fields(docs, ["text"]), new_path("hot"), buckets=8)
+    hot_class = spark.createDataFrame([("hot",)], "term STRING").select(index.term_class()).first()[0]
+    assert len(stored_files(spark, f"{index.path}/term_postings/term_class={hot_class}")) > 1
+    assert index.term_postings([hot_class]).where("term = 'hot'").count() == 2000
+
+
+def frame(spark, texts):
+    return ops.stack_fields(spark.createDataFrame(texts, "doc_id BIGINT, text STRING"), ["text"])
+
+
+def test_updates_and_compaction(spark, docs, index, new_path):
+    texts = {0: "red red blue", 1: "blue green", 2: "green green green", 3: ""}
+    steps = [{1: "red", 7: "new blue"}, {7: "newer", 2: None, 8: "blue " * 5}, {1: "green red", 9: "x", 8: "y y"}]
+    updated = index
+    for step in steps:
+        updated = update_index(updated, frame(spark, list(step.items())), new_path("step"))
+        texts |= step
+        rebuilt = build_index(frame(spark, list(texts.items())), new_path("whole"))
+        for table in ("postings", "doc_stats", "term_stats", "field_stats"):
+            assert rows(getattr(updated, table)()) == rows(getattr(rebuilt, table)()), table
+        assert rows(updated.term_postings(list(range(updated.buckets)))) == rows(rebuilt.postings())
+        # Bounds may stay too large, never too small.
+        exact = {r["term"]: r["max_share"] for r in rebuilt.term_bounds().collect()}
+        assert all(r["max_share"] >= exact[r["term"]] for r in updated.term_bounds().collect())
+    # An update writes the incoming documents alone.
+    assert len(updated.generations) == 4
+    own = spark.read.parquet(f"{updated.generations[-1][1]}/postings")
+    assert {r["doc_id"] for r in own.select("doc_id").collect()} == {1, 8, 9}
+    compacted = compact_index(updated, new_path("compacted"))
+    buckets = [name.rsplit("_", 1)[1].split(".")[0] for name in stored_files(spark, f"{compacted.path}/postings")]
+    assert len(buckets) == len(set(buckets)) and len(compacted.generations) == 1
+    opened = open_index(spark, compacted.path)
+    for table in ("postings", "doc_stats", "term_stats", "term_bounds", "field_stats"):
+        assert rows(getattr(opened, table)()) == rows(getattr(rebuilt, table)()), table
+    reopened = open_index(spark, updated.path)
+    assert rows(reopened.postings()) == rows(rebuilt.postings())
+    with pytest.raises(ValueError):
+        compact_index(updated, updated.path)
+
+
+def test_generations_are_grouped_without_a_shuffle(spark, index, new_path, capsys):
+    updated = update_index(index, frame(spark, [(1, "red"), (7, "new blue")]), new_path("updated"))
+    updated.postings().groupBy("doc_id", "term").agg(F.sum("tf")).explain()
+    assert "Exchange" not in capsys.readouterr().out.replace("BroadcastExchange", "")
+
+
+def test_update_beyond_the_broadcast_bound(spark, index, new_path, monkeypatch):
+    incoming = frame(spark, [(1, "red"), (7, "new blue")])
+    expected = update_index(index, incoming, new_path("updated"))
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 0)
+    other = update_index(index, incoming, new_path("updated"))
+    for table in ("postings", "doc_stats", "term_stats", "field_stats"):
+        assert rows(getattr(other, table)()) == rows(getattr(expected, table)())
+
+
+def test_repeated_documents_of_an_update(spark, index, new_path):
+    repeated = spark.createDataFrame(
+        [(5, "text", "old words", 1), (5, "text", "last", 3), (5, "text", "middle", 2), (6, "text", "nothing", None)],
+        "doc_id BIGINT, field STRING, text STRING, place INT",
+    )
+    updated = update_index(index, repeated, new_path("last"), order="place")
+    assert {r["term"] for r in updated.postings().where("doc_id = 5").collect()} == {"last"}
+    assert updated.doc_stats().where("doc_id = 5").count() == 1
+    with pytest.raises(Exception, match="more than once"):
+        update_index(index, repeated.drop("place"), new_path("error"))

@@ -223,3 +223,39 @@ def test_words_keep_combining_marks(spark):
 
     rows = spark.createDataFrame([("हिन्दी में",), ("cafe\u0301 x",)], "text STRING")
     assert [r["w"] for r in rows.select(tx.words("text").alias("w")).collect()] == [["हिन्दी", "में"], ["cafe\u0301", "x"]]
+
+
+@pytest.mark.parametrize("model", ["jm", "classic"])
+def test_few_pairs_are_left_for_the_ranking(spark, new_path, model):
+    """A stop word in every text and query: nearly all pairs match, few can be among the best."""
+    rng = random.Random(11)
+    texts = {d: " ".join(["the"] * rng.randint(1, 9) + rng.choices([f"w{i}" for i in range(60)], k=rng.randint(1, 40))) for d in range(400)}
+    asked = {q: f"the the w{q} w{q + 20} w{(7 * q) % 60}" for q in range(20)}
+    index = build_index(ops.stack_fields(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING"), ["text"]), new_path("stop"))
+    queries = spark.createDataFrame(list(asked.items()), "query_id BIGINT, text STRING")
+    run = ranking.search(index, queries, model, 5, lam=0.3).collect()
+    for q, text in asked.items():
+        got = [(r["doc_id"], r["score"]) for r in sorted(run, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert got == [(d, pytest.approx(s, abs=1e-8)) for d, s in brute_force(texts, text, model, 0.3)[:5]]
+    left = ranking.scored_pairs(index, queries, [ranking.contribution_of(model, 0.3)], 5, "text").count()
+    assert 20 * 5 <= left < 20 * 400 / 10
+
+
+def test_words_are_dealt_out_by_their_bounds():
+    import numpy as np
+
+    query, term = np.array([0, 0, 0, 0]), np.array([10, 11, 12, 13])
+    bounds = np.array([[1.0, 2.0, 4.0, 8.0]])
+    asked = ranking.arrange(np.array([5]), query, term, np.ones(4), bounds, np.array([[6.0]]))
+    # 1 alone cannot make up 0.3 * 6; 1 + 2 stay below 6, with 4 they would not.
+    assert [e[1].size for e in asked.entries] == [2, 1, 1]
+    assert [r[0, 0] for r in asked.rest] == [3.0, 1.0, 0.0]
+    every = ranking.arrange(np.array([5]), query, term, np.ones(4), bounds)
+    assert [e[1].size for e in every.entries] == [4] and every.least[0, 0] == -np.inf
+
+
+def test_fewer_documents_than_asked_for_and_none(spark, index):
+    queries = spark.createDataFrame([(1, "green"), (2, None), (3, "")], "query_id BIGINT, text STRING")
+    assert [(r["query_id"], r["doc_id"]) for r in ranking.search(index, queries, "jm", 50).orderBy("rank").collect()] == [(1, 2), (1, 1)]
+    assert ranking.search(index, queries.limit(0), "jm", 5).collect() == []
+    assert ranking.search(index, queries, "jm", 50, lam=1.0).count() == 2  # all scores are 0: found all the same

@@ -37,6 +37,19 @@ def best_terms_in_docs(
     return ranked.where(F.col("position") <= n)
 
 
+def best_terms_in_doc(index, doc_id: int, n: int, order: str = "tf", field: str = "text") -> DataFrame:
+    """The same for one document given by its id: one bucket of the postings is read, and the statistics of its terms."""
+    if order not in DOC_ORDERS:
+        raise ValueError(f"unknown order {order!r}; use one of {DOC_ORDERS}")
+    own = index.postings(field).where(F.col("doc_id") == F.lit(doc_id))
+    # The terms of one text; they look their statistics up, not the other way round.
+    known = index.term_stats(field).join(F.broadcast(own), ["field", "term"]).join(F.broadcast(index.field_stats(field)), "field")
+    idf = weights.idf_log10(F.col("doc_count"), F.col("df"))
+    terms = known.select("doc_id", "term", "tf", "cf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
+    best_first = Window.partitionBy("doc_id").orderBy(F.desc(F.round(order, SCORE_DIGITS)), "term")
+    return terms.withColumn("position", F.row_number().over(best_first).cast("long")).where(F.col("position") <= n)
+
+
 def collection_terms(index, field: str) -> DataFrame:
     """``(term, df, cf, idf)``."""
     joined = index.term_stats(field).join(F.broadcast(index.field_stats(field)), "field")

@@ -1,68 +1,116 @@
 """The stored term tables of a collection.
 
-``postings`` and ``doc_stats`` are bucketed by document id, so grouping or
-joining them by document needs no shuffle, at any size. For that the texts are
-moved once, before they are tokenized: moving a text is several times cheaper
-than moving its words as rows. Within a bucket the postings are sorted by field
-and term, so a filter on a term skips row groups.
-
-Each posting carries the document and collection frequency of its term. Sorted
-by term these columns are runs of one value and take next to no room; in return
-the one large join, postings with term statistics, is made once at build time
-and no weighting ever repeats it.
+A text is moved once, to the bucket of its document, and tokenized once. Its
+postings are stored twice: ``postings``, bucketed and sorted by document, for
+all that is grouped by document; and ``term_postings``, in classes of terms, for
+a query, which reads the classes of its words alone. Statistics of terms and
+fields are counted from the stored postings.
+
+An index is a list of generations. An update writes the postings of the incoming
+documents as a new generation and changes the statistics by signed differences;
+what it replaces stays in the files of older generations and is left out when
+they are read. ``compact_index`` writes one generation again, with one sorted
+file per bucket.
 """
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
-from textloom.operators.joins import is_small, join_on_term, measured_size
+from textloom.operators.joins import HOT_SHARE, broadcast_if_small, is_small, measured_size
 
 MAX_BUCKETS = 100_000
 
-POSTINGS_SCHEMA = "doc_id BIGINT, field STRING, term STRING, tf BIGINT, dl BIGINT, df BIGINT, cf BIGINT"
+POSTINGS_SCHEMA = "doc_id BIGINT, field STRING, term STRING, tf BIGINT, dl BIGINT"
 DOC_STATS_SCHEMA = "doc_id BIGINT, field STRING, dl BIGINT, n_terms BIGINT"
 TERM_STATS_SCHEMA = "field STRING, term STRING, df BIGINT, cf BIGINT"
+TERM_BOUNDS_SCHEMA = f"{TERM_STATS_SCHEMA}, max_share DOUBLE"
 FIELD_STATS_SCHEMA = (
     "field STRING, doc_count BIGINT, max_doc BIGINT, sum_doc_freq BIGINT, sum_total_term_freq BIGINT"
 )
+FIELD_SUMS = ["doc_count", "max_doc", "sum_doc_freq", "sum_total_term_freq"]
 VECTOR_COLUMNS = ["doc_id", "field", "term", "tf", "dl"]
-LAYOUT_SCHEMA = "buckets INT, terms BIGINT, term_bytes BIGINT"
+REPLACED_SCHEMA = "doc_id BIGINT, generation INT"
+GENERATIONS_SCHEMA = "generation INT, location STRING"
+LAYOUT_SCHEMA = "buckets INT, terms BIGINT, term_bytes BIGINT, replaced BIGINT, replaced_bytes BIGINT"
+
+# Stored tables that are bucketed by document: their schemas and the order within a bucket.
+BUCKETED = {
+    "postings": (POSTINGS_SCHEMA, ("doc_id", "field", "term")),
+    "doc_stats": (DOC_STATS_SCHEMA, ("doc_id", "field")),
+}
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """Handles on the stored tables, plus the measured size of the term table."""
+    """Handles on the stored tables, with the measured sizes of the term table and of the list of replaced documents."""
 
     spark: SparkSession
     path: str
     buckets: int
     term_stats_size: tuple[int, int]
+    generations: tuple[tuple[int, str], ...]
+    replaced_size: tuple[int, int]
 
     def _table_name(self, part: str) -> str:
-        return _table_name(self.path, part)
-
-    def _table(self, part: str) -> DataFrame:
-        return self.spark.table(self._table_name(part))
+        """Of the newest generation."""
+        return _table_name(self.generations[-1][1], part)
+
+    def _live(self, frames: list[DataFrame]) -> DataFrame:
+        """Rows of all generations, without those of documents that a later generation has."""
+        last, out = self.generations[-1][0], []
+        for (generation, _), rows in zip(self.generations, frames):
+            if generation < last:
+                later = self.replaced().where(F.col("generation") > generation).select("doc_id")
+                later = F.broadcast(later) if is_small(later, self.replaced_size) else later
+                rows = rows.join(later, "doc_id", "left_anti")
+            out.append(rows)
+        return reduce(DataFrame.unionByName, out)
+
+    def _bucketed(self, part: str) -> DataFrame:
+        return self._live([self.spark.table(_table_name(location, part)) for _, location in self.generations])
 
     def postings(self, field: str | None = None) -> DataFrame:
-        return _of_field(self._table("postings"), field)
+        """``(doc_id, field, term, tf, dl)``; bucketed by document, all generations alike."""
+        return _of_field(self._bucketed("postings"), field)
 
     def doc_stats(self, field: str | None = None) -> DataFrame:
-        return _of_field(self._table("doc_stats"), field)
+        """``(doc_id, field, dl, n_terms)``; bucketed by document."""
+        return _of_field(self._bucketed("doc_stats"), field)
+
+    def term_postings(self, classes: list[int], field: str | None = None) -> DataFrame:
+        """The postings of some classes of terms (see ``term_class``), read from these classes' files alone."""
+        schema = f"{POSTINGS_SCHEMA}, term_class INT"
+        frames = [self.spark.read.schema(schema).parquet(f"{location}/term_postings") for _, location in self.generations]
+        chosen = [f.where(F.col("term_class").isin(classes)).drop("term_class") for f in frames]
+        return _of_field(self._live(chosen), field)
+
+    def replaced(self) -> DataFrame:
+        """``(doc_id, generation)``: documents that were replaced, and the newest generation that has them."""
+        return self.spark.read.schema(REPLACED_SCHEMA).parquet(f"{self.path}/replaced")
+
+    def term_bounds(self, field: str | None = None) -> DataFrame:
+        """Term statistics with ``max_share``, which no posting's ``tf / dl`` exceeds."""
+        return _of_field(self.spark.read.schema(TERM_BOUNDS_SCHEMA).parquet(f"{self.path}/term_stats"), field)
 
     def term_stats(self, field: str | None = None) -> DataFrame:
+        """``(field, term, df, cf)``."""
         return _of_field(self.spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{self.path}/term_stats"), field)
 
     def field_stats(self, field: str | None = None) -> DataFrame:
         """One row per field, so its size is that of the schema."""
         return _of_field(self.spark.read.schema(FIELD_STATS_SCHEMA).parquet(f"{self.path}/field_stats"), field)
 
+    def term_class(self, term: str | Column = "term") -> Column:
+        """The class of a term: as many classes as buckets."""
+        return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int")
+
 
 def _of_field(df: DataFrame, field: str | None) -> DataFrame:
     return df if field is None else df.where(F.col("field") == field)
@@ -72,14 +120,14 @@ def _table_name(path: str, part: str) -> str:
     return f"textloom_{part}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
 
 
-def _write_bucketed(df: DataFrame, path: str, part: str, buckets: int, *sort: str) -> DataFrame:
+def _write_bucketed(df: DataFrame, path: str, part: str, buckets: int) -> DataFrame:
     name = _table_name(path, part)
     (
         df.write.mode("overwrite")
         .format("parquet")
         .option("path", f"{path}/{part}")
         .bucketBy(buckets, "doc_id")
-        .sortBy(*sort)
+        .sortBy(*BUCKETED[part][1])
         .saveAsTable(name)
     )
     return df.sparkSession.table(name)
@@ -94,80 +142,153 @@ def default_buckets(stacked: DataFrame) -> int:
 def build_index(stacked: DataFrame, path: str, buckets: int | None = None) -> TextIndex:
     """Tokenize the texts ``(doc_id, field, text)`` and store the term tables below ``path``.
 
-    A first pass counts the terms, a second one writes the postings with these
-    counts. Statistics are kept apart by ``field``. ``stack_fields`` gives several
-    text columns of a collection; ``stack_folders`` makes each first-level folder
-    a collection of its own.
+    Statistics are kept apart by ``field``. ``stack_fields`` gives several text
+    columns of a collection; ``stack_folders`` makes each first-level folder a
+    collection of its own.
     """
     buckets = buckets or default_buckets(stacked)
     placed = ops.by_document(stacked, buckets)
-    term_stats, size = _write_term_stats(ops.term_vectors(ops.spread(stacked)), path)
-    # A vocabulary too large to broadcast moves the postings anyway, so there the texts stay where they are.
-    vectors = ops.term_vectors(placed if is_small(term_stats, size) else stacked)
-    return _store(vectors, placed.select("doc_id", "field"), term_stats, size, path, buckets)
+    return _store_whole(ops.term_vectors(placed), placed.select("doc_id", "field"), path, buckets)
 
 
-def update_index(index: TextIndex, incoming: DataFrame, path: str) -> TextIndex:
-    """A new index below ``path``: ``incoming`` replaces documents of the same id, others are added.
+def _store_whole(vectors: DataFrame, documents: DataFrame, path: str, buckets: int) -> TextIndex:
+    """One generation, with statistics from what is stored of it."""
+    spark = vectors.sparkSession
+    postings, doc_stats = _write_generation(vectors, documents, path, buckets)
+    _term_deltas(postings).write.mode("overwrite").parquet(f"{path}/term_stats")
+    ops.field_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/field_stats")
+    nothing = spark.createDataFrame([], REPLACED_SCHEMA)
+    return _finish(spark, path, buckets, ((0, path),), nothing)
 
-    Only the incoming texts are tokenized. The postings that stay are read from
-    ``index`` bucket by bucket and not shuffled; only the frequencies of terms
-    are counted anew.
+
+def _write_generation(vectors: DataFrame, documents: DataFrame, path: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The postings of some documents, by document and by term, and the documents' lengths."""
+    postings = _write_bucketed(vectors.select(*VECTOR_COLUMNS), path, "postings", buckets)
+    counted = postings.groupBy("doc_id", "field").agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
+    doc_stats = documents.join(counted, ["doc_id", "field"], "left").select(
+        "doc_id", "field", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")]
+    )
+    doc_stats = _write_bucketed(doc_stats, path, "doc_stats", buckets)
+    _write_by_term(postings, path, buckets)
+    return postings, doc_stats
+
+
+def _write_by_term(postings: DataFrame, path: str, classes: int) -> None:
+    """Postings in a folder per class of terms, sorted by term; a hot term is dealt out to several tasks.
+
+    Document frequencies add up to the number of postings, so no more than
+    ``HOT_SHARE`` terms are hot, whatever the data.
     """
-    if path.rstrip("/") == index.path.rstrip("/"):
-        raise ValueError("the updated index needs a new path")
-    placed = ops.by_document(incoming, index.buckets)
-    replaced = placed.select("doc_id").distinct()
-    kept = index.postings().select(*VECTOR_COLUMNS).join(replaced, "doc_id", "left_anti")
-    vectors = kept.unionByName(ops.term_vectors(placed).select(*VECTOR_COLUMNS))
-    stay = index.doc_stats().select("doc_id", "field").join(replaced, "doc_id", "left_anti")
-    documents = stay.unionByName(placed.select("doc_id", "field"))
-    term_stats, size = _write_term_stats(vectors, path)
-    return _store(vectors, documents, term_stats, size, path, index.buckets)
+    frequencies = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+    total = postings.count()
+    chunk = max(total // HOT_SHARE, total // (4 * classes), 1)
+    hot = frequencies.where(F.col("df") > chunk).select("field", "term", F.ceil(F.col("df") / F.lit(chunk)).alias("copies"))
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("copies")), F.lit(0))
+    salted = postings.join(F.broadcast(hot), ["field", "term"], "left").select(
+        *VECTOR_COLUMNS, F.pmod(F.xxhash64("term"), F.lit(classes)).cast("int").alias("term_class"), salt.alias("salt")
+    )
+    dealt = salted.repartition(classes, "term_class", "salt").sortWithinPartitions("term_class", "field", "term", "doc_id")
+    dealt.drop("salt").write.mode("overwrite").partitionBy("term_class").parquet(f"{path}/term_postings")
 
 
-def _write_term_stats(vectors: DataFrame, path: str) -> tuple[DataFrame, tuple[int, int]]:
-    ops.term_stats(vectors).write.mode("overwrite").parquet(f"{path}/term_stats")
-    written = vectors.sparkSession.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats")
-    return written, measured_size(written)
+def _term_deltas(postings: DataFrame, sign: int = 1) -> DataFrame:
+    """What these postings add to the statistics of their terms, or take away."""
+    counted = postings.groupBy("field", "term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max(F.col("tf") / F.col("dl")).alias("max_share")
+    )
+    return counted.select("field", "term", *[(F.col(c) * sign).alias(c) for c in ("df", "cf")], "max_share")
 
 
-def _store(
-    vectors: DataFrame, documents: DataFrame, term_stats: DataFrame, size: tuple[int, int], path: str, buckets: int
-) -> TextIndex:
-    """Write the tables that need the frequencies of terms."""
-    spark = vectors.sparkSession
-    postings = join_on_term(vectors, term_stats, size)
-    if not is_small(term_stats, size):
-        # The join was a shuffle by term, so the rows go back to their documents' buckets.
-        postings = ops.by_document(postings, buckets)
-    columns = [*VECTOR_COLUMNS, "df", "cf"]
-    postings = _write_bucketed(postings.select(*columns), path, "postings", buckets, "field", "term")
+def last_of_each(incoming: DataFrame, order: str | None) -> DataFrame:
+    """One row per document and field: the last by the column ``order``; without ``order`` a repeated one is an error."""
+    key = ["doc_id", "field"]
+    if order:
+        last = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(order).desc_nulls_last()))
+        return incoming.withColumn("_place", last).where("_place = 1").select(*key, "text")
+    repeated = F.raise_error(F.concat(F.lit("doc_id comes more than once: "), F.col("doc_id").cast("string")))
+    rows = F.count("*").over(Window.partitionBy(*key))
+    once = F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(True)
+    return incoming.withColumn("_rows", rows).where(once).select(*key, "text")
 
-    counted = postings.groupBy("doc_id", "field").agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
-    doc_stats = documents.join(counted, ["doc_id", "field"], "left").select(
-        "doc_id", "field", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")]
+
+def update_index(index: TextIndex, incoming: DataFrame, path: str, order: str | None = None) -> TextIndex:
+    """A new index below ``path``: ``incoming (doc_id, field, text)`` replaces documents of the same id, others are added.
+
+    A document is replaced with all its fields. Of several incoming rows of one
+    document and field the last by the column ``order`` counts; without it they
+    are an error.
+
+    Only the incoming texts are tokenized and written. Statistics change by what
+    the incoming postings add and what the replaced ones took part with; the
+    latter are found bucket by bucket, without a shuffle of the old postings.
+    ``max_share`` may stay too large where a posting went; it is a bound still.
+    The files of ``index`` are read by the new index too and must stay.
+    """
+    if path.rstrip("/") == index.path.rstrip("/"):
+        raise ValueError("the updated index needs a new path")
+    spark, generation = index.spark, index.generations[-1][0] + 1
+    placed = ops.by_document(last_of_each(incoming, order), index.buckets)
+    postings, doc_stats = _write_generation(ops.term_vectors(placed), placed.select("doc_id", "field"), path, index.buckets)
+
+    came = doc_stats.select("doc_id").distinct()
+    gone_documents = index.doc_stats().join(broadcast_if_small(came), "doc_id", "left_semi")
+    gone = gone_documents.select("doc_id", F.lit(generation).alias("generation"))
+    replaced = index.replaced().unionByName(gone).groupBy("doc_id").agg(F.max("generation").alias("generation"))
+    replaced.write.mode("overwrite").parquet(f"{path}/replaced")
+    now = spark.read.schema(REPLACED_SCHEMA).parquet(f"{path}/replaced").where(F.col("generation") == generation).select("doc_id")
+    gone_postings = index.postings().join(broadcast_if_small(now), "doc_id", "left_semi")
+
+    changed = index.term_bounds().unionByName(_term_deltas(postings)).unionByName(_term_deltas(gone_postings, -1))
+    merged = changed.groupBy("field", "term").agg(
+        F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.max("max_share").alias("max_share")
     )
-    doc_stats = _write_bucketed(doc_stats, path, "doc_stats", buckets, "doc_id")
+    merged.where("df > 0").write.mode("overwrite").parquet(f"{path}/term_stats")
 
-    ops.field_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/field_stats")
-    layout = spark.createDataFrame([(buckets, *size)], LAYOUT_SCHEMA)
-    layout.write.mode("overwrite").json(f"{path}/layout")
-    return TextIndex(spark, path, buckets, size)
+    less = ops.field_stats(gone_documents).select("field", *[(-F.col(c)).alias(c) for c in FIELD_SUMS])
+    fields = index.field_stats().unionByName(ops.field_stats(doc_stats)).unionByName(less)
+    fields = fields.groupBy("field").agg(*[F.sum(c).alias(c) for c in FIELD_SUMS]).where("max_doc > 0")
+    fields.write.mode("overwrite").parquet(f"{path}/field_stats")
+    return _finish(spark, path, index.buckets, (*index.generations, (generation, path)), None)
+
+
+def compact_index(index: TextIndex, path: str) -> TextIndex:
+    """The same index as one generation below ``path``: one sorted file per bucket, replaced rows gone, exact bounds."""
+    if path.rstrip("/") == index.path.rstrip("/"):
+        raise ValueError("the compacted index needs a new path")
+    # An expression of the same value: Spark leaves a plain repartition out where the buckets are the same,
+    # and then reads them in splits of any size, which gives a bucket several files.
+    same = F.col("doc_id").bitwiseOR(F.lit(0))
+    vectors = index.postings().repartition(index.buckets, same)
+    documents = index.doc_stats().select("doc_id", "field").repartition(index.buckets, same)
+    return _store_whole(vectors, documents, path, index.buckets)
+
+
+def _finish(
+    spark: SparkSession, path: str, buckets: int, generations: tuple[tuple[int, str], ...], replaced: DataFrame | None
+) -> TextIndex:
+    """Measure and write what an opened index has to know."""
+    if replaced is not None:
+        replaced.write.mode("overwrite").parquet(f"{path}/replaced")
+    terms = measured_size(spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"))
+    gone = measured_size(spark.read.schema(REPLACED_SCHEMA).parquet(f"{path}/replaced"))
+    spark.createDataFrame(list(generations), GENERATIONS_SCHEMA).write.mode("overwrite").json(f"{path}/generations")
+    spark.createDataFrame([(buckets, *terms, *gone)], LAYOUT_SCHEMA).write.mode("overwrite").json(f"{path}/layout")
+    return TextIndex(spark, path, buckets, terms, generations, gone)
 
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:
-    """Open the tables that ``build_index`` wrote, in any later session."""
+    """Open the tables that an index below ``path`` consists of, in any later session."""
     layout = spark.read.schema(LAYOUT_SCHEMA).json(f"{path}/layout").first()
-    for part, schema, sort in (
-        ("postings", POSTINGS_SCHEMA, "field, term"),
-        ("doc_stats", DOC_STATS_SCHEMA, "doc_id"),
-    ):
-        # An entry of an earlier build at this path may have another number of buckets; the files stay.
-        spark.sql(f"DROP TABLE IF EXISTS {_table_name(path, part)}")
-        spark.sql(
-            f"CREATE TABLE {_table_name(path, part)} ({schema}) USING parquet "
-            f"CLUSTERED BY (doc_id) SORTED BY ({sort}) INTO {layout['buckets']} BUCKETS "
-            f"LOCATION '{path}/{part}'"
-        )
-    return TextIndex(spark, path, layout["buckets"], (layout["terms"], layout["term_bytes"]))
+    listed = spark.read.schema(GENERATIONS_SCHEMA).json(f"{path}/generations").orderBy("generation").collect()
+    generations = tuple((r["generation"], r["location"]) for r in listed)
+    for _, location in generations:
+        for part, (schema, sort) in BUCKETED.items():
+            name = _table_name(location, part)
+            # An entry of an earlier build at this path may have another number of buckets; the files stay.
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(
+                f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (doc_id) SORTED BY ({', '.join(sort)}) "
+                f"INTO {layout['buckets']} BUCKETS LOCATION '{location}/{part}'"
+            )
+    sizes = (layout["terms"], layout["term_bytes"]), (layout["replaced"], layout["replaced_bytes"])
+    return TextIndex(spark, path, layout["buckets"], sizes[0], generations, sizes[1])

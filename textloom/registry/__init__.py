@@ -2,6 +2,7 @@
 
 from textloom.registry import (  # noqa: F401
     clustering_queries,
+    index_queries,
     ranking_queries,
     significance_queries,
     source_queries,

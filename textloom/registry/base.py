@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.joins import broadcast_if_small, is_small
 from textloom.operators.postings import spread, stack_fields, stack_folders
-from textloom.plans.index import TextIndex, build_index
+from textloom.plans.index import TextIndex, build_index, compact_index, open_index, update_index
 from textloom.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,25 @@ class Workspace:
         """Statistics by ``source``, which plays the first-level folder."""
         return build_index(stack_folders(self.documents, "source"), scratch_path(self.spark, "partial-index"))
 
+    @cached_property
+    def field_index(self) -> TextIndex:
+        """An index of three fields, opened again from its files."""
+        path = scratch_path(self.spark, "field-index")
+        build_index(stack_fields(self.documents, ["text", "lang", "source"]), path)
+        return open_index(self.spark, path)
+
+    @cached_property
+    def updated_index(self) -> TextIndex:
+        """The index of the documents after two updates: all pages, then all turns of conversations, of which the last counts."""
+        pages = self.table("pages").select(F.col("page_id").alias("doc_id"), F.lit("text").alias("field"), F.col("html").alias("text"))
+        turns = self.table("conversations").select(F.col("conv_id").alias("doc_id"), F.lit("text").alias("field"), "text", "turn")
+        first = update_index(self.index, pages, scratch_path(self.spark, "updated-index"))
+        return update_index(first, turns, scratch_path(self.spark, "updated-index"), order="turn")
+
+    @cached_property
+    def compacted_index(self) -> TextIndex:
+        return compact_index(self.updated_index, scratch_path(self.spark, "compacted-index"))
+
     @cached_property
     def qrels(self) -> DataFrame:
         """``(query_id, doc_id)``: the document's text contains the query's, ignoring case."""

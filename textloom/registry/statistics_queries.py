@@ -170,6 +170,19 @@ for _order in top_terms.DOC_ORDERS:
     _best_in_docs(_order)
 
 
+@query(
+    "best_terms_one_doc",
+    f"""WITH {sql.TERMS}, longest AS (SELECT doc_id FROM dl ORDER BY dl DESC, doc_id LIMIT 1),
+    w AS (SELECT doc_id, term, tf, cf, df, {_IDF} AS idf, tf * ({_IDF}) AS tfidf
+        FROM post JOIN longest USING (doc_id) JOIN ts USING (term) CROSS JOIN fs)
+    SELECT doc_id, term, tf, cf, df, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf,
+        row_number() OVER (ORDER BY round(tfidf, 9) DESC, term) AS position FROM w QUALIFY position <= 50""",
+)
+def best_terms_one_doc(ws):
+    """Of the longest document."""
+    return rounded(top_terms.best_terms_in_doc(ws.index, ws.longest_document, 50, "tfidf"), "idf", "tfidf")
+
+
 def _best_in_collection(by: str) -> None:
     ordered = f"ORDER BY round({by}, 9) DESC"
 
