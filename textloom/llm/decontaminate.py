@@ -71,6 +71,16 @@ def _items(rows: list, width: int, percent: int) -> Items:
     return Items(ids, np.array([len(s) for s in sets]), sets, low[order], own[order])
 
 
+def _by_width(rows: list, width: int, percent: int) -> dict[int, Items]:
+    """Items by the width of their shingles: all words of an item of fewer than ``width``; items without words are left out."""
+    lengths = np.diff(find_words(pa.array([r["text"] for r in rows], pa.string()), ALNUM, lower=True).first)
+    groups: dict[int, list] = {}
+    for row, n in zip(rows, lengths.tolist()):
+        if n:
+            groups.setdefault(min(n, width), []).append(row)
+    return {n: _items(own, n, percent) for n, own in sorted(groups.items())}
+
+
 def _search(ids: np.ndarray, texts, items: Items, width: int, percent: int):
     """Pairs of a text and an item of which it contains at least ``percent``."""
     doc, shingle, n = _distinct(texts, width)
@@ -114,10 +124,11 @@ def contained_items(
     whole and stay where they are; items go to the tasks in passes of at most
     ``pass_items``.
 
-    Items with fewer than ``width`` words (null and empty ones too) are no
-    evidence and match nothing, as do null, empty and shorter texts. Rows without
-    an id are left out; equal pairs of repeated rows are given once. Empty tables
-    give an empty one. Other columns are not looked at.
+    An item of fewer than ``width`` words has one shingle, all its words, and is
+    found where they stand one after the other. Null and empty items match
+    nothing, as do null and empty texts. Rows without an id are left out; equal
+    pairs of repeated rows are given once. Empty tables give an empty one. Other
+    columns are not looked at.
     """
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     wanted = wanted.where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
@@ -126,17 +137,18 @@ def contained_items(
     of_pass = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     result = None
     for k in range(passes):
-        items = _items(wanted.where(of_pass == k).orderBy("item_id", "text").collect(), width, percent)
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        rows = wanted.where(of_pass == k).orderBy("item_id", "text").collect()
+        shared = docs.sparkSession.sparkContext.broadcast(_by_width(rows, width, percent))
 
         def search(batches, shared=shared):
             for batch in batches:
                 ids = batch.column("doc_id").to_numpy()
                 for lo in range(0, len(ids), STEP):
                     part = batch.column("text").slice(lo, STEP)
-                    rows = _search(ids[lo : lo + STEP], part, shared.value, width, percent)
-                    if rows:
-                        yield pa.RecordBatch.from_pylist(rows, schema=PAIR_SCHEMA)
+                    for own_width, items in shared.value.items():
+                        rows = _search(ids[lo : lo + STEP], part, items, own_width, percent)
+                        if rows:
+                            yield pa.RecordBatch.from_pylist(rows, schema=PAIR_SCHEMA)
 
         found = texts.mapInArrow(search, PAIRS)
         result = found if result is None else result.unionByName(found)

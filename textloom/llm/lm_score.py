@@ -9,6 +9,7 @@ round of expectation over all segmentations of all their words.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +28,10 @@ ADDED = 0.1
 PRIOR_COUNT = 1000.0
 WORD_MARK = 0x20
 STEP_WORDS = 1 << 14
+#: Longer words, in bytes, are walked one by one, all their pieces being found first.
+LONG_WORD = 128
+#: Places of a long word whose pieces are walked at a time.
+STEP_PLACES = 1 << 16
 STEP_DOCS = 1000
 BASE = BASES[0]
 
@@ -140,6 +145,79 @@ def _lattice(pieces: Pieces, raw: np.ndarray, counts: np.ndarray | None):
     return forward[length], expected
 
 
+def _inverse(base: int) -> int:
+    """The number that gives 1 with an odd base, modulo 2^64."""
+    return pow(base, -1, 1 << 64)
+
+
+def _pieces_within(pieces: Pieces, raw: np.ndarray):
+    """Start, end and row of every piece that stands in a word, in the order of ends."""
+    values = BYTE_VALUES[raw]
+    length = len(raw)
+    base, inverse = np.full(length + 1, BASE), np.full(length, np.uint64(_inverse(int(BASE))))
+    base[0] = inverse[0] = 1
+    power = np.cumprod(base, dtype=np.uint64)
+    prefix = np.zeros(length + 1, np.uint64)
+    prefix[1:] = np.cumsum(values * np.cumprod(inverse, dtype=np.uint64), dtype=np.uint64) * power[:-1]
+    starts, ends, rows = [], [], []
+    for size in range(1, min(length, pieces.longest) + 1):
+        h = mix(prefix[size:] - prefix[:-size] * power[size] + np.uint64(size))
+        at = np.minimum(np.searchsorted(pieces.hash, h), len(pieces.hash) - 1)
+        hit = np.flatnonzero(pieces.hash[at] == h)
+        starts.append(hit)
+        ends.append(hit + size)
+        rows.append(at[hit])
+    start, end, row = (np.concatenate(x) for x in (starts, ends, rows))
+    order = np.argsort(end, kind="stable")
+    return start[order], end[order], row[order]
+
+
+def _walk(near: np.ndarray, far: np.ndarray, weight: np.ndarray, length: int) -> np.ndarray:
+    """Log sums at all places of a chain: place ``far`` gets the sum at ``near`` times the weight, for ``far`` ascending.
+
+    Sums are kept as plain numbers beside a common scale, which is lowered before
+    they get too small.
+    """
+    out = np.full(length + 1, -np.inf)
+    sums, scale = {0: 1.0}, 0.0
+    out[0] = 0.0
+    reach = int((far - near).max()) if len(far) else 1
+    for lo in range(1, length + 1, STEP_PLACES):
+        hi = min(lo + STEP_PLACES, length + 1)
+        a, b = np.searchsorted(far, [lo, hi])
+        own_near, own_weight = near[a:b].tolist(), weight[a:b].tolist()
+        cuts = np.searchsorted(far[a:b], np.arange(lo, hi + 1)).tolist()
+        found = []
+        for j in range(lo, hi):
+            total = 0.0
+            for e in range(cuts[j - lo], cuts[j - lo + 1]):
+                total += sums.get(own_near[e], 0.0) * own_weight[e]
+            sums[j] = total
+            sums.pop(j - reach, None)
+            found.append(math.log(total) + scale if total > 0 else -math.inf)
+            if 0 < total < 1e-100:
+                scale += math.log(total)
+                for place in sums:
+                    sums[place] /= total
+        out[lo:hi] = found
+    return out
+
+
+def _long_word(pieces: Pieces, raw: np.ndarray, count: float | None):
+    """The same as ``_lattice`` for one long word: its pieces are found at all places at once, then walked."""
+    length = len(raw)
+    start, end, row = _pieces_within(pieces, raw)
+    weight = np.exp(pieces.weight[row])
+    forward = _walk(start, end, weight, length)
+    if count is None:
+        return forward[length], None
+    # Backward is forward from the other end.
+    order = np.argsort(length - start, kind="stable")
+    backward = _walk((length - end)[order], (length - start)[order], weight[order], length)[::-1]
+    share = np.exp(forward[start] + pieces.weight[row] + backward[end] - forward[length])
+    return forward[length], np.bincount(row, weights=share * count, minlength=len(pieces.hash))
+
+
 def word_scores(pieces: Pieces, words: Words, counts: np.ndarray | None = None):
     """Log probability of each word, and with ``counts`` the expected number of each piece."""
     length = (words.end - words.start).astype(np.int64)
@@ -149,6 +227,13 @@ def word_scores(pieces: Pieces, words: Words, counts: np.ndarray | None = None):
     cuts = np.flatnonzero(np.diff(length[order], prepend=-1))
     for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
         size = int(length[order[lo]])
+        if size > LONG_WORD:
+            for i in order[lo:hi].tolist():
+                raw = np.concatenate([np.array([WORD_MARK], np.uint8), words.buf[words.start[i] : words.end[i]]])
+                out[i], part = _long_word(pieces, raw, None if counts is None else float(counts[i]))
+                if part is not None:
+                    expected += part
+            continue
         step = max(1, STEP_WORDS * 8 // max(8, size))
         for a in range(lo, hi, step):
             own = order[a : min(a + step, hi)]

@@ -80,32 +80,34 @@ def source_targets(
     return by_weight.select("source", "source_size", target.alias("target"))
 
 
-def _pivotal(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> None:
+def _pivotal(p: list[float], size: list[float], rng: np.random.Generator) -> None:
     """Round ``p`` in place, but for one at most; the sum of ``p * size`` stays.
 
-    Two open probabilities at a time. A document draws once whether it goes up
-    (with its probability) or down; then words are moved between it and the next
-    ones, each time until one of the two is 0 or 1. What goes up and down is even
-    on average, so each probability keeps its expectation.
+    Two open probabilities at a time, until one of them is 0 or 1: words are moved
+    to the first, as many as the two can give and take (``up``), or away from it
+    (``down``). It gets them with probability ``down / (up + down)``, drawn anew
+    for each pair, so both keep their expectation whatever their sizes.
     """
-    draws = rng.random(len(p))
+    draws = rng.random(len(p)).tolist()
     i = -1
     for j in range(len(p)):
         if not 0.0 < p[j] < 1.0:
             continue
         if i >= 0:
             a, b = size[i], size[j]
-            words = min((1.0 - p[i]) * a, p[j] * b) if draws[i] < start else -min(p[i] * a, (1.0 - p[j]) * b)
-            p[i], p[j] = (round(x, 12) for x in (p[i] + words / a, p[j] - words / b))
+            up, down = min((1.0 - p[i]) * a, p[j] * b), min(p[i] * a, (1.0 - p[j]) * b)
+            words = up if draws[j] * (up + down) < down else -down
+            p[i], p[j] = round(p[i] + words / a, 12), round(p[j] - words / b, 12)
             if 0.0 < p[i] < 1.0:
                 continue
-        i, start = (j, p[j]) if 0.0 < p[j] < 1.0 else (-1, 0.0)
+        i = j if 0.0 < p[j] < 1.0 else -1
 
 
 def _round_group(table: pa.Table, seed: int, level: int) -> pa.Table:
     """One node of the tree: all documents of a group, source by source.
 
-    Large documents come first, so that what is left over tends to be a small one.
+    Large documents come first, so that what is left over tends to be a small one;
+    documents of one size are in random order.
     """
     data = table.drop_columns(["part_of_sources"]).to_pandas()
     order = ["source", "size", "lot", "doc_id"]
@@ -115,8 +117,9 @@ def _round_group(table: pa.Table, seed: int, level: int) -> pa.Table:
     unknown, source = data["source"].isna().to_numpy(), data["source"].fillna("").to_numpy()
     cut = np.flatnonzero((source[1:] != source[:-1]) | (unknown[1:] != unknown[:-1])) + 1
     for lo, hi in zip([0, *cut], [*cut, len(data)]):
-        part = p[lo:hi]
-        _pivotal(part, size[lo:hi], rng)
+        part = p[lo:hi].tolist()
+        _pivotal(part, size[lo:hi].tolist(), rng)
+        p[lo:hi] = part
     return pa.Table.from_pandas(data.assign(p=p)[UNITS_ARROW.names], schema=UNITS_ARROW, preserve_index=False)
 
 
@@ -136,8 +139,9 @@ def mixture(
     of the tree are lots of documents chosen by a hash of the id, so they don't
     depend on how the table is stored, and a large source is spread over all of
     them. Each node rounds all but one document per source and hands that one on;
-    what is left at the root is rounded to the nearer side. So the words taken of
-    a source differ from its target by half a document at most.
+    what is left at the root is drawn with its probability. So every document
+    keeps its probability, and the words taken of a source differ from its target
+    by less than the one document that was drawn last.
 
     A null source is a source; rows of one doc_id are one document; rows without
     doc_id are left out. Empty documents are taken 0 words. An empty table gives
@@ -166,7 +170,8 @@ def mixture(
         rounded = group.applyInArrow(of_group(_round_group, seed=seed, level=level), UNITS)
         rounded = materialize(rounded, f"mixture-{level}")
         if leaves == 1:
-            done.append(rounded.withColumn("p", F.round("p")))
+            draw = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+            done.append(rounded.withColumn("p", F.when(draw < F.col("p"), 1.0).otherwise(0.0)))
             break
         done.append(rounded.where("p <= 0 OR p >= 1"))
         state = rounded.where("p > 0 AND p < 1").withColumn("leaf", F.floor(F.col("leaf") / fan_in))

@@ -132,11 +132,14 @@ def _best(table: pa.Table, k: int, dim: int) -> pa.Table:
     if len(vectors):
         order = np.argsort(ids, kind="stable")
         vectors, ids = vectors[order], ids[order]
-        n = min(len(ids), k + 4)  # a few more, as a product of matrices rounds in its own way
+        n = min(len(ids), k)
+        # A product of matrices rounds in its own way; all that may tie with the k-th are looked at exactly.
+        rounding = 1e-12 * np.sqrt((queries * queries).sum(axis=1) * (vectors * vectors).sum(axis=1).max())
         for lo in range(0, len(queries), 256):
             s = queries[lo : lo + 256] @ vectors.T
-            top = np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(ids) else np.tile(np.arange(n), (len(s), 1))
-            for i, row in enumerate(np.sort(top, axis=1)):
+            least = np.partition(s, len(ids) - n, axis=1)[:, len(ids) - n] - 2 * rounding[lo : lo + 256]
+            for i in range(len(s)):
+                row = np.flatnonzero(s[i] >= least[i])
                 exact = (vectors[row] * queries[lo + i]).sum(axis=1)
                 best = np.argsort(-exact, kind="stable")[:k]
                 out_query.append(np.full(len(best), asked[lo + i]))
