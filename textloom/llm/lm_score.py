@@ -30,6 +30,8 @@ WORD_MARK = 0x20
 STEP_WORDS = 1 << 14
 #: Longer words, in bytes, are walked one by one, all their pieces being found first.
 LONG_WORD = 128
+#: Upper bits of a hash that lead to its place in the table of pieces.
+TABLE_BITS = 20
 #: Places of a long word whose pieces are walked at a time.
 STEP_PLACES = 1 << 16
 STEP_DOCS = 1000
@@ -46,8 +48,12 @@ SCORED = (
 
 
 class Pieces(NamedTuple):
-    """A vocabulary as bytes: hashes in ascending order, the piece of each, natural log weights, and the end's."""
+    """A vocabulary as bytes: hashes in ascending order, the piece of each, natural log weights, and the end's.
 
+    ``first`` has where the hashes of each value of the upper ``TABLE_BITS`` begin.
+    """
+
+    first: np.ndarray
     hash: np.ndarray
     piece: np.ndarray
     weight: np.ndarray
@@ -99,7 +105,31 @@ def _piece_hash(raw: bytes) -> int:
 def _table(names: list[bytes], weight: np.ndarray, end: float) -> Pieces:
     h = mix(np.array([_piece_hash(n) for n in names], dtype=np.uint64) + np.array([len(n) for n in names], dtype=np.uint64))
     order = np.argsort(h)
-    return Pieces(h[order], order, np.log(weight)[order], max(map(len, names)), float(np.log(end)))
+    upper = np.arange((1 << TABLE_BITS) + 1, dtype=np.uint64) << np.uint64(64 - TABLE_BITS)
+    first = np.searchsorted(h[order], upper[:-1]).astype(np.int32)
+    return Pieces(np.append(first, np.int32(len(h))), h[order], order, np.log(weight)[order], max(map(len, names)), float(np.log(end)))
+
+
+def _find(pieces: Pieces, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of some hashes are pieces, and the row of each of these."""
+    slot = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    start = pieces.first[slot]
+    stop = pieces.first[slot + 1]
+    left = np.flatnonzero(stop > start)  # most slots are empty
+    at, stop = start[left], stop[left]
+    rows, found = [], []
+    while len(left):
+        hit = pieces.hash[at] == h[left]
+        rows.append(left[hit])
+        found.append(at[hit])
+        at = at + 1
+        more = ~hit & (at < stop)
+        left, at, stop = left[more], at[more], stop[more]
+    if len(rows) > 1:
+        which = np.concatenate(rows)
+        order = np.argsort(which, kind="stable")
+        return which[order], np.concatenate(found)[order]
+    return (rows[0], found[0]) if rows else (left, at)
 
 
 def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -124,11 +154,9 @@ def _lattice(pieces: Pieces, raw: np.ndarray, counts: np.ndarray | None):
     for j in range(1, length + 1):
         for size in range(1, min(j, pieces.longest) + 1):
             h = mix(prefix[j] - prefix[j - size] * power[size] + np.uint64(size))
-            at = np.minimum(np.searchsorted(pieces.hash, h), len(pieces.hash) - 1)
-            rows = np.flatnonzero(pieces.hash[at] == h)
+            rows, at = _find(pieces, h)
             if not len(rows):
                 continue
-            at = at[rows]
             forward[j, rows] = _log_add(forward[j, rows], forward[j - size, rows] + pieces.weight[at])
             if counts is not None:
                 edges.append((j, size, rows, at))
@@ -162,11 +190,10 @@ def _pieces_within(pieces: Pieces, raw: np.ndarray):
     starts, ends, rows = [], [], []
     for size in range(1, min(length, pieces.longest) + 1):
         h = mix(prefix[size:] - prefix[:-size] * power[size] + np.uint64(size))
-        at = np.minimum(np.searchsorted(pieces.hash, h), len(pieces.hash) - 1)
-        hit = np.flatnonzero(pieces.hash[at] == h)
+        hit, at = _find(pieces, h)
         starts.append(hit)
         ends.append(hit + size)
-        rows.append(at[hit])
+        rows.append(at)
     start, end, row = (np.concatenate(x) for x in (starts, ends, rows))
     order = np.argsort(end, kind="stable")
     return start[order], end[order], row[order]
