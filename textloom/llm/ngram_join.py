@@ -211,7 +211,7 @@ def _each(n):
 
 
 def similar_components(sets: DataFrame, percent: int = PERCENT, tree_sets: int = TREE_SETS) -> DataFrame:
-    """``(doc_id, component_id)`` of the documents of the stored table ``sets`` that have a partner.
+    """``(doc_id, component_id)`` of the documents of the stored table ``sets`` that have a set.
 
     Equal sets are represented by their smallest doc_id. Sets that share a prefix
     token go to the tree of the smallest id that has it, so each set goes to as
@@ -226,8 +226,15 @@ def similar_components(sets: DataFrame, percent: int = PERCENT, tree_sets: int =
     whole = [F.first(c).alias(c) for c in ("n_shingles", "tokens", "n_prefix")]
     reps = materialize(linked.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *whole), "distinct-sets")
     ids = reps.select("digest", F.col("doc_id").alias("rep"))
-    same = linked.select("doc_id", "digest").join(ids, "digest").where("doc_id != rep")
-    same = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    member = materialize(linked.select("doc_id", "digest").join(ids, "digest").select("doc_id", "rep"), "set-members")
+    # Only rows of one doc_id with different sets connect sets; equal sets are attached to their component afterwards.
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("doc_id", "b")
+    same = member.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
+
+    def of_members(links: DataFrame) -> DataFrame:
+        labels = components(links).withColumnRenamed("doc_id", "rep")
+        return member.join(labels, "rep", "left").select("doc_id", F.coalesce("component_id", "rep").alias("component_id"))
+
     tokens = reps.select("doc_id", "tokens", "n_prefix").mapInArrow(_prefixes, "token long, doc_id long")
     owners = tokens.groupBy("token").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
     owners = owners.where("owner < other").select("token", "owner")
@@ -239,7 +246,7 @@ def similar_components(sets: DataFrame, percent: int = PERCENT, tree_sets: int =
     found = dealt.select("owner", "share", "doc_id").join(contents, "doc_id").groupBy("owner", "share")
     first = materialize(found.applyInArrow(bl.of_group(_tree_join, percent=percent), "a long, b long"), "tree-links")
     if counted.where("shares > 1").isEmpty():
-        return components(first.unionByName(same))
+        return of_members(first.unionByName(same))
 
     labels = components(first)
     large = dealt.where("shares > 1").join(labels, "doc_id", "left")
@@ -263,7 +270,7 @@ def similar_components(sets: DataFrame, percent: int = PERCENT, tree_sets: int =
     lying = lying.withColumn("part", _each(F.col("parts"))).where("part != of").withColumn("stray", F.lit(False)).select(*columns)
     cells = still.unionByName(search).unionByName(lying).join(contents, "doc_id").groupBy("owner", "share", "part")
     second = materialize(cells.applyInArrow(bl.of_group(_stray_join, percent=percent), "a long, b long"), "stray-links")
-    return components(first.unionByName(second).unionByName(same))
+    return of_members(first.unionByName(second).unionByName(same))
 
 
 def ngram_components(
