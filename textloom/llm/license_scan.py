@@ -93,7 +93,22 @@ TEMPLATES = (
         "",
     ),
     ("unlicense", "licensed under the unlicense", "under the unlicense"),
-    ("proprietary", "all rights reserved", "all rights reserved"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", ""),
+    # The other spelling.
+    ("mit", "released under the mit licence", "the mit licence"),
+    ("mit", "licensed under the mit licence", "the mit licence"),
+    ("apache", "licensed under the apache licence version 2 0", "the apache licence"),
+    ("bsd", "licensed under the bsd licence", "under the bsd"),
+    # Short identifiers in source files: the name is what follows the mark.
+    *(
+        (label, f"spdx license identifier {name}", f"license identifier {name}")
+        for label, name in (
+            ("apache", "apache 2 0"), ("mit", "mit"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("isc", "isc"),
+            ("gpl", "gpl 2 0"), ("gpl", "gpl 3 0"), ("lgpl", "lgpl 2 1"), ("lgpl", "lgpl 3 0"), ("agpl", "agpl 3 0"),
+            ("mpl", "mpl 2 0"), ("epl", "epl 2 0"), ("unlicense", "unlicense"), ("zlib", "zlib"), ("cc0", "cc0 1 0"),
+            *((f"cc-{short.replace(' ', '-')}", f"cc {short} {version}") for short, *_ in _COMMONS for version in ("4 0", "3 0")),
+        )
+    ),
 )
 
 GRAM = 3
