@@ -104,3 +104,33 @@ def test_runs_are_paired_by_query_metric_and_cut(spark):
 def test_unknown_test_is_refused(spark):
     with pytest.raises(ValueError):
         comparison.compare_runs(values(spark, [1], [2]), pairs(spark), "sign")
+
+
+def test_many_queries_take_seconds_and_keep_their_digits(spark, monkeypatch):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from textloom.functions import significance
+
+    rows = [(n, n * (n + 1) / 4 + z * (n * (n + 1) * (2 * n + 1) / 24) ** 0.5) for n in (150, 333, 600) for z in (0, 0.5, 2, 5, 7.5)]
+    frame = spark.createDataFrame([(n, float(round(2 * w) / 2)) for n, w in rows], "n BIGINT, w DOUBLE")
+
+    def p_values():
+        return [r["p"] for r in frame.select(significance.exact_signed_rank_p(F.col("n"), F.col("w")).alias("p")).collect()]
+
+    counted = p_values()
+    monkeypatch.setattr(significance, "COUNTED", 100)
+    assert p_values() == pytest.approx(counted, rel=1e-8)
+    assert min(counted) < 1e-12
+    monkeypatch.setattr(significance, "COUNTED", 600)
+    start = time.perf_counter()
+    n = 70_000
+    large = spark.createDataFrame([(5_000, 6_400_000.0), (n, n * (n + 1) / 4 + 3 * (n**3 / 12) ** 0.5)], "n BIGINT, w DOUBLE")
+    got = [r["p"] for r in large.select(significance.exact_signed_rank_p(F.col("n"), F.col("w")).alias("p")).collect()]
+    import math
+
+    for (ranks, w), p in zip([(5_000, 6_400_000.0), (n, n * (n + 1) / 4 + 3 * (n**3 / 12) ** 0.5)], got):
+        z = (w - 0.5 - ranks * (ranks + 1) / 4) / (ranks * (ranks + 1) * (2 * ranks + 1) / 24) ** 0.5
+        assert p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-2)
+    assert time.perf_counter() - start < 30

@@ -118,3 +118,36 @@ def test_many_rounds_run_to_the_end_or_raise(spark):
     with pytest.raises(RuntimeError, match="still move"):
         clustering.kmeans(points, start, max_rounds=1)
     assert len(clustering.init_centroids(([0.0] * 60_000, [1.0] * 60_000), 2)) == 2
+
+
+@pytest.mark.parametrize("block_terms", [2_000_000, 40])
+def test_many_targets_equal_single_ones(spark, new_path, monkeypatch, block_terms):
+    monkeypatch.setattr(similar, "BLOCK_TERMS", block_terms)
+    rng = random.Random(4)
+    rows = [(d, " ".join(["the"] * rng.randint(0, 3) + rng.choices([f"w{i}" for i in range(30)], k=rng.randint(0, 12)))) for d in range(60)]
+    rows += [(60, ""), (61, "alone"), (62, rows[5][1])]
+    index = build_index(ops.stack_fields(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), ["text"]), new_path("many"))
+    ids = [0, 5, 7, 60, 61, 62]
+    targets = spark.createDataFrame([(i,) for i in [*ids, 5, 999]], "doc_id BIGINT")
+    for rep in ("tf", "tfidf"):
+        want = sorted(map(tuple, similar.similar_docs(index, ids, rep, 6).collect()))
+        got = sorted(map(tuple, similar.similar_docs_many(index, targets, rep, 6).select("target", "rank", "doc_id", "similarity").collect()))
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-8)
+    assert similar.similar_docs_many(index, targets.limit(0), "tf", 6).collect() == []
+
+
+def test_ragged_and_missing_points_are_errors(spark):
+    whole = [(0, [1.0, 2.0]), (1, [3.0, 4.0])]
+    for bad in ([(2, [1.0, 2.0, 3.0]), (3, [1.0])], [(2, None)], [(2, [1.0, None])], [(2, [])]):
+        points = spark.createDataFrame(whole + bad, "id BIGINT, x ARRAY<DOUBLE>").coalesce(1)
+        for step in (clustering.feature_bounds, lambda p: clustering.assign(p, [[0.0, 0.0]]).collect(), lambda p: clustering.update_centroids(p, [[0.0, 0.0]])):
+            with pytest.raises(Exception, match="coordinate"):
+                step(points)
+
+
+def test_large_coordinates_come_to_an_end(spark):
+    rows = [(i, [1e12 + 0.1 * i, 0.3 * i]) for i in range(50)]
+    points = spark.createDataFrame(rows, "id BIGINT, x ARRAY<DOUBLE>").repartition(5)
+    _, centroids = clustering.kmeans(points, clustering.init_centroids(clustering.feature_bounds(points), 3), max_rounds=60)
+    assert len(centroids) == 3

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -84,3 +85,40 @@ def test_offsets_point_at_the_words(spark):
     assert len(found) == 4
     for r in found:
         assert texts[r["doc_id"]][r["start_offset"] : r["end_offset"]] == r["term"]
+
+
+def test_offsets_are_those_of_the_stored_text(spark, capsys):
+    """Lower case of some letters is longer than the letter."""
+    texts = {1: "\u0130stanbul und \u0130zmir, A\u0308 ok", 2: "", 3: None, 4: "  a"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    found = ops.token_offsets(ops.stack_fields(docs, ["text"]))
+    found.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    got = sorted((r["doc_id"], r["pos"], r["term"], texts[r["doc_id"]][r["start_offset"] : r["end_offset"]]) for r in found.collect())
+    assert got == [
+        (1, 0, "i\u0307stanbul", "\u0130stanbul"), (1, 1, "und", "und"), (1, 2, "i\u0307zmir", "\u0130zmir"),
+        (1, 3, "a\u0308", "A\u0308"), (1, 4, "ok", "ok"), (4, 0, "a", "a"),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("It can't cost 3.14, or 1,000.5!", ["it", "can't", "cost", "3.14", "or", "1,000.5"]),
+        ("www.example.com a.b. c:d e;f 7:8", ["www.example.com", "a.b", "c:d", "e", "f", "7", "8"]),
+        ("snake_case __ _x_ a__b", ["snake_case", "_x_", "a__b"]),
+        ("x2y 2nd v1.2a 3.x", ["x2y", "2nd", "v1.2a", "3", "x"]),
+        ("\u6f22\u5b57\u304b\u306a \u30ab\u30bf\u30ab\u30ca\u30fc abc\u6f22", ["\u6f22", "\u5b57", "\u304b", "\u306a", "\u30ab\u30bf\u30ab\u30ca\u30fc", "abc", "\u6f22"]),
+        ("l\u2019homme 'quoted' rock'n'roll", ["l\u2019homme", "quoted", "rock'n'roll"]),
+        ("cafe\u0301 \u0939\u093f\u0928\u094d\u0926\u0940", ["cafe\u0301", "\u0939\u093f\u0928\u094d\u0926\u0940"]),
+        ("x" * 600, ["x" * 255, "x" * 255, "x" * 90]),
+        ("\u00bd \u00b2 $ -- ...", []),
+        ("", []),
+        (None, []),
+    ],
+)
+def test_unicode_words(spark, text, want):
+    from textloom.functions import text as tx
+
+    rows = spark.createDataFrame([(text,)], "text STRING")
+    assert rows.select(tx.unicode_words("text").alias("w")).first()["w"] == want

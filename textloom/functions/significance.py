@@ -1,4 +1,4 @@
-"""p-values. The two UDFs see one row per comparison, never the values of single queries."""
+"""p-values. The UDFs see one row per comparison, never the values of single queries."""
 
 from __future__ import annotations
 
@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Ranks up to which the sign patterns of a signed-rank test are counted one rank after the other.
+COUNTED = 600
+
+
 def student_t_two_sided(t: Column | str, dof: Column | str) -> Column:
     """Two-sided p-value of Student's t.
 
@@ -68,19 +72,64 @@ def normal_two_sided(z: Column | str) -> Column:
 
 
 def exact_signed_rank_p(n: Column, w_max: Column) -> Column:
-    """Two-sided p of the signed-rank statistic, counting all sign patterns of ranks 1..n.
+    """Two-sided p of the signed-rank statistic over all sign patterns of ranks 1..n, one row per comparison.
 
-    ``shares[s]`` is the share of subsets of the first r ranks with sum s; one
-    fold over r builds it, in steps that grow with the cube of n.
+    Up to ``COUNTED`` ranks the shares of subsets by their sum are counted: rank
+    after rank, an array of n(n+1)/2 sums is added to itself, shifted. Beyond, the
+    same shares come from their characteristic function, which falls so fast that
+    few frequencies have a value; it is tilted so that the statistic stands in
+    the middle, and small tails keep their digits.
     """
-    top = (n * (n + 1) / 2).cast("int")
-    start = F.transform(F.sequence(F.lit(0), top), lambda s: F.when(s == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    shares = F.aggregate(
-        F.sequence(F.lit(1), n.cast("int")),
-        start,
-        lambda acc, r: F.transform(acc, lambda c, s: (c + F.coalesce(F.when(s >= r, F.get(acc, s - r)), F.lit(0.0))) / 2),
-    )
-    upper = F.aggregate(
-        F.transform(shares, lambda c, s: F.when(s >= w_max, c).otherwise(F.lit(0.0))), F.lit(0.0), lambda acc, c: acc + c
-    )
-    return F.least(F.lit(1.0), 2 * upper)
+    counted = COUNTED
+
+    def by_counting(ranks: int, least: int) -> float:
+        top = ranks * (ranks + 1) // 2
+        shares = np.zeros(top + 1)
+        shares[0] = 1.0
+        for r in range(1, ranks + 1):
+            shares[r:] = shares[r:] + shares[:-r]
+            shares /= 2
+        return float(shares[least:].sum())
+
+    def by_inversion(ranks: int, least: int) -> float:
+        r = np.arange(1, ranks + 1, dtype=float)
+
+        def moments(tilt):
+            p = 1 / (1 + np.exp(-tilt * r))
+            return (p * r).sum(), (p * (1 - p) * r * r).sum()
+
+        low, high = 0.0, 60.0 / ranks  # the tilt at which the mean is ``least``
+        for _ in range(80):
+            middle = (low + high) / 2
+            low, high = (middle, high) if moments(middle)[0] < least else (low, middle)
+        tilt = (low + high) / 2
+        sigma = math.sqrt(moments(tilt)[1])
+        size = 1 << max(8, math.ceil(math.log2(40 * sigma + 1)))  # sums beyond 20 deviations have no share
+        count = min(size // 2, math.ceil(12 * size / (2 * math.pi * sigma)) + 1)
+        p = 1 / (1 + np.exp(-tilt * r))
+        values = np.zeros(size, complex)
+        for k in range(count):
+            angle = 2 * math.pi * k / size * r
+            value = np.exp(np.log1p(p * (np.exp(1j * angle) - 1)).sum() - 2j * math.pi * k / size * (least - size // 2))
+            values[k] = value
+            values[-k] = np.conj(value)
+        values[0] = 1.0
+        shares = np.fft.fft(values).real / size  # of the sums from least - size / 2 on
+        steps = np.arange(size - size // 2)
+        tail = (np.maximum(shares[size // 2 :], 0.0) * np.exp(-tilt * steps)).sum()
+        log_mass = (np.logaddexp(0.0, tilt * r) - math.log(2.0)).sum() - tilt * least
+        return float(tail * math.exp(log_mass))
+
+    @F.pandas_udf(T.DoubleType())
+    def p_value(n: pd.Series, w: pd.Series) -> pd.Series:
+        out = []
+        for ranks, greatest in zip(n, w):
+            if pd.isna(ranks) or pd.isna(greatest):
+                out.append(None)
+                continue
+            ranks, least = int(ranks), math.ceil(greatest)
+            upper = by_counting(ranks, least) if ranks <= counted else by_inversion(ranks, least)
+            out.append(min(1.0, 2 * upper))
+        return pd.Series(out, dtype="float64")
+
+    return p_value(n.cast("long"), w_max.cast("double"))

@@ -17,12 +17,40 @@ def points_of(df: DataFrame, id_column: str, features: list[str]) -> DataFrame:
     return df.select(F.col(id_column).alias("id"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
 
 
+def coordinates(column: pa.Array, dim: int | None = None) -> np.ndarray:
+    """Points of a batch as rows. A missing point or coordinate, or one of another length, is an error."""
+    lengths = np.diff(column.offsets.to_numpy()) if len(column) else np.empty(0, np.int64)
+    dim = int(lengths[0]) if dim is None and len(lengths) else dim or 0
+    if column.null_count or (lengths != dim).any():
+        raise ValueError(f"every point needs {dim} coordinates")
+    flat = column.flatten()
+    if flat.null_count or (flat_values := flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)).size != len(column) * dim:
+        raise ValueError("a coordinate is missing")
+    return flat_values.reshape(-1, dim)
+
+
 def feature_bounds(points: DataFrame) -> tuple[list[float], list[float]]:
-    """Minimum and maximum per dimension, in one pass."""
-    values = points.select(F.posexplode("x").alias("dim", "value"))
-    rows = values.groupBy("dim").agg(F.min("value").alias("low"), F.max("value").alias("high")).orderBy("dim").collect()
+    """Minimum and maximum per dimension, in one pass; a task returns one row."""
+
+    def fold(batches):
+        low = high = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = coordinates(batch.column("x"), None if low is None else len(low))
+            low = x.min(axis=0) if low is None else np.minimum(low, x.min(axis=0))
+            high = x.max(axis=0) if high is None else np.maximum(high, x.max(axis=0))
+        if low is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v.tolist()], pa.list_(pa.float64())) for v in (low, high)], ["low", "high"])
+
+    chosen = points.select(F.col("x").cast("array<double>").alias("x"))
+    folded = chosen.mapInArrow(fold, "low array<double>, high array<double>")
+    zipped = folded.select(F.posexplode(F.arrays_zip("low", "high")).alias("dim", "v"))
+    rows = zipped.groupBy("dim").agg(F.min("v.low").alias("low"), F.max("v.high").alias("high"), F.count("*").alias("n")).orderBy("dim").collect()
     if not rows:
         raise ValueError("no points")
+    if len({row["n"] for row in rows}) > 1:
+        raise ValueError("every point needs the same number of coordinates")
     return [row["low"] for row in rows], [row["high"] for row in rows]
 
 
@@ -42,7 +70,7 @@ def _nearest_in(centroids: list[list[float]]):
     table = np.array(centroids, dtype=np.float64)
 
     def nearest(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, table.shape[1])
+        x = coordinates(batch.column("x"), table.shape[1])
         best, cluster = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
         for i, centroid in enumerate(table):
             distance = np.sqrt(((x - centroid) ** 2).sum(axis=1))
@@ -80,7 +108,8 @@ def update_centroids(points: DataFrame, centroids: list[list[float]]) -> list[li
         total, count = np.zeros(shape), np.zeros(shape[0], dtype=np.int64)
         for batch in batches:
             x, cluster, _ = nearest(batch)
-            np.add.at(total, cluster, x)
+            for d in range(shape[1]):
+                total[:, d] += np.bincount(cluster, weights=x[:, d], minlength=shape[0])
             count += np.bincount(cluster, minlength=shape[0])
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays(
@@ -103,6 +132,10 @@ def kmeans(
 ) -> tuple[DataFrame, list[list[float]]]:
     """Assign and update until no centroid moves by more than ``tolerance``, which is there for rounding only.
 
+    It is a share of the size of a coordinate, where that is above 1: sums in
+    changing order round by such shares. A missing point or coordinate, and
+    points of different lengths, are an error.
+
     Returns the points assigned to the final centroids, and these. ``points``
     should be a stored table, as every round reads it. There is no bound on the
     rounds unless ``max_rounds`` sets one; a run that reaches it raises an error.
@@ -110,7 +143,7 @@ def kmeans(
     rounds = 0
     while True:
         updated = update_centroids(points, centroids)
-        moved = max(abs(a - b) for old, new in zip(centroids, updated) for a, b in zip(old, new))
+        moved = max(abs(a - b) / max(1.0, abs(a)) for old, new in zip(centroids, updated) for a, b in zip(old, new))
         centroids = updated
         if moved <= tolerance:
             return assign(points, centroids), centroids

@@ -7,7 +7,9 @@ across documents are shuffled, after they are counted within each partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
@@ -80,27 +82,34 @@ def term_vectors(stacked: DataFrame, positions: bool = False, pattern: str = tx.
     return runs.select("doc_id", "field", F.inline(F.transform("starts", posting)))
 
 
+def _ends(lengths: pd.Series) -> pd.Series:
+    """Running sums of each list."""
+    return lengths.map(lambda n: np.cumsum(n).tolist())
+
+
 def token_offsets(stacked: DataFrame, pattern: str = tx.WORD_PATTERN) -> DataFrame:
-    """``(doc_id, field, pos, term, start_offset, end_offset)``: where each word stands in the lower-cased text.
+    """``(doc_id, field, pos, term, start_offset, end_offset)``: where each word stands in the stored text. No shuffle.
 
-    The text before a word is what splitting at the words leaves there, so the
-    running length of both is its offset. The words of a text become rows in one
-    task and are summed there: texts are partitioned by document before.
+    Words are found in the text as it is stored, and lower-cased afterwards, as
+    lower case can have another length. The text before a word is what splitting
+    at the words leaves there, so running sums of both lengths, made within the
+    row, are the offsets.
     """
-    lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    texts = stacked.repartition("doc_id").select(
-        "doc_id", "field", tx.words("text", pattern).alias("words"), F.split(lowered, pattern).alias("gaps")
-    )
-    rows = texts.select("doc_id", "field", F.posexplode(F.arrays_zip("words", "gaps")).alias("pos", "entry"))
-    lengths = rows.select(
-        "doc_id", "field", "pos", F.col("entry.words").alias("term"), F.length("entry.gaps").alias("gap")
-    )
-    before = Window.partitionBy("doc_id", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.length("term")).over(before)
-    return (
-        lengths.withColumn("end_offset", end)
-        .where(F.col("term").isNotNull())
-        .select("doc_id", "field", "pos", "term", (F.col("end_offset") - F.length("term")).alias("start_offset"), "end_offset")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    texts = stacked.select("doc_id", "field", _held(found, "words"), F.split(text, pattern).alias("gaps"))
+    lengths = F.transform(F.arrays_zip("gaps", "words"), lambda e: F.length(e["gaps"]) + F.coalesce(F.length(e["words"]), F.lit(0)))
+    ends = F.pandas_udf(_ends, "array<long>")(lengths)
+    texts = texts.select("doc_id", "field", "words", ends.alias("end_offset"))
+    rows = texts.select("doc_id", "field", F.posexplode(F.arrays_zip("words", "end_offset")).alias("pos", "entry"))
+    word = F.col("entry.words")
+    return rows.where(word.isNotNull()).select(
+        "doc_id",
+        "field",
+        "pos",
+        F.lower(word).alias("term"),
+        (F.col("entry.end_offset") - F.length(word)).alias("start_offset"),
+        F.col("entry.end_offset").alias("end_offset"),
     )
 
 

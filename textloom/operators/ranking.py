@@ -221,7 +221,7 @@ def score_pairs(index, postings: DataFrame, asked: Asked, k: int, models: int) -
     return placed.mapInArrow(_score_documents(shared, k, models), schema)
 
 
-def _seen_scores(index, words: pd.DataFrame, contributions: list[Column], k: int, field: str, asked: Asked) -> np.ndarray:
+def _seen_scores(index, words: pd.DataFrame, models: int, k: int, postings_of, asked: Asked) -> np.ndarray:
     """Scores that ``k`` documents are known to reach, per model and query of a block.
 
     They are the ``k``-th best whole scores of the documents that look best by the
@@ -230,22 +230,38 @@ def _seen_scores(index, words: pd.DataFrame, contributions: list[Column], k: int
     ordered = words.sort_values(["query", "df", "term_no"])
     before = ordered.groupby("query")["df"].cumsum() - ordered["df"]
     rare = ordered[before < SEEDS * k]
-    least = np.full((len(contributions), len(asked.query_ids)), -np.inf)
+    least = np.full((models, len(asked.query_ids)), -np.inf)
     # Bounded by the block of queries.
-    few = index.spark.createDataFrame(rare[["query_id", "term_no", "qtf"]], "query_id BIGINT, term_no BIGINT, qtf BIGINT")
-    found = weighed_postings(index, rare, contributions[:1], field).join(F.broadcast(few), "term_no")
+    few = index.spark.createDataFrame(rare[["query_id", "term_no", "qtf"]].astype({"qtf": float}), "query_id BIGINT, term_no BIGINT, qtf DOUBLE")
+    found = postings_of(rare).select("doc_id", "term_no", "c0").join(F.broadcast(few), "term_no")
     found = found.groupBy("query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("c0")).alias("score"))
     seeds = top_k(found, SEEDS * k, parts=parts_for(index, SEEDS * k)).select("doc_id").distinct()
     bounded = SEEDS * k * len(asked.query_ids) <= MAX_BROADCAST_ROWS
-    postings = weighed_postings(index, words, contributions, field)
-    postings = postings.join(F.broadcast(seeds) if bounded else seeds, "doc_id", "left_semi")
-    seen = score_pairs(index, postings, asked, k, len(contributions))
-    best = top_k(_by_model(seen, list(range(len(contributions))), "model"), k, "model", parts=parts_for(index, k))
+    postings = postings_of(words).join(F.broadcast(seeds) if bounded else seeds, "doc_id", "left_semi")
+    seen = score_pairs(index, postings, asked, k, models)
+    best = top_k(_by_model(seen, list(range(models)), "model"), k, "model", parts=parts_for(index, k))
     for row in best.where(F.col("rank") == k).collect():  # one per query of the block and model
         least[row["model"], np.searchsorted(asked.query_ids, row["query_id"])] = row["score"]
     return least
 
 
+def block_pairs(index, words: pd.DataFrame, models: int, k: int, postings_of) -> DataFrame:
+    """The scored pairs of one block of queries.
+
+    ``words (query_id, term, df, qtf, u0, …)``: how much a query asks for a term,
+    and the greatest contribution of the term per model. ``postings_of(words)``
+    gives the weighed postings ``(doc_id, term_no, c0, …)`` of some of them.
+    """
+    words = words.sort_values(["query_id", "term"], ignore_index=True)
+    words["term_no"] = np.unique(words["term"].to_numpy(dtype=str), return_inverse=True)[1]
+    query_ids, words["query"] = np.unique(words["query_id"].to_numpy(), return_inverse=True)
+    qtf = words["qtf"].to_numpy()
+    most = np.stack([words[f"u{i}"].to_numpy() * qtf for i in range(models)])
+    columns = query_ids, words["query"].to_numpy(), words["term_no"].to_numpy(), qtf, most
+    least = _seen_scores(index, words, models, k, postings_of, arrange(*columns))
+    return score_pairs(index, postings_of(words), arrange(*columns, least), k, models)
+
+
 def scored_pairs(index, queries: DataFrame, contributions: list[Column], k: int, field: str) -> DataFrame:
     """``(query_id, doc_id, s0, s1, …)``: the pairs that are left for the ranking, with their whole scores.
 
@@ -270,17 +286,9 @@ def scored_pairs(index, queries: DataFrame, contributions: list[Column], k: int,
     block_of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     models, results = len(contributions), []
     for number in range(blocks):
-        words = asked.where(block_of == number).toPandas().sort_values(["query_id", "term"], ignore_index=True)
-        if not len(words):
-            continue
-        words["term_no"] = np.unique(words["term"].to_numpy(dtype=str), return_inverse=True)[1]
-        query_ids, words["query"] = np.unique(words["query_id"].to_numpy(), return_inverse=True)
-        qtf = words["qtf"].to_numpy()
-        most = np.stack([words[f"u{i}"].to_numpy() * qtf for i in range(models)])
-        columns = query_ids, words["query"].to_numpy(), words["term_no"].to_numpy(), qtf, most
-        least = _seen_scores(index, words, contributions, k, field, arrange(*columns))
-        postings = weighed_postings(index, words, contributions, field)
-        results.append(score_pairs(index, postings, arrange(*columns, least), k, models))
+        words = asked.where(block_of == number).toPandas()
+        if len(words):
+            results.append(block_pairs(index, words, models, k, lambda w: weighed_postings(index, w, contributions, field)))
     if not results:
         return spark.createDataFrame([], PAIR_SCHEMA + ", ".join(f"s{i} DOUBLE" for i in range(models)))
     return reduce(DataFrame.unionByName, results)

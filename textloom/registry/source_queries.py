@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators import evaluation, ranking
+from textloom.operators import evaluation, ranking, top_terms
 from textloom.operators.postings import stack_fields
 from textloom.plans import index as index_plans
 from textloom.registry import sql
@@ -43,6 +43,25 @@ def file_scan(ws):
     )
 
 
+@query(
+    "file_scan_filtered",
+    """SELECT page_id, 'right' AS top_folder, md5(html || chr(10)) AS digest FROM pages
+    UNION ALL SELECT page_id, '_hidden', md5(html || chr(10)) FROM pages""",
+)
+def file_scan_filtered(ws):
+    """All pages in folders that a scan keeps, a hidden one among them, and in files too flat, too deep or of another ending."""
+    path = scratch_path(ws.spark, "mixed-tree")
+    pages = ws.table("pages").select("page_id", F.lit("deeper").alias("folder"), "html")
+    for folder in ("right", "_hidden"):
+        pages.drop("folder").write.partitionBy("page_id").text(f"{path}/{folder}")
+    pages.select("html").write.text(f"{path}/flat")
+    pages.write.partitionBy("folder", "page_id").text(f"{path}/deep")
+    pages.drop("folder").write.partitionBy("page_id").csv(f"{path}/wrong")
+    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=2, max_depth=2, every_file=True)
+    page_id = F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id")
+    return files.file_documents(found).select(page_id, "top_folder", F.md5("text").alias("digest"))
+
+
 @query(
     "parse_marked_records",
     f"""WITH d AS (SELECT doc_id, regexp_replace(text, '[\\r\\n]+\\z', '') AS text FROM documents),
@@ -174,3 +193,31 @@ def named_reports(ws):
         name = reports.report_name(run, None, f"{bounds['low']}-{bounds['high']}", "MAP", 10)
         reports.write_report(reports.run_table(values, run), f"{folder}/{name}", "MAP", 10)
     return rounded(reports.read_named_results(ws.spark, folder), "value")
+
+
+@query(
+    "ranking_report_files",
+    f"""WITH {sql.MATCHES}, {sql.ranked(sql.CLASSIC, name="c")}, {sql.ranked(sql.jm("0.1::DOUBLE"), name="j")},
+    r AS (SELECT 'classic' AS run_id, * FROM c UNION ALL SELECT 'jm', * FROM j)
+    SELECT run_id, query_id, rank, doc_id, round(score, 6) AS score FROM r""",
+)
+def ranking_report_files(ws):
+    """Two rankings written as reports, a folder per run, and read back."""
+    models = {"classic": ranking.contribution_of("classic"), "jm": ranking.contribution_of("jm", 0.1)}
+    path = scratch_path(ws.spark, "rankings")
+    reports.write_ranking_report(ranking.rank_models(ws.index, ws.queries, models, 10), path)
+    schema = "query_id BIGINT, rank BIGINT, doc_id BIGINT, score DOUBLE, run_id STRING"
+    return rounded(ws.spark.read.schema(schema).csv(path, sep=reports.SEPARATOR, header=True), "score")
+
+
+@query(
+    "top_terms_file",
+    f"""WITH {sql.TERMS}, w AS (SELECT term, df, cf, 1 + log10((1 + doc_count) / (1 + df)) AS idf FROM ts CROSS JOIN fs)
+    SELECT term, df, cf, round(idf, 6) AS idf FROM w ORDER BY round(idf, 9) DESC, term LIMIT 100""",
+)
+def top_terms_file(ws):
+    """Best terms of the collection written to a file and read back."""
+    path = scratch_path(ws.spark, "top-terms")
+    reports.write_top_terms(top_terms.best_terms_in_collection(ws.index, 100, "idf"), path)
+    found = ws.spark.read.schema("term STRING, df BIGINT, cf BIGINT, idf DOUBLE").csv(path, sep="\t", header=True)
+    return rounded(found, "idf")

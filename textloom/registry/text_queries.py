@@ -46,6 +46,25 @@ def token_offsets(ws):
     return found.select("doc_id", F.col("pos").cast("long").alias("pos"), "term", "start_offset", "end_offset")
 
 
+# The word-break rule without the scripts that the given texts do not have (ideographs, kana).
+_EXTEND = r"[\p{M}\p{Cf}]*"
+_LETTERS = rf"(?:[\p{{L}}\p{{Nl}}]{_EXTEND})+(?:[{tx.MID_LETTER}{tx.MID_NUM_LET}]{_EXTEND}(?:[\p{{L}}\p{{Nl}}]{_EXTEND})+)*"
+_DIGITS = rf"(?:\p{{Nd}}{_EXTEND})+(?:[{tx.MID_NUM}{tx.MID_NUM_LET}]{_EXTEND}(?:\p{{Nd}}{_EXTEND})+)*"
+_UNICODE = rf"(?:(?:\p{{Pc}}{_EXTEND})*(?:{_LETTERS}|{_DIGITS}))+(?:\p{{Pc}}{_EXTEND})*".replace("'", "''")
+
+
+@query(
+    "tokenize_unicode",
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_UNICODE}') AS words FROM documents),
+    c AS (SELECT doc_id, flatten([[w[i * 255 + 1 : i * 255 + 255] FOR i IN range((length(w) + 254) // 255)] FOR w IN words]) AS words FROM w)
+    SELECT doc_id, unnest(range(len(words))) AS pos, unnest(words) AS term FROM c""",
+)
+def tokenize_unicode(ws):
+    """Words by the Unicode word-break rule."""
+    found = ws.dealt_texts.select("doc_id", F.posexplode(tx.unicode_words("text")).alias("pos", "term"))
+    return found.withColumn("pos", F.col("pos").cast("long"))
+
+
 @query("join_lines", _WITH_LINES + "SELECT doc_id, coalesce(array_to_string(lines, ' '), '') AS joined FROM l")
 def join_lines(ws):
     return ws.documents.select("doc_id", tx.join_lines(F.col("text")).alias("joined"))
