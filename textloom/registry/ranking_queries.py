@@ -53,9 +53,9 @@ def judgements(ws):
         LEFT JOIN qrels j ON j.query_id = r.query_id AND j.doc_id = r.doc_id""",
 )
 def relevance_report(ws):
-    run = materialize(_lm_run(ws), "run")
-    hits = ranking.with_document(run, ws.documents, "lang", "source", "text")
-    report = evaluation.relevance_report(hits, ws.qrels)
+    # Judged first: texts are fetched for the hits and moved no more.
+    judged = materialize(evaluation.relevance_report(_lm_run(ws), ws.qrels), "judged-run")
+    report = ranking.with_document(judged, ws.documents, "lang", "source", "text")
     return rounded(report.withColumn("rank", F.col("rank").cast("long")), "score")
 
 
