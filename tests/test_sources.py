@@ -1,5 +1,6 @@
 import glob
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,12 +30,16 @@ def tree(tmp_path_factory):
     return str(root)
 
 
+# What Spark's own listing gives.
+plain_files = partial(files.read_text_tree, every_file=False)
+
+
 def names(df):
     return sorted(r["rel_path"] for r in df.select("rel_path").collect())
 
 
 def test_tree_is_scanned_with_its_folders(spark, tree):
-    found = {r["rel_path"]: (r["depth"], r["top_folder"]) for r in files.read_text_tree(spark, tree).collect()}
+    found = {r["rel_path"]: (r["depth"], r["top_folder"]) for r in plain_files(spark, tree).collect()}
     assert found == {
         "root.txt": (0, None),
         "mytxt": (0, None),
@@ -46,25 +51,25 @@ def test_tree_is_scanned_with_its_folders(spark, tree):
 
 
 def test_root_may_be_given_with_a_scheme(spark, tree):
-    plain = names(files.read_text_tree(spark, tree))
-    assert names(files.read_text_tree(spark, f"file://{tree}/")) == names(files.read_text_tree(spark, f"file:{tree}")) == plain
+    plain = names(plain_files(spark, tree))
+    assert names(plain_files(spark, f"file://{tree}/")) == names(plain_files(spark, f"file:{tree}")) == plain
 
 
 def test_extensions_and_depth(spark, tree):
-    assert names(files.read_text_tree(spark, tree, extensions=[".txt"])) == [
+    assert names(plain_files(spark, tree, extensions=[".txt"])) == [
         "a/deep/lower.txt",
         "a/single.txt",
         "b/blank.txt",
         "root.txt",
     ]
-    assert names(files.read_text_tree(spark, tree, extensions=["md", "txt"], min_depth=1, max_depth=1)) == [
+    assert names(plain_files(spark, tree, extensions=["md", "txt"], min_depth=1, max_depth=1)) == [
         "a/first.md",
         "a/single.txt",
         "b/blank.txt",
     ]
-    assert names(files.read_text_tree(spark, tree, min_depth=2)) == ["a/deep/lower.txt"]
+    assert names(plain_files(spark, tree, min_depth=2)) == ["a/deep/lower.txt"]
     with pytest.raises(ValueError):
-        files.read_text_tree(spark, tree, max_depth=0)
+        plain_files(spark, tree, max_depth=0)
 
 
 def test_every_file_is_a_document(spark, tmp_path):
@@ -81,6 +86,44 @@ def test_every_file_is_a_document(spark, tmp_path):
     assert names(files.read_text_tree(spark, str(tmp_path), ["txt"], min_depth=1, every_file=True)) == [".b/_empty.txt", "_b/c/x y{1}.txt", "h=1/d.txt"]
 
 
+def test_empty_files_are_documents_by_default(spark, tree):
+    found = {r["rel_path"]: r["content"] for r in files.read_text_tree(spark, tree).collect()}
+    assert len(found) == 7 and found["b/zero.txt"] == b""
+
+
+def test_levels_are_listed_as_deep_as_asked(spark, tmp_path):
+    for depth in range(4):
+        folder = tmp_path / "/".join(["_d"] * depth)
+        folder.mkdir(exist_ok=True)
+        (folder / "x.txt").write_text(str(depth))
+        (folder / f"empty{depth}").write_text("")
+    (tmp_path / "none").mkdir()
+    base = f"file:{tmp_path}/"
+    listed = lambda n: sorted(r["rel_path"] for r in files._listed_by_tasks(spark, base, ("",), n).collect())
+    assert listed(0) == ["empty0"]
+    assert listed(1) == ["_d/empty1", "_d/x.txt", "empty0"]
+    assert listed(None) == listed(9) and len(listed(None)) == 7
+    found = files.read_text_tree(spark, str(tmp_path), min_depth=1, max_depth=2)
+    assert sorted((r["depth"], r["content"]) for r in found.collect()) == [(1, b""), (1, b"1"), (2, b""), (2, b"2")]
+
+
+def test_driver_lists_a_store_that_tasks_cannot_open(spark, tmp_path, monkeypatch):
+    for name, text in {"a.txt": "a", "empty.txt": "", "_b/c.txt": "c", "_b/c.md": "no"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    assert not files._tasks_open("viewfs://store/in/") and files._tasks_open(f"file:{tmp_path}/")
+    by_tasks = files.read_text_tree(spark, str(tmp_path), ["txt"]).orderBy("path").collect()
+    monkeypatch.setattr(files, "_tasks_open", lambda base: False)
+    assert files.read_text_tree(spark, str(tmp_path), ["txt"]).orderBy("path").collect() == by_tasks
+    assert [r["content"] for r in by_tasks] == [b"c", b"a", b""]
+
+
+def test_listing_does_not_open_files(spark, tmp_path):
+    (tmp_path / "_h.txt").write_text("h")
+    plan = files.read_text_tree(spark, str(tmp_path)).select("rel_path", "size_bytes")._jdf.queryExecution().optimizedPlan().toString()
+    assert "content_of" not in plan
+
+
 def test_file_documents(spark, tree):
     docs = files.file_documents(files.read_text_tree(spark, tree), n_top=2, n_bottom=2)
     found = {r["rel_path"]: r for r in docs.collect()}
@@ -94,7 +137,7 @@ def test_file_documents(spark, tree):
 
 
 def test_partial_collections_leave_out_the_root(spark, tree, new_path):
-    docs = tables.partition_by_top_folder(files.read_text_tree(spark, tree).drop("top_folder"))
+    docs = tables.partition_by_top_folder(plain_files(spark, tree).drop("top_folder"))
     path = new_path("partial")
     tables.write_collection(docs.drop("content"), path, partition_by="top_folder")
     assert sorted(d for d in os.listdir(path) if "=" in d) == ["top_folder=a", "top_folder=b"]

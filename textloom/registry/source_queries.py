@@ -29,7 +29,7 @@ def file_scan(ws):
     path = scratch_path(ws.spark, "tree")
     host = F.regexp_extract("url", "://([^/]+)", 1).alias("host")
     ws.table("pages").select("page_id", host, "html").write.partitionBy("host", "page_id").text(path)
-    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2, every_file=True)
+    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2)
     docs = files.file_documents(found, n_top=2, n_bottom=2)
     return docs.select(
         F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
@@ -57,7 +57,7 @@ def file_scan_filtered(ws):
     pages.select("html").write.text(f"{path}/flat")
     pages.write.partitionBy("folder", "page_id").text(f"{path}/deep")
     pages.drop("folder").write.partitionBy("page_id").csv(f"{path}/wrong")
-    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=2, max_depth=2, every_file=True)
+    found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=2, max_depth=2)
     page_id = F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id")
     return files.file_documents(found).select(page_id, "top_folder", F.md5("text").alias("digest"))
 

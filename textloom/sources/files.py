@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import quote
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
-from textloom.session import scratch_path
+from textloom.session import materialize, scratch_path
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 #: Files of one part of a listing.
 LISTED = 10_000
+#: Folders that one task lists in a round.
+FOLDERS = 200
+ENTRY_SCHEMA = "rel_path string, is_folder boolean, hidden boolean, millis long, length long"
 
 
 def read_text_tree(
@@ -21,7 +31,7 @@ def read_text_tree(
     extensions: list[str] | None = None,
     min_depth: int | None = None,
     max_depth: int | None = None,
-    every_file: bool = False,
+    every_file: bool = True,
 ) -> DataFrame:
     """``(path, rel_path, depth, top_folder, size_bytes, modified, content)``, lazily.
 
@@ -32,7 +42,8 @@ def read_text_tree(
 
     Spark's listing leaves out files of zero bytes and those that are hidden or in
     a hidden folder (``.`` or ``_`` first). With ``every_file`` these are documents
-    as well, with the paths they have: the driver walks the tree at the call.
+    as well, with the paths they have: tasks list the tree at the call, level by
+    level. Without it they are left out, and nothing is listed twice.
     """
     for depth in (min_depth, max_depth):
         if depth is not None and depth < 1:
@@ -42,7 +53,7 @@ def read_text_tree(
         reader = reader.option("pathGlobFilter", "*.{%s}" % ",".join(e.lstrip(".") for e in extensions))
     listed_files = reader.load(path)
     if every_file:
-        listed_files = listed_files.where("length > 0").unionByName(_skipped_files(spark, path, extensions))
+        listed_files = listed_files.where("length > 0").unionByName(_skipped_files(spark, path, extensions, max_depth))
     # Given and listed paths may write the scheme in different ways, so both are compared without it.
     root = re.sub(SCHEME, "", path).rstrip("/") + "/"
     listed = F.regexp_replace("path", SCHEME, "")
@@ -71,17 +82,127 @@ def _is_skipped(name: str) -> bool:
     return hidden and not name.startswith(("_common_metadata", "_metadata"))
 
 
-def _skipped_files(spark: SparkSession, path: str, extensions: list[str] | None) -> DataFrame:
+def _endings(extensions: list[str] | None) -> tuple[str, ...]:
+    """What a kept file's name ends with; every name ends with the empty text."""
+    return tuple("." + e.lstrip(".") for e in extensions) if extensions else ("",)
+
+
+def _store(base: str) -> tuple[pafs.FileSystem, str]:
+    """The store below ``base`` as a task opens it, and the folder in it."""
+    if base.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(SCHEME, "", base)
+    return pafs.FileSystem.from_uri(quote(base, safe=":/@"))
+
+
+def _tasks_open(base: str) -> bool:
+    """Whether tasks can list a tree themselves: it lies in a mounted folder or in a store that Arrow knows."""
+    try:
+        _store(base)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
+def _entries(base: str, folder: str) -> Iterator[tuple[str, bool, int, int]]:
+    """``(name, is_folder, millis, length)`` of what stands in one folder."""
+    store, root = _store(base)
+    path = f"{root.rstrip('/')}/{folder}"
+    if isinstance(store, pafs.LocalFileSystem):
+        with os.scandir(path) as found:
+            for entry in found:
+                if entry.is_dir():
+                    yield entry.name, True, 0, 0
+                elif entry.is_file():
+                    status = entry.stat()
+                    yield entry.name, False, status.st_mtime_ns // 1_000_000, status.st_size
+        return
+    for info in store.get_file_info(pafs.FileSelector(path.rstrip("/"))):
+        if info.type == pafs.FileType.Directory:
+            yield info.base_name, True, 0, 0
+        elif info.type == pafs.FileType.File:
+            yield info.base_name, False, (info.mtime_ns or 0) // 1_000_000, info.size
+
+
+def _list_folders(base: str, endings: tuple[str, ...]):
+    """Lists folders ``(rel_path, hidden)``: their folders, and their files that Spark's listing leaves out."""
+
+    def rows(batch: pd.DataFrame) -> Iterator[tuple]:
+        for folder, hidden in zip(batch["rel_path"], batch["hidden"]):
+            for name, is_folder, millis, length in _entries(base, folder):
+                below = bool(hidden) or _is_skipped(name)
+                if is_folder or (below or length == 0) and name.endswith(endings):
+                    yield (f"{folder}/{name}" if folder else name), is_folder, below, millis, length
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [part.split()[0] for part in ENTRY_SCHEMA.split(", ")]
+        for batch in batches:
+            held = []
+            for row in rows(batch):
+                held.append(row)
+                if len(held) >= LISTED:
+                    yield pd.DataFrame(held, columns=names)
+                    held = []
+            if held:
+                yield pd.DataFrame(held, columns=names)
+
+    return listed
+
+
+def _listed_by_tasks(spark: SparkSession, base: str, endings: tuple[str, ...], max_depth: int | None) -> DataFrame:
+    """``(rel_path, millis, length)`` of the files that Spark's listing leaves out.
+
+    The folders of one level are a table in the shared folder, dealt out to tasks,
+    which list them into the next level. The driver sees their number.
+    """
+    folders = spark.createDataFrame([("", False)], "rel_path string, hidden boolean")
+    levels, n = [], 1
+    while n and (max_depth is None or len(levels) <= max_depth):
+        dealt = folders.repartition(n // FOLDERS + 1, "rel_path")
+        level = materialize(dealt.mapInPandas(_list_folders(base, endings), ENTRY_SCHEMA), "tree-level")
+        levels.append(level.where("NOT is_folder").select("rel_path", "millis", "length"))
+        folders = level.where("is_folder").select("rel_path", "hidden")
+        n = folders.count()
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _skipped_files(spark: SparkSession, path: str, extensions: list[str] | None, max_depth: int | None) -> DataFrame:
     """``(path, modificationTime, length, content)`` of the regular files below ``path`` that Spark's listing leaves out.
 
+    A file's content is read by the task that needs it. In a store that only
+    Spark's reader opens (``_tasks_open``), the driver lists and copies instead.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    base = root.getFileSystem(conf).makeQualified(root).toString().rstrip("/") + "/"
+    if not _tasks_open(base):
+        return _copied_by_driver(spark, path, base, _endings(extensions))
+    found = _listed_by_tasks(spark, base, _endings(extensions), max_depth)
+
+    def content_of(rel_path):
+        store, folder = _store(base)
+        with store.open_input_stream(f"{folder.rstrip('/')}/{rel_path}", compression=None) as stream:
+            return stream.read()
+
+    # A column, so that a plan that does not ask for it opens no file.
+    content = F.when(F.col("length") > 0, F.udf(content_of, "binary")("rel_path")).otherwise(F.lit(b""))
+    return found.select(
+        F.concat(F.lit(base), "rel_path").alias("path"),
+        F.timestamp_millis("millis").alias("modificationTime"),
+        "length",
+        content.alias("content"),
+    )
+
+
+def _copied_by_driver(spark: SparkSession, path: str, base: str, endings: tuple[str, ...]) -> DataFrame:
+    """The same for stores that tasks cannot open themselves.
+
     The walk keeps no more than ``LISTED`` rows on the driver. Only Spark's reader
-    reaches the store from a task, and it refuses hidden names, so hidden files
+    reaches such a store from a task, and it refuses hidden names, so hidden files
     are copied, as streams, to names without them in the shared folder.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(path)
     store = root.getFileSystem(conf)
-    base = store.makeQualified(root).toString().rstrip("/") + "/"
     copies, listing = scratch_path(spark, "hidden-files"), scratch_path(spark, "skipped-files")
     scratch = jvm.org.apache.hadoop.fs.Path(copies)
     scratch_store = scratch.getFileSystem(conf)
@@ -90,14 +211,13 @@ def _skipped_files(spark: SparkSession, path: str, extensions: list[str] | None)
     spark.createDataFrame([], schema).write.parquet(listing)
     rows: list[tuple] = []
     n_copies = 0
-    endings = tuple("." + e.lstrip(".") for e in extensions or ())
     walk = store.listFiles(root, True)
     while walk.hasNext():
         status = walk.next()
         own, length = status.getPath(), status.getLen()
         full = own.toString()
         hidden = any(_is_skipped(name) for name in full.removeprefix(base).split("/"))
-        if endings and not full.endswith(endings) or length > 0 and not hidden:
+        if not full.endswith(endings) or length > 0 and not hidden:
             continue
         copy = None
         if length > 0:
