@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.joins import broadcast_if_small, is_small
 from textloom.operators.postings import spread, stack_fields, stack_folders
+from textloom.plans.folders import FolderIndexes, build_folder_indexes, open_folder_indexes, replace_folders
 from textloom.plans.index import TextIndex, build_index, compact_index, open_index, update_index
 from textloom.session import materialize, scratch_path
 
@@ -81,6 +82,21 @@ class Workspace:
         build_index(stack_fields(self.documents, ["text", "lang", "source"]), path)
         return open_index(self.spark, path)
 
+    @cached_property
+    def replaced_folder(self) -> str | None:
+        """The source whose documents ``folder_indexes`` has replaced."""
+        return self.documents.agg(F.min("source")).first()[0]
+
+    @cached_property
+    def folder_indexes(self) -> FolderIndexes:
+        """An index per ``source``, of which one was replaced by all pages, opened again."""
+        columns = [F.lit("text").alias("field"), "text"]
+        documents = self.documents.select("doc_id", F.col("source").alias("folder"), *columns)
+        built = build_folder_indexes(documents, scratch_path(self.spark, "folder-indexes"))
+        pages = self.table("pages").select(F.col("page_id").alias("doc_id"), F.lit(self.replaced_folder).alias("folder"), F.col("html").alias("text"))
+        changed = replace_folders(built, pages.select("doc_id", "folder", *columns), scratch_path(self.spark, "folder-indexes"))
+        return open_folder_indexes(self.spark, changed.path)
+
     @cached_property
     def updated_index(self) -> TextIndex:
         """The index of the documents after two updates: all pages, then all turns of conversations, of which the last counts."""

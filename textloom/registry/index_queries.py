@@ -85,3 +85,46 @@ def field_term_stats(ws):
 def field_postings(ws):
     """One field of several."""
     return ws.field_index.postings("source").select("doc_id", "term", "tf")
+
+
+_FOLDERS = f"""WITH c AS (SELECT doc_id, source AS folder, text FROM documents WHERE source <> (SELECT min(source) FROM documents)
+    UNION ALL SELECT page_id, (SELECT min(source) FROM documents), html FROM pages),
+ft AS (SELECT doc_id, folder, unnest({sql.words("text")}) AS term FROM c),
+fp AS (SELECT folder, doc_id, term, count(*) AS tf FROM ft GROUP BY ALL)"""
+
+
+@query("folder_index", f"{_FOLDERS} SELECT folder, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM fp GROUP BY folder, term")
+def folder_index(ws):
+    """Term statistics of an index per folder, after one folder was replaced."""
+    return ws.folder_indexes.term_stats().select("folder", "term", "df", "cf")
+
+
+@query("folder_postings", f"{_FOLDERS} SELECT folder, doc_id, term, tf FROM fp")
+def folder_postings(ws):
+    return ws.folder_indexes.postings().select("folder", "doc_id", "term", "tf")
+
+
+@query(
+    "folder_field_stats",
+    f"""{_FOLDERS} SELECT c.folder, (SELECT count(DISTINCT doc_id) FROM fp WHERE fp.folder = c.folder) AS doc_count, count(*) AS max_doc,
+        (SELECT count(*) FROM fp WHERE fp.folder = c.folder) AS sum_doc_freq,
+        (SELECT CAST(coalesce(sum(tf), 0) AS BIGINT) FROM fp WHERE fp.folder = c.folder) AS sum_total_term_freq
+    FROM c GROUP BY c.folder""",
+)
+def folder_field_stats(ws):
+    return ws.folder_indexes.field_stats().drop("field")
+
+
+@query(
+    "folder_search",
+    f"""{_FOLDERS}, tok AS (SELECT doc_id, term FROM ft WHERE folder = (SELECT min(source) FROM documents)),
+    {sql.POST}, {sql.TS}, {sql.DL}, fs AS (SELECT count(*) AS doc_count, CAST(sum(dl) AS BIGINT) AS total FROM dl), {sql.QT},
+    m AS (SELECT query_id, doc_id, tf, dl, qtf, df, cf, doc_count, total
+        FROM qt JOIN post USING (term) JOIN ts USING (term) JOIN dl USING (doc_id) CROSS JOIN fs),
+    {sql.ranked(sql.jm("0.1::DOUBLE"))}
+    SELECT query_id, rank, doc_id, round(score, 6) AS score FROM run""",
+)
+def folder_search(ws):
+    """A ranking within the replaced folder, whose files alone are read."""
+    run = ranking.search(ws.folder_indexes.folder(ws.replaced_folder), ws.queries, "jm", 10, lam=0.1)
+    return rounded(run.withColumn("rank", F.col("rank").cast("long")), "score")
