@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
 from textloom.operators import top_terms, weighting
 from textloom.operators.joins import join_on_term
-from textloom.plans.index import build_index, compact_index, open_index, update_index
+from textloom.plans.index import build_index, compact_index, default_buckets, open_index, update_index
 from textloom.sources.tables import upsert_documents
 
 FOLDER = "/root/testdata/sf0.001"
@@ -214,6 +216,24 @@ def test_hot_terms_are_dealt_out_by_term_too(spark, new_path):
     assert index.term_postings([hot_class]).where("term = 'hot'").count() == 2000
 
 
+def test_tasks_write_equal_shares_by_term(spark, new_path):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(40))) for i in range(500)], "doc_id BIGINT, text STRING")
+    index = build_index(ops.stack_fields(docs, ["text"]), new_path("shares"), buckets=8)
+    written = spark.read.parquet(f"{index.path}/term_postings").select(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task"))
+    shares = [r["count"] for r in written.groupBy("task").count().collect()]
+    assert sum(shares) == index.postings().count()
+    assert max(shares) < 1.5 * sum(shares) / 8
+
+
+def test_buckets_follow_the_bytes_of_text(spark, docs, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    long = spark.createDataFrame([(1, "word " * 1000), (2, None)], "doc_id BIGINT, text STRING").coalesce(1)
+    monkeypatch.setattr("textloom.plans.index.BUCKET_BYTES", 100)
+    assert default_buckets(ops.stack_fields(long, ["text"])) == 50
+    assert default_buckets(ops.stack_fields(docs, ["text"])) == cores
+
+
 def frame(spark, texts):
     return ops.stack_fields(spark.createDataFrame(texts, "doc_id BIGINT, text STRING"), ["text"])
 
