@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
-from textloom.operators.joins import HOT_SHARE, broadcast_if_small, measured_size
+from textloom.operators.joins import broadcast_if_small, measured_size
 from textloom.plans import index as plain
 
 #: Bytes of text in one bucket of a folder.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = plain.BUCKET_BYTES
 
 CATALOG_SCHEMA = "folder STRING, folder_key STRING, buckets INT, words BIGINT, location STRING"
 FIELD_STATS_SCHEMA = f"folder_key STRING, {plain.FIELD_STATS_SCHEMA}"
@@ -211,10 +211,15 @@ def _store(stacked: DataFrame, path: str, bucket_bytes: int) -> DataFrame:
         ordered.write.mode("overwrite").partitionBy(*directory).parquet(f"{path}/{part}")
         return spark.read.schema(f"{STORED[part][0]}, folder_key STRING, {STORED[part][1]} INT").parquet(f"{path}/{part}")
 
-    placed = split(texts.select("doc_id", "folder_key", "field", "text"), "doc_id", "bucket").repartition(parts, "folder_key", "bucket")
+    def deal(rows: DataFrame, *order) -> DataFrame:
+        """By ranges, whose bounds Spark draws from the rows: hashes of few buckets would meet in some tasks and miss others."""
+        return rows.repartitionByRange(parts, *order)
+
+    placed = split(texts.select("doc_id", "folder_key", "field", "text"), "doc_id", "bucket")
+    dealt = deal(placed, "folder_key", "bucket").sortWithinPartitions("folder_key", "bucket", "doc_id", "field")
     # The place of a text rides along in the column that vectors are made within.
     place = F.struct("folder_key", "bucket", "field")
-    vectors = ops.term_vectors(placed.select("doc_id", place.alias("field"), "text"))
+    vectors = ops.term_vectors(dealt.select("doc_id", place.alias("field"), "text"))
     vectors = vectors.select("doc_id", "term", "tf", "dl", "field.folder_key", "field.bucket", "field.field")
     postings = write(vectors, "postings", "doc_id", "field", "term")
 
@@ -222,21 +227,15 @@ def _store(stacked: DataFrame, path: str, bucket_bytes: int) -> DataFrame:
     counted = postings.groupBy(*keys).agg(F.min("dl").alias("dl"), F.count("*").alias("n_terms"))
     lengths = placed.select(*keys).join(counted, keys, "left")
     lengths = lengths.select(*keys, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("dl", "n_terms")])
-    doc_stats = write(lengths.repartition(parts, "folder_key", "bucket"), "doc_stats", "doc_id", "field")
+    doc_stats = write(deal(lengths, "folder_key", "bucket"), "doc_stats", "doc_id", "field")
 
-    terms = ["folder_key", "field", "term"]
-    stats = postings.groupBy(*terms).agg(
+    # A hot term is dealt out by its documents.
+    by_term = split(postings.select("folder_key", *plain.VECTOR_COLUMNS), "term", "term_class")
+    by_term = write(deal(by_term, "folder_key", "term_class", "field", "term", "doc_id"), "term_postings", "field", "term", "doc_id")
+    stats = by_term.groupBy("folder_key", "term_class", "field", "term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max(F.col("tf") / F.col("dl")).alias("max_share")
     )
-    stats = write(split(stats, "term", "term_class").repartition(parts, "folder_key", "term_class"), "term_stats", "field", "term")
-
-    # Document frequencies add up to the number of postings, so no more than HOT_SHARE terms are hot.
-    chunk = max(-(-(stats.agg(F.sum("df")).first()[0] or 0) // min(HOT_SHARE, 4 * parts)), 1)
-    hot = stats.where(F.col("df") > chunk).select(*terms, F.ceil(F.col("df") / F.lit(chunk)).alias("copies"))
-    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("copies")), F.lit(0)).alias("salt")
-    salted = postings.join(F.broadcast(hot), terms, "left").select("folder_key", *plain.VECTOR_COLUMNS, salt)
-    salted = split(salted, "term", "term_class").repartition(parts, "folder_key", "term_class", "salt")
-    write(salted, "term_postings", "field", "term", "doc_id")
+    write(deal(stats, "folder_key", "term_class"), "term_stats", "field", "term")
 
     fields = doc_stats.groupBy("folder_key", "field").agg(
         F.count_if(F.col("dl") > 0).alias("doc_count"),
