@@ -162,9 +162,13 @@ def containing_documents(docs: DataFrame, queries: DataFrame) -> DataFrame:
     widths = [r["width"] for r in anchors.where("width > 0").select("width").distinct().orderBy("width").collect()]
     candidates = None
     for n in widths:
-        found = words.select("doc_id", F.explode(_runs(F.col("words"), n)).alias("run"))
-        small = broadcast_if_small(anchors.where(F.col("width") == n).select("query_id", "run"))
-        pairs = found.join(small, "run").select("query_id", "doc_id").distinct()
+        # Each word with the ones after it, as columns: no text is made of a run. Runs beyond the end have a null.
+        names = [f"word_{i}" for i in range(n)]
+        shifted = [F.slice("words", i + 1, F.greatest(F.size("words"), F.lit(0))).alias(names[i]) for i in range(n)]
+        found = words.select("doc_id", F.inline(F.arrays_zip(*shifted)).alias(*names))
+        run = F.split("run", " ")
+        wanted = anchors.where(F.col("width") == n).select("query_id", *[F.get(run, F.lit(i)).alias(names[i]) for i in range(n)])
+        pairs = found.join(broadcast_if_small(wanted), names).select("query_id", "doc_id").distinct()
         candidates = pairs if candidates is None else candidates.unionByName(pairs)
     short = anchors.where("width = 0").select("query_id", "needle")
     if not short.isEmpty():
