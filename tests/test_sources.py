@@ -124,6 +124,15 @@ def test_listing_does_not_open_files(spark, tmp_path):
     assert "content_of" not in plan
 
 
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}/x.txt").write_text(str(i))
+    found = files.read_text_tree(spark, str(tmp_path), ["txt"], min_depth=1)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(int(r["content"]) for r in found.collect()) == list(range(300))
+
+
 def test_file_documents(spark, tree):
     docs = files.file_documents(files.read_text_tree(spark, tree), n_top=2, n_bottom=2)
     found = {r["rel_path"]: r for r in docs.collect()}

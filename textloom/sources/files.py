@@ -22,6 +22,8 @@ SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 LISTED = 10_000
 #: Folders that one task lists in a round.
 FOLDERS = 200
+#: Files and bytes that one task reads.
+READ_FILES, READ_BYTES = 2_000, 32 << 20
 ENTRY_SCHEMA = "rel_path string, is_folder boolean, hidden boolean, millis long, length long"
 
 
@@ -42,18 +44,24 @@ def read_text_tree(
 
     Spark's listing leaves out files of zero bytes and those that are hidden or in
     a hidden folder (``.`` or ``_`` first). With ``every_file`` these are documents
-    as well, with the paths they have: tasks list the tree at the call, level by
-    level. Without it they are left out, and nothing is listed twice.
+    as well: tasks list the tree at the call, level by level, and read what they
+    found. Without it Spark lists and reads, and they are left out. Nothing is
+    listed twice, but in a store that only Spark's reader opens (``_tasks_open``).
     """
     for depth in (min_depth, max_depth):
         if depth is not None and depth < 1:
             raise ValueError("a depth must be positive")
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if extensions:
-        reader = reader.option("pathGlobFilter", "*.{%s}" % ",".join(e.lstrip(".") for e in extensions))
-    listed_files = reader.load(path)
-    if every_file:
-        listed_files = listed_files.where("length > 0").unionByName(_skipped_files(spark, path, extensions, max_depth))
+    base = _qualified(spark, path)
+    if every_file and _tasks_open(base):
+        listed_files = _read_by_tasks(spark, base, _endings(extensions), min_depth, max_depth)
+    else:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        if extensions:
+            reader = reader.option("pathGlobFilter", "*.{%s}" % ",".join(e.lstrip(".") for e in extensions))
+        listed_files = reader.load(path)
+        if every_file:
+            skipped = _copied_by_driver(spark, path, base, _endings(extensions))
+            listed_files = listed_files.where("length > 0").unionByName(skipped)
     # Given and listed paths may write the scheme in different ways, so both are compared without it.
     root = re.sub(SCHEME, "", path).rstrip("/") + "/"
     listed = F.regexp_replace("path", SCHEME, "")
@@ -123,14 +131,14 @@ def _entries(base: str, folder: str) -> Iterator[tuple[str, bool, int, int]]:
             yield info.base_name, False, (info.mtime_ns or 0) // 1_000_000, info.size
 
 
-def _list_folders(base: str, endings: tuple[str, ...]):
-    """Lists folders ``(rel_path, hidden)``: their folders, and their files that Spark's listing leaves out."""
+def _list_folders(base: str, endings: tuple[str, ...], skipped_only: bool):
+    """Lists folders ``(rel_path, hidden)``: their folders and files, of the latter only those that Spark's listing leaves out, or all."""
 
     def rows(batch: pd.DataFrame) -> Iterator[tuple]:
         for folder, hidden in zip(batch["rel_path"], batch["hidden"]):
             for name, is_folder, millis, length in _entries(base, folder):
                 below = bool(hidden) or _is_skipped(name)
-                if is_folder or (below or length == 0) and name.endswith(endings):
+                if is_folder or (below or length == 0 or not skipped_only) and name.endswith(endings):
                     yield (f"{folder}/{name}" if folder else name), is_folder, below, millis, length
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,8 +156,10 @@ def _list_folders(base: str, endings: tuple[str, ...]):
     return listed
 
 
-def _listed_by_tasks(spark: SparkSession, base: str, endings: tuple[str, ...], max_depth: int | None) -> DataFrame:
-    """``(rel_path, millis, length)`` of the files that Spark's listing leaves out.
+def _listed_by_tasks(
+    spark: SparkSession, base: str, endings: tuple[str, ...], max_depth: int | None, skipped_only: bool = True
+) -> DataFrame:
+    """``(rel_path, millis, length)`` of the files that Spark's listing leaves out, or of all.
 
     The folders of one level are a table in the shared folder, dealt out to tasks,
     which list them into the next level. The driver sees their number.
@@ -158,25 +168,33 @@ def _listed_by_tasks(spark: SparkSession, base: str, endings: tuple[str, ...], m
     levels, n = [], 1
     while n and (max_depth is None or len(levels) <= max_depth):
         dealt = folders.repartition(n // FOLDERS + 1, "rel_path")
-        level = materialize(dealt.mapInPandas(_list_folders(base, endings), ENTRY_SCHEMA), "tree-level")
+        level = materialize(dealt.mapInPandas(_list_folders(base, endings, skipped_only), ENTRY_SCHEMA), "tree-level")
         levels.append(level.where("NOT is_folder").select("rel_path", "millis", "length"))
         folders = level.where("is_folder").select("rel_path", "hidden")
         n = folders.count()
     return reduce(DataFrame.unionByName, levels)
 
 
-def _skipped_files(spark: SparkSession, path: str, extensions: list[str] | None, max_depth: int | None) -> DataFrame:
-    """``(path, modificationTime, length, content)`` of the regular files below ``path`` that Spark's listing leaves out.
-
-    A file's content is read by the task that needs it. In a store that only
-    Spark's reader opens (``_tasks_open``), the driver lists and copies instead.
-    """
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme and a final ``/``, as Spark writes it."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(path)
-    base = root.getFileSystem(conf).makeQualified(root).toString().rstrip("/") + "/"
-    if not _tasks_open(base):
-        return _copied_by_driver(spark, path, base, _endings(extensions))
-    found = _listed_by_tasks(spark, base, _endings(extensions), max_depth)
+    return root.getFileSystem(conf).makeQualified(root).toString().rstrip("/") + "/"
+
+
+def _read_by_tasks(
+    spark: SparkSession, base: str, endings: tuple[str, ...], min_depth: int | None, max_depth: int | None
+) -> DataFrame:
+    """``(path, modificationTime, length, content)`` of the regular files below ``base``.
+
+    A file's content is read by the task that needs it. Files are dealt out by
+    their number and bytes; Spark's reader would make a task of every few small ones.
+    """
+    found = _listed_by_tasks(spark, base, endings, max_depth, skipped_only=False)
+    if min_depth is not None:
+        found = found.where(F.size(F.split("rel_path", "/")) > min_depth)
+    n, length = found.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    found = found.repartition(max(n // READ_FILES, length // READ_BYTES, spark.sparkContext.defaultParallelism), "rel_path")
 
     def content_of(rel_path):
         store, folder = _store(base)
