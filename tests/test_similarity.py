@@ -1,6 +1,9 @@
 import math
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from textloom.operators import clustering, similar
@@ -137,6 +140,62 @@ def test_many_targets_equal_single_ones(spark, new_path, monkeypatch, block_term
     assert similar.similar_docs_many(index, targets.limit(0), "tf", 6).collect() == []
 
 
+def test_similarity_that_rounds_to_zero_gives_way_to_smaller_ids(spark, new_path):
+    rows = [(d, f"other{d}") for d in range(4)] + [(90, "the " + "x " * 50_000), (91, "the " + "y " * 50_000)]
+    index = build_index(ops.stack_fields(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), ["text"]), new_path("zero"))
+    targets = spark.createDataFrame([(90,)], "doc_id BIGINT")
+    got = [tuple(r) for r in similar.similar_docs_many(index, targets, "tf", 2).orderBy("rank").collect()]
+    assert got == [(90, 1, 90, 1.0), (90, 2, 0, 0.0)] == sorted(map(tuple, similar.similar_docs(index, [90], "tf", 2).collect()))
+
+
+@pytest.mark.parametrize("columns", [0, 12, 400])
+@pytest.mark.parametrize("many", [0.0, 0.125, 2.0])
+@pytest.mark.parametrize("rare_weight", [1.0, 50.0])
+def test_blocks_of_targets_find_what_brute_force_finds(monkeypatch, columns, many, rare_weight):
+    monkeypatch.setattr(similar, "MANY_SHARE", many)
+    monkeypatch.setattr(similar, "STEP_DOCS", 37)
+    monkeypatch.setattr(similar, "PIECE", 200)
+    monkeypatch.setattr(similar, "MATRIX_TARGETS", 5)
+    rng, docs, terms, n = np.random.default_rng(3), 200, 400, 4
+    chance = 1 / np.arange(1, terms + 1)
+    dense = (rng.random((docs, terms)) < chance) * rng.integers(1, 4, (docs, terms)) * np.where(np.arange(terms) < 12, 1.0, rare_weight)
+    dense[50:60] = dense[40]  # copies tie
+    dense[70, 5:] = 0
+    dense[:, 0] += dense.sum(axis=1) == 0
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    lists = [np.flatnonzero(row) for row in dense]
+    # The first term of a vector comes twice, with half its weight each time.
+    entries = [(np.append(at, at[0]), np.concatenate([[row[at[0]] / 2], row[at[1:]], [row[at[0]] / 2]])) for at, row in zip(lists, dense)]
+    ids = np.arange(docs) * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([t for t, _ in entries]), pa.array([w for _, w in entries])], ["doc_id", "terms", "weights"])
+    wanted = [2, 40, 55, 59, 70, 71, 150, 199]
+    asked = similar.arrange_targets([batch.take(pa.array(wanted))], columns)
+    shared = SimpleNamespace(value=asked)
+    (out,) = similar._nearest(shared, n)(iter([batch.slice(0, 130), batch.slice(130)]))
+    got = sorted(zip(*(out[c].to_pylist() for c in ("query_id", "doc_id", "score"))))
+    want = []
+    for t in wanted:
+        score = np.round(dense @ dense[t], 9)
+        best = [d for d in np.lexsort((ids, -score))[:n] if score[d] > 0]
+        want += [(3 * t, 3 * d, score[d]) for d in best]
+    want.sort()
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in want], abs=2e-9)
+
+
+def test_pairs_out_of_reach_are_not_summed_up(monkeypatch):
+    """Common words of small weight alone do not make a pair worth adding up."""
+    rng, docs = np.random.default_rng(5), 400
+    terms = [np.concatenate([np.arange(20), 20 + rng.integers(0, 200, 6)]) for _ in range(docs)]
+    weights = np.concatenate([np.full(20, 0.01), np.full(6, 0.4)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(docs)), pa.array(terms), pa.array([weights] * docs)], ["doc_id", "terms", "weights"])
+    asked = similar.arrange_targets([batch.slice(0, 50)], 20)
+    least = np.full(50, 0.3)
+    target, _, total = similar._near(asked, 5, least, *similar._flat(batch)[1:])
+    assert len(target) < 50 * docs / 20 and (total >= 0.3 - 1e-8).all()
+    assert set(range(50)) == set(target.tolist())  # each finds itself
+
+
 def test_ragged_and_missing_points_are_errors(spark):
     whole = [(0, [1.0, 2.0]), (1, [3.0, 4.0])]
     for bad in ([(2, [1.0, 2.0, 3.0]), (3, [1.0])], [(2, None)], [(2, [1.0, None])], [(2, [])]):
