@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import language_id, nearest, toxicity
+from textloom.llm import language_id, nearest, token_output, toxicity
 from textloom.llm.license_scan import scan_licenses
 from textloom.llm.lm_score import lm_scores
 from textloom.llm.mixing import mixed, mixture
@@ -49,6 +49,28 @@ def test_encoder_beside_library():
         assert own.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
 
 
+def test_words_that_come_again_are_encoded_once(monkeypatch):
+    """New words push out those that are not met any more, not those that every step has."""
+    monkeypatch.setattr(token_output, "CACHE_WORDS", 60)
+    own = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    library, encoded = own.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, pieces, **options):
+            encoded.extend(word for piece in pieces for word in piece.split())
+            return library.encode_batch_fast(pieces, **options)
+
+    own.tokenizer = Counting()
+    often = [f"word{chr(97 + i)}" for i in range(20)]
+    for step in range(30):
+        texts = [" ".join(["start", *often, *[f"new{step}x{i}" for i in range(25)], "ends."])]
+        want = np.array(library.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()
+        assert own.encode(texts) == [want]
+    counts = Counter(encoded)
+    assert all(counts[w] == 1 for w in [*often, "start", "ends", "."])
+    assert sum(map(len, own.known + own.older)) < 4 * 60 + 200
+
+
 def test_no_ids(spark, make, new_path):
     path = new_path("ids")
     write_ids(make([]), path, tokenizer_file("byte_bpe_50k.json"))

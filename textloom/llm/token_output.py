@@ -35,8 +35,8 @@ BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 20
 END_ID = 0
 
-#: Words that a worker keeps encoded, and the longest of these.
-CACHE_WORDS = 400_000
+#: Words after which a worker starts to forget those not met since as many others were, and the longest that it keeps.
+CACHE_WORDS = 600_000
 CACHE_LENGTH = 40
 #: Unknown words that are encoded as one text.
 JOINED_WORDS = 64
@@ -65,6 +65,7 @@ _CUT = re.compile(r" (?=\S)")
 #: Nor does one reach from a letter into signs other than apostrophes.
 _LETTERS = frozenset(string.ascii_letters)
 _SIGNS = ".,;:!?#$%&*"
+_SIGN_SET = frozenset(_SIGNS)
 
 
 class Encoder:
@@ -77,26 +78,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(BLANK) for i in range(size)])
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.known: list[dict[str, bytes]] = [{}, {}]
+        self.older: list[dict[str, bytes]] = [{}, {}]
+
+    def _unknown(self, words: set[str], kind: int) -> set[str]:
+        """Those of some words whose ids are not kept; the others are in ``known`` afterwards."""
+        known, older = self.known[kind], self.older[kind]
+        new = words.difference(known)
+        met = older.keys() & new
+        known.update(zip(met, map(older.__getitem__, met)))
+        new.difference_update(met)
+        return new
 
     def _learn(self, new: set[str], blank: str) -> list[str]:
         """Add the ids of words that stand at the start of a text, or after a blank; returns those not to be kept."""
-        known, plain = self.known[bool(blank)], self.known[0]
-        pieces, tails = [], []
-        stems, ends = set(), set()
+        kind = int(bool(blank))
+        known, plain = self.known[kind], self.known[0]
+        tails = []
         for w in new:
-            stem = w.rstrip(_SIGNS)
-            if len(stem) < len(w) and stem[-1:] in _LETTERS:
-                end = w[len(stem) :]
-                tails.append((w, stem, end))
-                stems.add(stem)
-                ends.add(end)
-            else:
-                pieces.append(w)
-        stems = stems.difference(known, pieces)
-        pieces += stems
+            if w[-1:] in _SIGN_SET:
+                stem = w.rstrip(_SIGNS)
+                if stem[-1:] in _LETTERS:
+                    tails.append((w, stem, w[len(stem) :]))
+        pieces = new.difference([w for w, _, _ in tails])
+        stems = self._unknown({stem for _, stem, _ in tails}, kind).difference(pieces)
+        pieces = [*pieces, *stems]
         known.update(self._after_blank(pieces) if blank else zip(pieces, self._ids(pieces)))
-        unseen = list(ends.difference(plain))
+        unseen = list(self._unknown({end for _, _, end in tails}, 0))
         plain.update(zip(unseen, self._ids(unseen)))
         for w, stem, end in tails:
             known[w] = known[stem] + plain[end]
@@ -123,14 +131,14 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [t.split(" ") for t in texts]
-        for known in self.known:
+        for kind, known in enumerate(self.known):
             if len(known) > CACHE_WORDS:
-                known.clear()
+                self.older[kind], self.known[kind] = known, {}
         first, later = self.known
         heads = [p.pop(0) for p in pieces]
         wanted: set[str] = set()
         wanted.update(*pieces)
-        wanted = wanted.difference(later)
+        wanted = self._unknown(wanted, 1)
         odd = {w for w in wanted if not w or w[0].isspace()}
         if odd:  # blanks in texts that hold more blank characters in a row don't all divide
             for i, p in enumerate(pieces):
@@ -138,8 +146,8 @@ class Encoder:
                     pieces[i] = _CUT.split(texts[i])
                     heads[i] = pieces[i].pop(0)
                     wanted.update(pieces[i])
-            wanted = wanted.difference(odd, later)
-        drop = self._learn(set(heads).difference(first), ""), self._learn(wanted, " ")
+            wanted = self._unknown(wanted.difference(odd), 1)
+        drop = self._learn(self._unknown(set(heads), 0), ""), self._learn(wanted, " ")
         ids = [first[head] + b"".join(map(later.__getitem__, p)) for head, p in zip(heads, pieces)]
         for known, words in zip(self.known, drop):
             for w in words:
