@@ -71,6 +71,45 @@ def test_words_that_come_again_are_encoded_once(monkeypatch):
     assert sum(map(len, own.known + own.older)) < 4 * 60 + 200
 
 
+def test_pieces_of_words_are_encoded_once_and_kept_small():
+    """Words that differ in their signs and lines share the ids of their pieces, and a piece takes few bytes."""
+    import tracemalloc
+
+    own = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    library, encoded = own.tokenizer, Counter()
+
+    class Counting:
+        def encode_batch_fast(self, pieces, **options):
+            encoded.update(character for piece in pieces for character in piece)
+            return library.encode_batch_fast(pieces, **options)
+
+    own.tokenizer = Counting()
+    names = [chr(97 + i) + chr(97 + k) + "érz" for i in range(26) for k in range(26)]
+    texts = [" ".join(f"{a}.\n{b}," for b in names[:40]) for a in names[:40]]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode(texts) == want
+    assert encoded["é"] <= 2 * 40
+    tracemalloc.start()
+    before = pa.total_allocated_bytes() + tracemalloc.get_traced_memory()[0]
+    own.encode([" ".join(f"{a}{b}" for b in names) for a in names[:150]])
+    after = pa.total_allocated_bytes() + tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert after - before < 100 * 150 * len(names)
+
+
+def test_cuts_of_odd_texts():
+    """Beside the library: signs, letters and spaces of several bytes, special tokens, empty texts."""
+    pieces = [" ", " ", "\n", "\r\n", "\0", "a", "Zé", "ſ", "Ж", "×", "÷", "½", "²", "ª", "\u0301", "_", "don't", "<", "\u0130", "\u200b"]
+    pieces += ["\u1680", "\u2003", "\u2028", "\u205f", "\xa0", "\x1f", "\ufeff", "🙂", "(", "\\", "]", "7", "'", "x\n <|endoftext|>", "日本"]
+    rng = random.Random(2)
+    own = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    for _ in range(20):
+        texts = ["".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(300)]
+        want = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert own.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
+    assert own.encode([]) == [] and own.encode(["", ""]) == [b"", b""]
+
+
 def test_no_ids(spark, make, new_path):
     path = new_path("ids")
     write_ids(make([]), path, tokenizer_file("byte_bpe_50k.json"))

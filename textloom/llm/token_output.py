@@ -16,31 +16,34 @@ A block of ``n`` ids is 4 byte planes (plane ``k`` holds byte ``k`` of every id,
 
 from __future__ import annotations
 
+import math
 import os
-import re
-import string
 import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks as bl
 from textloom.llm.packing import from_planes, to_planes
+from textloom.llm.words import Words, hash_words, text_bytes
 
 BLOCK_IDS = 1 << 16
 #: Ids after which a segment ends; a document is never split.
 SEGMENT_IDS = 1 << 20
 END_ID = 0
 
-#: Words after which a worker starts to forget those not met since as many others were, and the longest that it keeps.
-CACHE_WORDS = 600_000
+#: Pieces after which a worker starts to forget those not met since as many others were, and the bytes of the longest
+#: that it keeps.
+CACHE_WORDS = 300_000
 CACHE_LENGTH = 40
-#: Unknown words that are encoded as one text.
+#: Unknown pieces that are encoded as one text.
 JOINED_WORDS = 64
-STEP_DOCS = 500
+#: Text that is encoded at once.
+STEP_BYTES = 2 << 20
 #: How the vocabulary writes a blank (fixed by its format).
 BLANK = "Ġ"
 
@@ -60,16 +63,112 @@ SEGMENT_DDL = (
     "chunks array<struct<first:long,n:int,sizes:array<int>>>, payload binary"
 )
 
-#: No token reaches across a blank that a visible character follows, so what such blanks divide is encoded on its own.
-_CUT = re.compile(r" (?=\S)")
-#: Nor does one reach from a letter into signs other than apostrophes.
-_LETTERS = frozenset(string.ascii_letters)
-_SIGNS = ".,;:!?#$%&*"
-_SIGN_SET = frozenset(_SIGNS)
+#: Kinds of bytes. No token reaches across a blank that a visible character follows, or a single line end, or from
+#: letters, digits or signs into another of these kinds. Signs leave out the apostrophe, which may go with letters, and
+#: letters are the Latin ones: words with any other byte are encoded as they are.
+_LETTER, _DIGIT, _SIGN, _LINE_END, _BLANK, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = _SIGN
+_KIND[0x0A] = _LINE_END
+_KIND[0x20] = _BLANK
+_TIMES, _DIVIDED = "×÷".encode()[1::2]
+#: How characters begin that are white space or, of some first bytes, may be.
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+_SPACE_LEADS = {0xC2: {0x85, 0xA0}, 0xE1: {0x9A}, 0xE2: {0x80, 0x81}, 0xE3: {0x80}}
+#: Pieces of which many are encoded as one text.
+_AFTER_BLANK = r"\A [A-Za-zÀ-ÖØ-öø-ſ0-9!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]+\z"
+
+_TEXT, _IDS = pa.large_string(), pa.large_binary()
+
+
+class Kept:
+    """Words and their ids, found by a hash."""
+
+    def __init__(self):
+        self.hashes, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.words, self.ids = pa.array([], _TEXT), pa.array([], _IDS)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def find(self, hashes: np.ndarray, words: pa.Array) -> np.ndarray:
+        """The row of each word, or -1."""
+        if not len(self):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        rows = np.where(self.hashes[at] == hashes, self.rows[at], -1)
+        hits = np.flatnonzero(rows >= 0)
+        same = pc.equal(self.words.take(pa.array(rows[hits])), words.take(pa.array(hits)))
+        rows[hits[~same.to_numpy(zero_copy_only=False)]] = -1
+        return rows
+
+    def add(self, hashes: np.ndarray, words: pa.Array, ids: pa.Array) -> None:
+        """Add words in the order of their hashes; of words of one hash only one is kept."""
+        at = np.searchsorted(self.hashes, hashes)
+        free = bl.runs(hashes)
+        if len(self):
+            free &= self.hashes[np.minimum(at, len(self) - 1)] != hashes
+        chosen = pa.array(np.flatnonzero(free))
+        self.rows = np.insert(self.rows, at[free], len(self) + np.arange(len(chosen)))
+        self.hashes = np.insert(self.hashes, at[free], hashes[free])
+        self.words = pa.concat_arrays([self.words, words.take(chosen)])
+        self.ids = pa.concat_arrays([self.ids, ids.take(chosen)])
+
+
+def _joined(values: pa.Array, codes: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """``values`` by their numbers, one after the other; a result begins at each of ``starts``."""
+    taken = values.take(pa.array(codes))
+    _, offsets, data = taken.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(taken) + 1, 8 * taken.offset) if len(taken) else np.zeros(1, np.int64)
+    bounds = offsets[np.append(starts, len(taken))]
+    return pa.Array.from_buffers(_IDS, len(starts), [None, pa.py_buffer(bounds.tobytes()), data or pa.py_buffer(b"")])
+
+
+def cut(buf: np.ndarray, at: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts start that are encoded on their own; the texts start at ``at`` and are not empty.
+
+    Those marked ``whole`` are one piece each.
+    """
+    kind = _KIND[buf]
+    odd = kind == _OTHER
+    odd[1:] |= (buf[:-1] == 0xC3) & ((buf[1:] == _TIMES) | (buf[1:] == _DIVIDED))
+    opens = np.zeros(len(buf), bool)
+    opens[at] = True
+    word = kind == _BLANK
+    blanks = np.flatnonzero(word)
+    following = np.append(buf, np.zeros(2, np.uint8))
+    spaces = _SPACE[following[blanks + 1]]
+    for lead, seconds in _SPACE_LEADS.items():
+        i = np.flatnonzero(following[blanks + 1] == lead)
+        spaces[i] |= np.isin(following[blanks[i] + 2], list(seconds))
+    spaces |= np.append(opens, True)[blanks + 1]
+    for i in np.flatnonzero(whole):
+        lo, hi = at[i], at[i + 1] if i + 1 < len(at) else len(buf)
+        odd[lo] = True
+        spaces[np.searchsorted(blanks, lo) : np.searchsorted(blanks, hi)] = True
+    odd[blanks[spaces]] = True
+    word[blanks[spaces]] = False
+    word |= opens
+    # Of several line ends in a row each but the last may go with the others.
+    odd[1:] |= (kind[1:] == _LINE_END) & (kind[:-1] == _LINE_END) & ~opens[1:]
+    inner = np.zeros(len(buf), bool)
+    inner[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != _BLANK)
+    inner |= word
+    starts = np.flatnonzero(inner)
+    odd = np.flatnonzero(odd)
+    if len(odd):
+        words = np.flatnonzero(word)
+        is_odd = np.zeros(len(words), bool)
+        is_odd[np.searchsorted(words, odd, side="right") - 1] = True
+        starts = starts[word[starts] | ~is_odd[np.searchsorted(words, starts, side="right") - 1]]
+    return starts
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit numbers; keeps the ids of words it has seen."""
+    """Ids of texts as little-endian 32-bit numbers; keeps the ids of the pieces of texts that it has seen."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -78,81 +177,71 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(BLANK) for i in range(size)])
-        self.known: list[dict[str, bytes]] = [{}, {}]
-        self.older: list[dict[str, bytes]] = [{}, {}]
-
-    def _unknown(self, words: set[str], kind: int) -> set[str]:
-        """Those of some words whose ids are not kept; the others are in ``known`` afterwards."""
-        known, older = self.known[kind], self.older[kind]
-        new = words.difference(known)
-        met = older.keys() & new
-        known.update(zip(met, map(older.__getitem__, met)))
-        new.difference_update(met)
-        return new
-
-    def _learn(self, new: set[str], blank: str) -> list[str]:
-        """Add the ids of words that stand at the start of a text, or after a blank; returns those not to be kept."""
-        kind = int(bool(blank))
-        known, plain = self.known[kind], self.known[0]
-        tails = []
-        for w in new:
-            if w[-1:] in _SIGN_SET:
-                stem = w.rstrip(_SIGNS)
-                if stem[-1:] in _LETTERS:
-                    tails.append((w, stem, w[len(stem) :]))
-        pieces = new.difference([w for w, _, _ in tails])
-        stems = self._unknown({stem for _, stem, _ in tails}, kind).difference(pieces)
-        pieces = [*pieces, *stems]
-        known.update(self._after_blank(pieces) if blank else zip(pieces, self._ids(pieces)))
-        unseen = list(self._unknown({end for _, _, end in tails}, 0))
-        plain.update(zip(unseen, self._ids(unseen)))
-        for w, stem, end in tails:
-            known[w] = known[stem] + plain[end]
-        return [w for words in (new, stems) for w in words if len(w) > CACHE_LENGTH]
-
-    def _after_blank(self, words: list[str]):
-        """Ids of words that follow a blank: many in one text, cut where a token begins with a blank."""
-        plain = [w for w in words if " " not in w]
-        alone = [w for w in words if " " in w]
-        lots = [plain[lo : lo + JOINED_WORDS] for lo in range(0, len(plain), JOINED_WORDS)]
-        found = self.tokenizer.encode_batch_fast([" " + " ".join(lot) for lot in lots], add_special_tokens=False)
-        for lot, encoded in zip(lots, found):
-            ids = np.array(encoded.ids, "<u4")
-            at = (4 * np.flatnonzero(self.opens[ids])).tolist()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known, self.older = [Kept()], [Kept()]
+
+    def _look_up(self, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """A number per word, and the ids by these numbers."""
+        if len(self.known[0]) > CACHE_WORDS:
+            self.older, self.known = self.known, [Kept()]
+        (known,), (older,) = self.known, self.older
+        numbered = words.dictionary_encode()
+        buf, at = text_bytes(numbered.dictionary)
+        hashes = hash_words(Words(buf, at[:-1], at[1:], at))
+        order = np.argsort(hashes)
+        hashes, distinct = hashes[order], numbered.dictionary.take(pa.array(order))
+        rows = known.find(hashes, distinct)
+        rest = np.flatnonzero(rows < 0)
+        before = older.find(hashes[rest], distinct.take(pa.array(rest)))
+        again, new = rest[before >= 0], rest[before < 0]
+        unseen = distinct.take(pa.array(new))
+        ids = pa.concat_arrays([known.ids, older.ids.take(pa.array(before[before >= 0])), self._learn(unseen)])
+        rows[again] = len(known) + np.arange(len(again))
+        rows[new] = len(known) + len(again) + np.arange(len(new))
+        short = pc.binary_length(unseen).to_numpy() <= CACHE_LENGTH
+        add = np.sort(np.concatenate([again, new[short]]))
+        known.add(hashes[add], distinct.take(pa.array(add)), ids.take(pa.array(rows[add])))
+        by_code = np.empty(len(order), np.int64)
+        by_code[order] = rows
+        return by_code[numbered.indices.to_numpy()], ids
+
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """The ids of pieces: simple ones after a blank many in one text, cut where a token begins with a blank."""
+        rows = pieces.to_pylist()
+        after = pc.match_substring_regex(pieces, _AFTER_BLANK).to_numpy(zero_copy_only=False)
+        joined, alone = np.flatnonzero(after).tolist(), np.flatnonzero(~after).tolist()
+        ids: list[bytes] = [b""] * len(rows)
+        lots = [joined[lo : lo + JOINED_WORDS] for lo in range(0, len(joined), JOINED_WORDS)]
+        texts = ["".join([rows[i] for i in lot]) for lot in lots]
+        for lot, encoded in zip(lots, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found = np.array(encoded.ids, "<u4")
+            at = (4 * np.flatnonzero(self.opens[found])).tolist()
             if len(at) == len(lot):
-                raw = ids.tobytes()
-                yield from zip(lot, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])])
+                raw = found.tobytes()
+                for i, a, b in zip(lot, at, [*at[1:], len(raw)]):
+                    ids[i] = raw[a:b]
             else:
                 alone += lot
-        yield from zip(alone, self._ids([" " + w for w in alone]))
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [_pack(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        for i, encoded in zip(alone, self.tokenizer.encode_batch_fast([rows[i] for i in alone], add_special_tokens=False)):
+            ids[i] = _pack(encoded.ids)
+        return pa.array(ids, _IDS)
+
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """The same for an Arrow array of large strings without nulls, as one of large binaries."""
+        buf, at = text_bytes(texts)
+        filled = np.flatnonzero(np.diff(at))
+        if not len(filled):
+            return pa.array([b""] * len(texts), _IDS)
+        whole = np.zeros(len(texts), bool)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        starts = cut(buf, at[filled], whole[filled])
+        bounds = pa.py_buffer(np.append(starts, len(buf)))
+        codes, ids = self._look_up(pa.Array.from_buffers(_TEXT, len(starts), [None, bounds, pa.py_buffer(buf)]))
+        return _joined(ids, codes, np.searchsorted(starts, at[:-1]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.split(" ") for t in texts]
-        for kind, known in enumerate(self.known):
-            if len(known) > CACHE_WORDS:
-                self.older[kind], self.known[kind] = known, {}
-        first, later = self.known
-        heads = [p.pop(0) for p in pieces]
-        wanted: set[str] = set()
-        wanted.update(*pieces)
-        wanted = self._unknown(wanted, 1)
-        odd = {w for w in wanted if not w or w[0].isspace()}
-        if odd:  # blanks in texts that hold more blank characters in a row don't all divide
-            for i, p in enumerate(pieces):
-                if not odd.isdisjoint(p):
-                    pieces[i] = _CUT.split(texts[i])
-                    heads[i] = pieces[i].pop(0)
-                    wanted.update(pieces[i])
-            wanted = self._unknown(wanted.difference(odd), 1)
-        drop = self._learn(self._unknown(set(heads), 0), ""), self._learn(wanted, " ")
-        ids = [first[head] + b"".join(map(later.__getitem__, p)) for head, p in zip(heads, pieces)]
-        for known, words in zip(self.known, drop):
-            for w in words:
-                known.pop(w, None)
-        return ids
+        return self.encode_array(pa.array(texts, _TEXT)).to_pylist()
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -210,6 +299,15 @@ def _segment(number: int, first: int, docs: list[tuple[int, bytes]], block_ids:
     }
 
 
+def _steps(sizes: np.ndarray):
+    """Ranges of texts of about as many bytes each, at most ``STEP_BYTES`` but for the last text of a range."""
+    total = np.cumsum(sizes)
+    n = math.ceil(total[-1] / STEP_BYTES) if len(total) else 0
+    cuts = np.searchsorted(total, np.arange(1, n) * (total[-1] / n)) + 1 if n > 1 else []
+    bounds = np.unique([0, *cuts, len(total)]).tolist()
+    return zip(bounds, bounds[1:])
+
+
 def _encode_part(batches, path: str, end_id: int, block_ids: int, segment_ids: int, bits: bool):
     """The segments of a part whose documents come in order."""
     end = np.array([end_id], "<u4").tobytes()
@@ -217,9 +315,9 @@ def _encode_part(batches, path: str, end_id: int, block_ids: int, segment_ids: i
     docs: list[tuple[int, bytes]] = []
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        for lo in range(0, len(ids), STEP_DOCS):
-            texts = [t or "" for t in batch.column("text").slice(lo, STEP_DOCS).to_pylist()]
-            for doc_id, raw in zip(ids[lo : lo + STEP_DOCS], encoder(path).encode(texts)):
+        texts = batch.column("text").cast(_TEXT).fill_null("")
+        for lo, hi in _steps(pc.binary_length(texts).to_numpy()):
+            for doc_id, raw in zip(ids[lo:hi], encoder(path).encode_array(texts.slice(lo, hi - lo)).to_pylist()):
                 docs.append((doc_id, raw + end))
                 held += len(raw) // 4 + 1
                 if held >= segment_ids:
