@@ -133,6 +133,34 @@ def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
     assert sorted(int(r["content"]) for r in found.collect()) == list(range(300))
 
 
+@pytest.mark.parametrize("kind", ["text", "csv"])
+def test_tasks_write_the_files_that_spark_writes(spark, tmp_path, kind):
+    hosts = ["a.b", "a.b", "A.B", None, "", "x:80/%1", "ü {1}[2]^'#*?=\\\x01\x7f~", "a.b"]
+    texts = ["one", 'two, "2"', " spaces ", None, "", "lines\nof\ttext\r\n", "a\\b 'c'", "one"]
+    rows = [(h, i // 2 if i < 7 else 0, t) for i, (h, t) in enumerate(zip(hosts, texts))] + [("n", None, "x"), ("n", None, "w")]
+    table = spark.createDataFrame(rows, "host STRING, id LONG, text STRING")
+
+    def written(root):
+        found = {}
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if not name.startswith((".", "_")):
+                    part, ending = name.split("-")[1], name.rpartition(".")[2]
+                    found[os.path.relpath(folder, root), part, ending] = open(f"{folder}/{name}", "rb").read()
+        return found
+
+    for splits in (1, 3, 20):
+        dealt = table.coalesce(1) if splits == 1 else table.repartition(splits, F.col("text"))
+        ours, sparks = f"{tmp_path}/ours{splits}", f"{tmp_path}/sparks{splits}"
+        files.write_tree(dealt, ours, ["host", "id"], kind)
+        getattr(dealt.write.partitionBy("host", "id"), kind)(sparks)
+        assert written(ours) == written(sparks) and len(written(ours)) >= 7
+    assert sorted(os.listdir(tmp_path)) == sorted(f"{who}{n}" for who in ("ours", "sparks") for n in (1, 3, 20))
+    assert not glob.glob(f"{tmp_path}/ours*/**/.*", recursive=True)  # no process per file, so no checksum beside it
+    files.write_tree(table.limit(0), f"{tmp_path}/none", ["host", "id"], kind)
+    assert files.read_text_tree(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_file_documents(spark, tree):
     docs = files.file_documents(files.read_text_tree(spark, tree), n_top=2, n_bottom=2)
     found = {r["rel_path"]: r for r in docs.collect()}

@@ -14,10 +14,6 @@ from textloom.session import materialize, scratch_path
 from textloom.sources import files, records, reports, tables
 
 
-# Tasks move what they wrote to its place; else the driver moves one file after the other.
-_MOVED_BY_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-
-
 @query(
     "file_scan",
     f"""WITH f AS (SELECT page_id, 'host=' || regexp_extract(url, '://([^/]+)', 1) AS top_folder, html || chr(10) AS text
@@ -32,7 +28,7 @@ def file_scan(ws):
     """All pages written as a tree of text files, a folder per host, and scanned."""
     path = scratch_path(ws.spark, "tree")
     host = F.regexp_extract("url", "://([^/]+)", 1).alias("host")
-    ws.table("pages").select("page_id", host, "html").write.options(**_MOVED_BY_TASKS).partitionBy("host", "page_id").text(path)
+    ws.table("pages").select("page_id", host, "html").write.options(**files.MOVED_BY_TASKS).partitionBy("host", "page_id").text(path)
     found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2)
     docs = files.file_documents(found, n_top=2, n_bottom=2)
     return docs.select(
@@ -57,10 +53,10 @@ def file_scan_filtered(ws):
     path = scratch_path(ws.spark, "mixed-tree")
     pages = ws.table("pages").select("page_id", F.lit("deeper").alias("folder"), "html")
     for folder in ("right", "_hidden"):
-        pages.drop("folder").write.options(**_MOVED_BY_TASKS).partitionBy("page_id").text(f"{path}/{folder}")
+        files.write_tree(pages.drop("folder"), f"{path}/{folder}", ["page_id"])
     pages.select("html").write.text(f"{path}/flat")
-    pages.write.options(**_MOVED_BY_TASKS).partitionBy("folder", "page_id").text(f"{path}/deep")
-    pages.drop("folder").write.options(**_MOVED_BY_TASKS).partitionBy("page_id").csv(f"{path}/wrong")
+    files.write_tree(pages, f"{path}/deep", ["folder", "page_id"])
+    files.write_tree(pages.drop("folder"), f"{path}/wrong", ["page_id"], "csv")
     found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=2, max_depth=2)
     page_id = F.regexp_extract("rel_path", r"page_id=(\d+)", 1).cast("long").alias("page_id")
     return files.file_documents(found).select(page_id, "top_folder", F.md5("text").alias("digest"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import quote
@@ -20,8 +22,8 @@ from textloom.session import materialize, scratch_path
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 #: Files of one part of a listing.
 LISTED = 10_000
-#: Folders that one task lists in a round.
-FOLDERS = 200
+#: Folders that one task lists in a round: no more than the former while cores are idle, no more than the latter ever.
+FEW_FOLDERS, FOLDERS = 200, 2_000
 #: Files and bytes that one task reads.
 READ_FILES, READ_BYTES = 2_000, 32 << 20
 ENTRY_SCHEMA = "rel_path string, is_folder boolean, hidden boolean, millis long, length long"
@@ -84,6 +86,78 @@ def read_text_tree(
     return files
 
 
+#: What Spark's writers escape in the name of a folder, and the value of one without a value.
+ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: What ends the name of the folder beside a tree where tasks keep files that are not whole yet.
+UNFINISHED = ".unfinished"
+#: Spark's tasks move what they wrote to its place; else the driver moves one file after the other.
+MOVED_BY_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
+def write_tree(rows: DataFrame, path: str, folders: list[str], kind: str = "text") -> None:
+    """The files that ``rows.write.partitionBy(*folders)`` writes as ``text`` or ``csv`` of the one other column, below a new ``path``.
+
+    A file holds the rows of one split of ``rows`` and one value of each of ``folders``.
+    Tasks write the files themselves: Spark's writer starts two processes for each on a
+    mounted folder, which takes more time than all the rest. It writes where tasks cannot.
+    """
+    spark = rows.sparkSession
+    base = _qualified(spark, path)
+    if not _tasks_open(base):
+        getattr(rows.write.options(**MOVED_BY_TASKS).partitionBy(*folders), kind)(path)
+        return
+    (value,) = (c for c in rows.columns if c not in folders)
+    line = F.concat(F.to_csv(F.struct(value)) if kind == "csv" else F.col(value), F.lit("\n"))
+    # A null is an empty line of a text and no line of a table.
+    line = F.when(F.col(value).isNotNull(), line).otherwise(F.lit("" if kind == "csv" else "\n"))
+    names = [F.col(c).cast("string").alias(f"folder_{i}") for i, c in enumerate(folders)]
+    place = F.monotonically_increasing_id().alias("place")
+    lines = rows.select(*names, F.spark_partition_id().alias("split"), place, line.cast("binary").alias("line"))
+    keys = [f"folder_{i}" for i in range(len(folders))]
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        lines = lines.repartition(cores, "split", *keys)
+    jvm = spark.sparkContext._jvm
+    root, unfinished = (jvm.org.apache.hadoop.fs.Path(base.rstrip("/") + end) for end in ("", UNFINISHED))
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(root)
+    written = lines.sortWithinPartitions(*keys, "split", "place").mapInArrow(_write_files(base, folders, kind), "files BIGINT")
+    written.agg(F.sum("files")).collect()
+    store.delete(unfinished, True)
+
+
+def _write_files(base: str, folders: list[str], kind: str):
+    """Writes a file of each run of rows of the same folders and split; it gets its name when it is whole, as attempts may end early."""
+    ending = {"text": "txt"}.get(kind, kind)
+    call = uuid.uuid4()
+
+    def folder(*values: str | None) -> str:
+        escaped = (ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", v) if v else NO_VALUE for v in values)
+        return "/".join(f"{name}={value}" for name, value in zip(folders, escaped))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            *keys, lines = (batch.column(i) for i in (*range(len(folders) + 1), len(folders) + 2))
+            yield from zip(zip(*(k.to_pylist() for k in keys)), lines)
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(base)
+        root, attempt, n = root.rstrip("/"), uuid.uuid4(), 0
+        store.create_dir(f"{root}{UNFINISHED}")
+        for (*values, split), run in itertools.groupby(rows(batches), key=lambda row: row[0]):
+            own, unfinished = f"{root}/{folder(*values)}", f"{root}{UNFINISHED}/{attempt}"
+            store.create_dir(own)
+            with store.open_output_stream(unfinished) as stream:
+                for _, line in run:
+                    stream.write(line.as_buffer())
+            store.move(unfinished, f"{own}/part-{split:05d}-{call}.c000.{ending}")
+            n += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    return written
+
+
 def _is_skipped(name: str) -> bool:
     """Whether Spark's listing leaves out a file or folder of this name, as ``HadoopFSUtils.shouldFilterOutPathName`` does."""
     hidden = (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
@@ -167,7 +241,8 @@ def _listed_by_tasks(
     folders = spark.createDataFrame([("", False)], "rel_path string, hidden boolean")
     levels, n = [], 1
     while n and (max_depth is None or len(levels) <= max_depth):
-        dealt = folders.repartition(n // FOLDERS + 1, "rel_path")
+        tasks = max(n // FOLDERS, min(n // FEW_FOLDERS, spark.sparkContext.defaultParallelism)) + 1
+        dealt = folders.repartition(tasks, "rel_path")
         level = materialize(dealt.mapInPandas(_list_folders(base, endings, skipped_only), ENTRY_SCHEMA), "tree-level")
         levels.append(level.where("NOT is_folder").select("rel_path", "millis", "length"))
         folders = level.where("is_folder").select("rel_path", "hidden")
