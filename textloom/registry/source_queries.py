@@ -28,7 +28,7 @@ def file_scan(ws):
     """All pages written as a tree of text files, a folder per host, and scanned."""
     path = scratch_path(ws.spark, "tree")
     host = F.regexp_extract("url", "://([^/]+)", 1).alias("host")
-    ws.table("pages").select("page_id", host, "html").write.options(**files.MOVED_BY_TASKS).partitionBy("host", "page_id").text(path)
+    files.write_tree(ws.table("pages").select("page_id", host, "html"), path, ["host", "page_id"])
     found = files.read_text_tree(ws.spark, path, extensions=["txt"], min_depth=1, max_depth=2)
     docs = files.file_documents(found, n_top=2, n_bottom=2)
     return docs.select(
