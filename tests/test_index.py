@@ -1,12 +1,14 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
 from textloom.operators import top_terms, weighting
-from textloom.operators.joins import join_on_term
+from textloom.operators.joins import join_on_term, parts_on_term
 from textloom.plans.index import build_index, compact_index, default_buckets, open_index, update_index
+from textloom.session import CLEANUP_SETTING, materialize
 from textloom.sources.tables import upsert_documents
 
 FOLDER = "/root/testdata/sf0.001"
@@ -112,6 +114,51 @@ def test_salted_join_equals_broadcast_join(spark, capsys):
     assert whole.exceptAll(salted).count() == 0 and salted.exceptAll(whole).count() == 0
 
 
+def test_postings_of_frequent_terms_stay_where_they_are(spark, new_path, monkeypatch, capsys):
+    rows_of = lambda i: " ".join([f"t{j}" for j in range(12) if i % (j + 1) == 0] + [f"own{i}", f"own{i}"])
+    docs = spark.createDataFrame([(i, rows_of(i)) for i in range(200)] + [(200, "")], "doc_id BIGINT, text STRING")
+    index = build_index(ops.stack_fields(docs, ["text"]), new_path("frequent"), buckets=3)
+    small = {o: rows(top_terms.best_terms_in_docs(index, 3, o)) for o in top_terms.DOC_ORDERS}
+    norms = rows(weighting.vector_norms(weighting.vectorize(index, "text", "tfidf")).selectExpr("doc_id", "round(l2, 6)"))
+    # Room for the twelve frequent terms, not for the two hundred others.
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 50 * 12)
+    first, others = parts_on_term(index.postings("text"), index.term_stats("text"), index.term_stats_size)
+    assert {r["term"] for r in first.select("term").distinct().collect()} == {f"t{j}" for j in range(12)}
+    assert others.count() == 200
+    first.groupBy("doc_id").count().explain()
+    assert "Exchange" not in capsys.readouterr().out.replace("BroadcastExchange", "")
+    assert {o: rows(top_terms.best_terms_in_docs(index, 3, o)) for o in top_terms.DOC_ORDERS} == small
+    assert rows(weighting.vector_norms(weighting.vectorize(index, "text", "tfidf")).selectExpr("doc_id", "round(l2, 6)")) == norms
+    targets = docs.where("doc_id IN (6, 7)")
+    for order in ("tf", "idf"):
+        found = rows(top_terms.best_terms_in_docs(index, 3, order, targets=targets))
+        assert found == [r for r in small[order] if r[0] in (6, 7)]
+    # All in bounds but for the given size, and nothing in bounds.
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 50 * 300)
+    assert parts_on_term(index.postings(), index.term_stats(), (10, 50 * 400))[1].count() == 0
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 0)
+    assert {o: rows(top_terms.best_terms_in_docs(index, 3, o)) for o in top_terms.DOC_ORDERS} == small
+
+
+def test_an_index_leaves_no_shuffle_behind(spark, new_path):
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        named = (found.apply(i) for i in range(found.size()))
+        return {f.getName(): f.length() for f in named if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+    before, setting = shuffles(), spark.conf.get(CLEANUP_SETTING)
+    chance = random.Random(3)
+    table = [(i, " ".join(f"w{chance.randrange(9000)}" for _ in range(300))) for i in range(400)]
+    docs = materialize(spark.createDataFrame(table, "doc_id BIGINT, text STRING").repartition(5, "doc_id"), "moved")
+    build_index(ops.stack_fields(docs, ["text"]), new_path("released"), buckets=4)
+    end = time.time() + 20
+    left = lambda: sum(n for name, n in shuffles().items() if name not in before)
+    # Counts that the driver asks for may stay.
+    while left() > 20_000 and time.time() < end:
+        time.sleep(0.5)
+    assert left() <= 20_000 and spark.conf.get(CLEANUP_SETTING) == setting
+
+
 def test_folders_are_collections_of_their_own(spark, new_path):
     docs = spark.createDataFrame([(0, "a", "x x y"), (1, "b", "x"), (2, "b", "z")], "doc_id BIGINT, folder STRING, text STRING")
     partial = build_index(ops.stack_folders(docs, "folder"), new_path("folders"))

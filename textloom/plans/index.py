@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 
 from textloom.operators import postings as ops
 from textloom.operators.joins import broadcast_if_small, is_small, measured_size
+from textloom.session import shuffles_released
 
 MAX_BUCKETS = 100_000
 
 #: Bytes of text in one bucket.
 BUCKET_BYTES = 32 << 20
 
+#: Of the postings, which take as much room as the texts.
+COMPRESSION = "zstd"
+
 POSTINGS_SCHEMA = "doc_id BIGINT, field STRING, term STRING, tf BIGINT, dl BIGINT"
 DOC_STATS_SCHEMA = "doc_id BIGINT, field STRING, dl BIGINT, n_terms BIGINT"
 TERM_STATS_SCHEMA = "field STRING, term STRING, df BIGINT, cf BIGINT"
@@ -126,14 +130,16 @@ def _table_name(path: str, part: str) -> str:
 
 def _write_bucketed(df: DataFrame, path: str, part: str, buckets: int) -> DataFrame:
     name = _table_name(path, part)
-    (
-        df.write.mode("overwrite")
-        .format("parquet")
-        .option("path", f"{path}/{part}")
-        .bucketBy(buckets, "doc_id")
-        .sortBy(*BUCKETED[part][1])
-        .saveAsTable(name)
-    )
+    with shuffles_released(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .format("parquet")
+            .option("path", f"{path}/{part}")
+            .option("compression", COMPRESSION)
+            .bucketBy(buckets, "doc_id")
+            .sortBy(*BUCKETED[part][1])
+            .saveAsTable(name)
+        )
     return df.sparkSession.table(name)
 
 
@@ -164,7 +170,8 @@ def _store_whole(vectors: DataFrame, documents: DataFrame, path: str, buckets: i
     """One generation, with statistics from what is stored of it."""
     spark = vectors.sparkSession
     by_term, doc_stats = _write_generation(vectors, documents, path, buckets)
-    _term_deltas(by_term).write.mode("overwrite").parquet(f"{path}/term_stats")
+    with shuffles_released(spark):
+        _term_deltas(by_term).write.mode("overwrite").parquet(f"{path}/term_stats")
     ops.field_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/field_stats")
     nothing = spark.createDataFrame([], REPLACED_SCHEMA)
     return _finish(spark, path, buckets, ((0, path),), nothing)
@@ -191,8 +198,10 @@ def _write_by_term(postings: DataFrame, path: str, classes: int) -> DataFrame:
     term_class = F.pmod(F.xxhash64("term"), F.lit(classes))
     place = F.shiftleft(term_class, 40) + F.shiftrightunsigned(F.xxhash64("term"), 24)
     order = [place, "field", "term", "doc_id"]
-    dealt = postings.select(*VECTOR_COLUMNS, term_class.cast("int").alias("term_class")).repartitionByRange(classes, *order)
-    dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("term_class").parquet(f"{path}/term_postings")
+    dealt = postings.select(*VECTOR_COLUMNS).repartitionByRange(classes, *order).sortWithinPartitions(*order)
+    classed = dealt.withColumn("term_class", term_class.cast("int"))
+    with shuffles_released(postings.sparkSession):
+        classed.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("term_class").parquet(f"{path}/term_postings")
     return postings.sparkSession.read.schema(f"{POSTINGS_SCHEMA}, term_class INT").parquet(f"{path}/term_postings")
 
 
@@ -247,7 +256,8 @@ def update_index(index: TextIndex, incoming: DataFrame, path: str, order: str |
     merged = changed.groupBy("field", "term").agg(
         F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.max("max_share").alias("max_share")
     )
-    merged.where("df > 0").write.mode("overwrite").parquet(f"{path}/term_stats")
+    with shuffles_released(spark):
+        merged.where("df > 0").write.mode("overwrite").parquet(f"{path}/term_stats")
 
     less = ops.field_stats(gone_documents).select("field", *[(-F.col(c)).alias(c) for c in FIELD_SUMS])
     fields = index.field_stats().unionByName(ops.field_stats(doc_stats)).unionByName(less)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Scratch folder per application, used only where the setting is absent (tests).
 _local_scratch: dict[str, str] = {}
@@ -54,5 +57,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What is written within deletes the files of its shuffles at its end; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP_SETTING)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
