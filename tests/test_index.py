@@ -140,6 +140,16 @@ def test_postings_of_frequent_terms_stay_where_they_are(spark, new_path, monkeyp
     assert {o: rows(top_terms.best_terms_in_docs(index, 3, o)) for o in top_terms.DOC_ORDERS} == small
 
 
+def test_best_terms_by_tf_are_chosen_before_statistics_are_joined(index, monkeypatch, capsys):
+    small, kept = rows(top_terms.best_terms_in_docs(index, 1, "tf")), []
+    monkeypatch.setattr("textloom.operators.joins.MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(top_terms, "materialize", lambda df, name: kept.append(df) or materialize(df, name))
+    assert rows(top_terms.best_terms_in_docs(index, 1, "tf")) == small
+    kept[0].explain()
+    # One row per document meets the statistics; choosing it moved no posting.
+    assert "Exchange" not in capsys.readouterr().out and kept[0].count() == len(small) == 3
+
+
 def test_an_index_leaves_no_shuffle_behind(spark, new_path):
     def shuffles():
         found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
