@@ -196,6 +196,31 @@ def test_pairs_out_of_reach_are_not_summed_up(monkeypatch):
     assert set(range(50)) == set(target.tolist())  # each finds itself
 
 
+def test_a_document_of_common_words_does_not_bring_the_others_in_reach(monkeypatch):
+    """What common words can add is told for each pair and group of terms."""
+    rng, docs, columns = np.random.default_rng(6), 120, 64
+    monkeypatch.setattr(similar, "GROUPS", 8)
+    own = [np.append(rng.integers(0, columns, 5), columns + rng.integers(0, 150, 6)) for _ in range(docs)]
+    weights = [np.append(np.full(5, 0.05), np.full(6, 0.4)) for _ in range(docs)]
+    # One has nothing but common words, of the first group; another one those of the last.
+    own[0], own[1] = np.arange(8), np.arange(columns - 8, columns)
+    weights[0] = weights[1] = np.full(8, 8**-0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(docs)), pa.array(own), pa.array(weights)], ["doc_id", "terms", "weights"])
+    asked = similar.arrange_targets([batch], columns)
+    assert asked.norms.shape == (docs, 8) and asked.norms[0, 1:].sum() == 0 == asked.norms[1, :-1].sum()
+    dense = np.zeros((docs, columns + 150))
+    for row, at, w in zip(dense, own, weights):
+        np.add.at(row, at, w)
+    calls, expand = [], similar._expand
+    monkeypatch.setattr(similar, "_expand", lambda first, count: calls.append(len(count)) or expand(first, count))
+    target, doc, total = similar._near(asked, 5, np.full(docs, 0.3), *similar._flat(batch)[1:])
+    whole = dense @ dense.T
+    assert sorted(zip(target.tolist(), doc.tolist())) == sorted(zip(*(a.tolist() for a in np.nonzero(whole >= 0.3 - similar.MARGIN))))
+    assert total == pytest.approx(whole[target, doc])
+    # Pairs that were added up one by one, and targets that met all documents.
+    assert sum(calls) < 0.1 * docs * docs
+
+
 def test_ragged_and_missing_points_are_errors(spark):
     whole = [(0, [1.0, 2.0]), (1, [3.0, 4.0])]
     for bad in ([(2, [1.0, 2.0, 3.0]), (3, [1.0])], [(2, None)], [(2, [1.0, None])], [(2, [])]):
